@@ -1,0 +1 @@
+"""Nothing streams here: every source arrives as a dated batch, so all plans are batch plans."""
