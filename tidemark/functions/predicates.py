@@ -70,24 +70,19 @@ def sequence_status(columns: list[str], formats: dict[str, tuple] | None = None,
 
 
 def value_category(
-    c: Column,
-    known: Column | None = None,
-    pattern: str | None = None,
-    variants: tuple[str, ...] = (),
-    placeholders: tuple[str, ...] = fixed.PLACEHOLDER_VALUES,
+    c: Column, variant: Column, unmatched: Column, placeholders: tuple[str, ...] = fixed.PLACEHOLDER_VALUES
 ) -> Column:
-    """Category of a code value; the first that applies. `known` says whether a code master has the value."""
+    """Category of a code value; the first that applies.
+
+    `variant` tells whether the value is a known spelling variant; `unmatched` is the label for a value that no
+    code master or pattern accepts, or NULL.
+    """
     text = F.trim(c)
-    out = (
+    return (
         F.when(c.isNull(), F.lit("NULL"))
         .when(text == "", F.lit("BLANK"))
         .when(text.isin(*placeholders), F.lit("PLACEHOLDER"))
+        .when(variant, F.lit("SEMANTIC_VARIANT"))
+        .when(text.contains(fixed.RESERVED_MARK), F.lit("RESERVED_CANDIDATE"))
+        .otherwise(F.coalesce(unmatched, F.lit("STANDARD_VALUE")))
     )
-    if variants:
-        out = out.when(text.isin(*variants), F.lit("SEMANTIC_VARIANT"))
-    out = out.when(text.contains(fixed.RESERVED_MARK), F.lit("RESERVED_CANDIDATE"))
-    if known is not None:
-        out = out.when(~known, F.lit("MASTER_UNMATCH"))
-    elif pattern is not None:
-        out = out.when(~text.rlike(pattern), F.lit("PATTERN_UNMATCH"))
-    return out.otherwise(F.lit("STANDARD_VALUE"))
