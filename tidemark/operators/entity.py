@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import all_of, any_of
 from tidemark.operators.keys import number_rows, rows_with_keys
 from tidemark.operators.model import LINEAGE_KEY
+from tidemark.session import materialize
 
 REFERENCE = "_ref_ts"
 TIE_BREAK = ["_source_batch_id", "_source_system", "_source_record_key"]
@@ -108,10 +109,13 @@ def merge_entities(
     entity: str,
     earlier_lineage: DataFrame | None = None,
 ) -> MergeResult:
-    """Merge candidate rows that agree on all match keys; conflicts and rows without full keys are set aside."""
+    """Merge candidate rows that agree on all match keys; conflicts and rows without full keys are set aside.
+
+    The merged groups are written to scratch once, because ids, conflicts and lineage all start from them.
+    """
     fill = [c for c in candidate.columns if not c.startswith("_") and c not in keys]
     usable = matchable(candidate, keys)
-    groups = merge_groups(with_reference_time(usable, reference), keys, fill)
+    groups = materialize(merge_groups(with_reference_time(usable, reference), keys, fill))
     in_conflict = groups.filter("_conflict").select(*keys)
     merged = groups.filter(~F.col("_conflict")).drop("_conflict", "_group_size")
     if earlier_lineage is not None:

@@ -84,7 +84,7 @@ def with_violations(df: DataFrame, rules: list[TargetRule], parents: dict[str, D
         flag = f"__rule{i}"
         column = rule.columns[0]
         if rule.kind == "UNIQUE":
-            repeated = duplicate_keys(out, [column], filled_only=True)
+            repeated = duplicate_keys(df, [column], filled_only=True)
             out = flag_rows_with_keys(out, [column], repeated, flag)
         elif rule.kind == "FK":
             table, key = rule.argument
