@@ -309,7 +309,7 @@ def detail_counts(detail: DataFrame) -> DataFrame:
 
 
 def error_samples(found: DataFrame, size: int = 5) -> DataFrame:
-    """The first masked values per rule, as one text. The ranking limit is applied before the shuffle."""
+    """The first masked values per rule, as an array. The ranking limit is applied before the shuffle."""
     from pyspark.sql import Window
 
     order = Window.partitionBy("rule_id").orderBy(
@@ -317,9 +317,9 @@ def error_samples(found: DataFrame, size: int = 5) -> DataFrame:
     )
     top = found.select("rule_id", "source_record_key", "before_value").withColumn("n", F.row_number().over(order))
     picked = top.filter(F.col("n") <= size)
-    value = F.struct("n", F.coalesce("before_value", F.lit("NULL")).alias("v"))
-    listed = F.transform(F.array_sort(F.collect_list(value)), lambda x: x["v"])
-    return picked.groupBy("rule_id").agg(F.array_join(listed, " | ").alias("sample_values"))
+    value = F.struct("n", F.col("before_value").alias("v"))
+    listed = F.transform(F.array_sort(F.collect_list(value)), lambda x: x["v"])  # at most `size` values
+    return picked.groupBy("rule_id").agg(listed.alias("sample_values"))
 
 
 def apply_cleansing(df: DataFrame, rules: list[Rule], codes: CodeTables) -> DataFrame:

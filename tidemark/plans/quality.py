@@ -87,7 +87,7 @@ def lineage_columns(source: str, table: str, key: str | None, batch: str, run_id
 
 
 def samples_as_json(samples: DataFrame) -> DataFrame:
-    return samples.select("rule_id", F.to_json(F.split("sample_values", r" \| ")).alias("sample_values_json"))
+    return samples.select("rule_id", F.to_json("sample_values").alias("sample_values_json"))
 
 
 def run_quality(
