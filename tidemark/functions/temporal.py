@@ -1,23 +1,71 @@
-"""Reading and writing date and time texts."""
+"""Reading and writing date and time texts.
+
+A format first selects by shape and then parses with a cast. Trying one formatter after another would throw an
+exception inside the JVM for every format that does not fit, which costs far more than the parsing itself.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as fixed
 
+_TOKENS = {
+    "yyyy": r"\d{4}",
+    "MM": r"\d{2}",
+    "dd": r"\d{2}",
+    "HH": r"\d{2}",
+    "mm": r"\d{2}",
+    "SSS": r"\d{3}",
+    "ss": r"\d{2}",
+    "XXX": r"(?:Z|[+-]\d{2}:\d{2})",
+    "'T'": "T",
+}
+_TOKEN = re.compile("|".join(map(re.escape, _TOKENS)))
 
-def parse_any(c: Column, formats: tuple[str, ...] = fixed.PROFILE_DATE_FORMATS) -> Column:
-    """First format that reads the whole trimmed text; NULL when none does."""
-    text = F.trim(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+
+def shape_of(pattern: str, short_days: bool = False) -> str:
+    """Regular expression for the texts of a format. `short_days` lets month and day have one digit."""
+    out, at = "", 0
+    for found in _TOKEN.finditer(pattern):
+        token = found.group(0)
+        out += pattern[at : found.start()].replace(".", r"\.")
+        out += r"\d{1,2}" if short_days and token in ("MM", "dd") else _TOKENS[token]
+        at = found.end()
+    return out + pattern[at:].replace(".", r"\.")
+
+
+def _has_shape(text: Column, shapes: list[str]) -> Column:
+    return text.rlike(f"^(?:{'|'.join(shapes)})$")
 
 
-def pad_slash_date(c: Column) -> Column:
-    """`2026/1/5 10:00` -> `2026/01/05 10:00`. Only the date part is touched."""
-    month = F.regexp_replace(c, r"^(\d{4})/(\d)/", "$1/0$2/")
-    return F.regexp_replace(month, r"^(\d{4}/\d{2})/(\d)($|[^0-9])", "$1/0$2$3")
+def read_first(text: Column, formats: tuple[str, ...], short_slash_days: bool = False) -> Column:
+    """Timestamp of a text in one of the formats; NULL when it has no such shape or the date is impossible.
+
+    Formats that are read the same way share one shape test. No text has the shape of two formats.
+    """
+    shapes: dict[str, list[str]] = {}
+    for pattern in formats:
+        way = "digits" if pattern.startswith("yyyyMMdd") else pattern[4]
+        shapes.setdefault(way, []).append(shape_of(pattern, short_slash_days and way == "/"))
+    out = None
+    for way, alternatives in shapes.items():
+        if way == "digits":
+            plain = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3 ")
+            plain = F.regexp_replace(plain, r"(\d{2})(\d{2})(\d{2})$", "$1:$2:$3")
+        else:
+            plain = text if way == "-" else F.translate(text, way, "-")
+        fits, value = _has_shape(text, alternatives), plain.try_cast("timestamp")
+        out = F.when(fits, value) if out is None else out.when(fits, value)
+    return out
+
+
+def parse_any(c: Column, formats: tuple[str, ...] = fixed.PROFILE_DATE_FORMATS) -> Column:
+    """Timestamp of the trimmed text in the one format it has; NULL when it has none."""
+    return read_first(F.trim(c), tuple(formats))
 
 
 def format_label(c: Column) -> Column:
@@ -32,12 +80,13 @@ def format_label(c: Column) -> Column:
 
 def zoned_instant(c: Column, zone: str) -> Column:
     """Standard local time text of `zone` as an instant; a bare date means midnight there."""
-    text = F.concat_ws(" ", F.trim(c), F.lit(zone))
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit(f"{fixed.STANDARD_TIMESTAMP} VV")),
-        F.try_to_timestamp(text, F.lit(f"{fixed.STANDARD_DATE} VV")),
-    )
+    text = F.trim(c)
+    full = F.concat(text, F.lit(f" {zone}"))
+    midnight = F.concat(text, F.lit(f" 00:00:00 {zone}"))
+    out = F.when(_has_shape(text, [shape_of(fixed.STANDARD_TIMESTAMP)]), full.try_cast("timestamp"))
+    return out.when(_has_shape(text, [shape_of(fixed.STANDARD_DATE)]), midnight.try_cast("timestamp"))
 
 
 def strict_date(c: Column) -> Column:
-    return F.try_to_timestamp(F.trim(c), F.lit(fixed.STANDARD_DATE)).cast("date")
+    text = F.trim(c)
+    return F.when(_has_shape(text, [shape_of(fixed.STANDARD_DATE)]), text.try_cast("date"))

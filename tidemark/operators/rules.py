@@ -71,7 +71,7 @@ def normalise_rules(raw: DataFrame) -> DataFrame:
         return F.nullif(F.trim(F.col(name).cast("string")), F.lit(""))
 
     def listed(name: str) -> Column:
-        parts = F.filter(F.transform(F.split(text(name), ","), F.trim), lambda x: x != "")
+        parts = F.filter(F.transform(F.split(text(name), ","), lambda x: F.trim(x)), lambda x: x != "")
         return F.nullif(F.array_join(parts, ","), F.lit(""))
 
     out = []

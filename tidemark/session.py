@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles methods above 8000 bytes of bytecode. One pass over many rules can generate such a
+    # method; with this limit Spark evaluates that stage through smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Timestamps are UTC instants; source zones are always written out when parsing.
     "spark.sql.session.timeZone": "UTC",
 }

@@ -138,12 +138,18 @@ def flatten_sessions(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_sessions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Nested session files (`*.json`, all of them). Give a schema to skip the inference pass over the data."""
-    reader = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json")
+def read_sessions(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Nested session files (`*.json`, all of them). Give a schema to skip the inference pass over the data.
+
+    A multi-line document is read by one task; large deliveries should come as JSON lines (`multi_line=False`).
+    """
+    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json")
     return flatten_sessions((reader.schema(schema) if schema else reader).json(path))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV copy of a result, with the frame's own partitioning (small results arrive as one file)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

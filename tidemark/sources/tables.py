@@ -71,9 +71,15 @@ def append(df: DataFrame, table: str, partition_by: list[str] = ()) -> None:
 
 def replace_batches(df: DataFrame, table: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that occur in the frame; all others stay."""
+    spark = df.sparkSession
     create_empty(df, table, partition_by)
-    writer = align(df, table).write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=True)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        align(df, table).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("quality",)
+AREAS = ("storage", "quality", "profiling", "versions", "mapping", "entities", "validation")
 QUERIES, ORACLES = {}, {}
 for _area in AREAS:
     _module = importlib.import_module(f"workload.{_area}")

@@ -100,7 +100,7 @@ SELECT CAST(NULL AS STRING) AS CUST_ID,
   'inbound' AS _source_system, 'bronze.inbound' AS _source_table,
   'INB-' || CAST(o.o_orderkey AS STRING) AS _source_record_key,
   '2026-09-' || CAST(o.o_orderkey % 3 + 13 AS STRING) AS _source_batch_id,
-  CASE WHEN o.o_orderkey % 59 = 0 THEN NULL WHEN o.o_custkey % 5 = 0 THEN substr({DAY}, 1, 7) || '-01' ELSE {DAY} END AS ref_day
+  CASE WHEN o.o_orderkey % 59 = 0 THEN NULL WHEN o.o_custkey % 5 = 0 THEN substr({DAY}, 1, 4) || '-01-01' ELSE {DAY} END AS ref_day
 FROM {{orders}} o JOIN {{customer}} c ON o.o_custkey = c.c_custkey
 UNION ALL
 SELECT CAST(NULL AS STRING), c.c_name,
@@ -108,7 +108,7 @@ SELECT CAST(NULL AS STRING), c.c_name,
   CASE WHEN l.l_partkey % 7 = 0 THEN '010' || {FOUR} || '0000' ELSE NULL END,
   NULL, 'outbound', 'bronze.outbound',
   'CTI-' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) || '-' || CAST(l.l_partkey AS STRING) || '-' || CAST(l.l_suppkey AS STRING),
-  '2026-09-14', substr(CAST(l.l_shipdate AS STRING), 1, 10)
+  '2026-09-14', CASE WHEN o.o_custkey % 5 = 0 THEN substr(CAST(l.l_shipdate AS STRING), 1, 4) || '-01-01' ELSE substr(CAST(l.l_shipdate AS STRING), 1, 10) END
 FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey JOIN {{customer}} c ON o.o_custkey = c.c_custkey""",
     # Mapped consultation records as they arrive at target validation.
     "counsel": f"""
