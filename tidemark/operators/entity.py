@@ -81,7 +81,11 @@ def merge_groups(df: DataFrame, keys: list[str], fill: list[str]) -> DataFrame:
 
 
 def assign_ids(df: DataFrame, id_column: str, prefix: str, order_by: list[str]) -> DataFrame:
-    """Give rows without an id the numbers after the highest existing one, as `PREFIX-000001`, in the given order."""
+    """Give rows without an id the numbers after the highest existing one, as `PREFIX-000001`, in the given order.
+
+    The rows are needed for the highest number, for numbering and for the result, so they are written to scratch once.
+    """
+    df = materialize(df)
     missing = F.col(id_column).isNull()
     number = F.regexp_extract(id_column, rf"^{prefix}-(\d+)$", 1).try_cast("bigint")
     highest = df.agg(F.coalesce(F.max(number), F.lit(0)).alias("n")).scalar()

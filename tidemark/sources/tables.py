@@ -85,8 +85,9 @@ def replace_batches(df: DataFrame, table: str, partition_by: list[str]) -> None:
 def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:
     """Replace one batch, named by its partition values. An empty frame clears the batch. Returns its row count."""
     spark = df.sparkSession
-    create_empty(df, table, list(batch))
-    rows = align(df.withColumns({c: F.lit(v) for c, v in batch.items()}), table).drop(*batch)
+    named = df.withColumns({c: F.lit(v) for c, v in batch.items()})
+    create_empty(named, table, list(batch))
+    rows = align(named, table).drop(*batch)
     names = [c for c in spark.table(table).columns if c not in batch]
     quoted = {c: v.replace("\\", "\\\\").replace("'", "\\'") for c, v in batch.items()}
     spec = ", ".join(f"{c}='{v}'" for c, v in quoted.items())
