@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import key_counts
 from tidemark.session import metadata_frame
 
 VOLATILE_COLUMNS = ("_mapping_run_id", "_mapped_at")
@@ -56,12 +55,14 @@ def table_report(old: DataFrame, new: DataFrame, primary_key: str | None = None)
 
     report = counts(old, "old_value").join(counts(new, "new_value"), "check")
     if primary_key:
-
-        def repeated(df: DataFrame, side: str) -> DataFrame:
-            keys = key_counts(df, [primary_key], "n").agg(F.count_if(F.col("n") > 1).alias(side))
-            return keys.select(F.lit("repeated_keys").alias("check"), side)
-
-        report = report.unionByName(repeated(old, "old_value").join(repeated(new, "new_value"), "check"))
+        both = old.select(primary_key, F.lit(1).alias("o"), F.lit(0).alias("n")).unionByName(
+            new.select(primary_key, F.lit(0).alias("o"), F.lit(1).alias("n"))
+        )
+        keys = both.groupBy(primary_key).agg(F.sum("o").alias("o"), F.sum("n").alias("n"))
+        repeated = keys.agg(
+            F.count_if(F.col("o") > 1).alias("old_value"), F.count_if(F.col("n") > 1).alias("new_value")
+        )
+        report = report.unionByName(repeated.select(F.lit("repeated_keys").alias("check"), "old_value", "new_value"))
     differing = row_difference(old, new, columns).agg(
         F.coalesce(F.sum("only_in_old"), F.lit(0)).alias("old_value"),
         F.coalesce(F.sum("only_in_new"), F.lit(0)).alias("new_value"),

@@ -14,10 +14,14 @@ from tidemark.functions.columns import all_of, is_filled
 from tidemark.session import materialize
 
 
-def flag_members(df: DataFrame, value: Column, members: DataFrame, flag: str) -> DataFrame:
-    """Boolean column `flag`: is `value` among the values of the one-column frame `members`."""
+def flag_members(df: DataFrame, value: Column, members: DataFrame, flag: str, unique: bool = False) -> DataFrame:
+    """Boolean column `flag`: is `value` among the values of the one-column frame `members`.
+
+    `unique` promises that no member occurs twice, which saves a shuffle of the members.
+    """
     key = f"__key_{flag}"
-    keys = members.select(F.col(members.columns[0]).alias(key)).distinct()
+    keys = members.select(F.col(members.columns[0]).alias(key))
+    keys = keys if unique else keys.distinct()
     joined = df.join(keys, value == F.col(key), "left")
     return joined.withColumn(flag, F.col(key).isNotNull()).drop(key)
 

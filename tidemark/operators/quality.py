@@ -8,7 +8,7 @@ violation, and `route_records` applies cleansed values and splits records into c
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +19,35 @@ from tidemark.functions.cleansing import mask_pii, standard_datetime, standard_p
 from tidemark.functions.columns import any_of, joined_or_null, key_value_text, labels_where, rate
 from tidemark.operators.keys import duplicate_keys, flag_members, flag_rows_with_keys
 from tidemark.operators.rules import Rule
+from tidemark.session import METADATA_ROW_LIMIT, metadata_frame
 
 
 @dataclass(frozen=True)
 class CodeTables:
-    """Code master (CODE_GROUP, CODE) and, when code cleansing is on, the approved code mapping."""
+    """Code master (CODE_GROUP, CODE) and, when code cleansing is on, the approved code mapping.
+
+    `unique` promises that no code occurs twice in its group.
+    """
 
     master: DataFrame
     mapping: DataFrame | None = None
     enabled_steps: frozenset[str] = frozenset()
+    unique: bool = False
+
+    def localized(self) -> CodeTables:
+        """The same tables with the master as a local relation, if it is as small as code masters are.
+
+        Every code rule then joins a relation whose size the planner knows. A larger master stays a table and is
+        joined as such.
+        """
+        if self.unique:
+            return self
+        codes = self.master.select("CODE_GROUP", F.col("CODE").cast("string").alias("CODE")).distinct()
+        rows = codes.limit(METADATA_ROW_LIMIT + 1).collect()
+        if not rows or len(rows) > METADATA_ROW_LIMIT:
+            return self
+        local = metadata_frame(self.master.sparkSession, [r.asDict() for r in rows])
+        return replace(self, master=local, unique=True)
 
     def codes(self, group: str | None) -> DataFrame:
         return self.master.filter(F.col("CODE_GROUP") == F.lit(group)).select(F.col("CODE").cast("string"))
@@ -61,31 +81,47 @@ def map_codes(df: DataFrame, value: Column, mapping: DataFrame, group: str, out:
     return joined.withColumn(out, F.coalesce(F.col(f"__std_{out}"), value)).drop(f"__src_{out}", f"__std_{out}")
 
 
-def cleanse_column(df: DataFrame, rule: Rule, codes: CodeTables, value: str, out: str) -> DataFrame:
-    """Apply the rule's cleansing steps in order to the text column `value`.
+def cleanse_values(df: DataFrame, rules: list[tuple[Rule, str]], codes: CodeTables) -> DataFrame:
+    """Apply the cleansing steps of several rules, each to the text of its own column.
 
-    Adds `out` (the cleansed text) and `out`_steps (ids of the steps that changed something, in order).
+    Adds per (rule, out) pair `out`, the cleansed text, and `out`_steps, the ids of the steps that changed something.
+    The first steps of all rules form one projection, then the second steps, and so on.
     """
-    current, frame, stages = F.col(value), df, []
-    for number, step in enumerate(codes.steps_of(rule)):
-        stage = f"{out}_{number}"
-        if step == "CLN-VAL-003":
-            frame = map_codes(frame, current, codes.mapping, rule.code_group, stage)
-        elif step == "CLN-COM-001":
-            frame = frame.withColumn(stage, trim_all_space(current))
-        elif step == "CLN-VAL-001":
-            frame = frame.withColumn(stage, standard_phone(current))
-        else:
-            frame = frame.withColumn(stage, standard_datetime(current, rule.datetime_kind or "TIMESTAMP"))
-        stages.append((step, ~current.eqNullSafe(F.col(stage)), stage))
-        current = F.col(stage)
-    frame = frame.withColumns({out: current, f"{out}_steps": labels_where([(s, changed) for s, changed, _ in stages])})
-    return frame.drop(*[stage for _, _, stage in stages])
-
-
-def _row_error(rule: Rule, value: Column | None = None) -> Column:
+    before = {out: F.col(rule.column).cast("string") for rule, out in rules}
+    changes: dict[str, list[tuple[str, Column]]] = {out: [] for _, out in rules}
+    frame, helpers = df, []
+    for number in range(max((len(codes.steps_of(r)) for r, _ in rules), default=0)):
+        stage_columns = {}
+        for rule, out in rules:
+            steps = codes.steps_of(rule)
+            if number >= len(steps):
+                continue
+            step, stage, current = steps[number], f"{out}_{number}", before[out]
+            if step == "CLN-VAL-003":
+                frame = map_codes(frame, current, codes.mapping, rule.code_group, stage)
+            elif step == "CLN-COM-001":
+                stage_columns[stage] = trim_all_space(current)
+            elif step == "CLN-VAL-001":
+                stage_columns[stage] = standard_phone(current)
+            else:
+                stage_columns[stage] = standard_datetime(current, rule.datetime_kind or "TIMESTAMP")
+            changes[out].append((step, ~current.eqNullSafe(F.col(stage))))
+            before[out] = F.col(stage)
+            helpers.append(stage)
+        frame = frame.withColumns(stage_columns) if stage_columns else frame
+    results = {}
+    for _, out in rules:
+        results |= {out: before[out], f"{out}_steps": labels_where(changes[out])}
+    return frame.withColumns(results).drop(*helpers)
+
+
+def cleanse_column(df: DataFrame, rule: Rule, codes: CodeTables, out: str) -> DataFrame:
+    return cleanse_values(df, [(rule, out)], codes)
+
+
+def _row_error(rule: Rule, value: str | None) -> Column:
     """Error condition of a row-local rule, on its own column or on another text."""
-    c = F.col(rule.column) if value is None else value
+    c = F.col(value or rule.column)
     if rule.rule_type == "NULL_CHECK":
         return predicates.null_error(c)
     if rule.rule_type == "PATTERN_CHECK":
@@ -97,15 +133,25 @@ def _row_error(rule: Rule, value: Column | None = None) -> Column:
     raise ValueError(f"unknown rule type {rule.rule_type}")
 
 
-def flag_errors(df: DataFrame, rule: Rule, codes: CodeTables, flag: str, value: str | None = None) -> DataFrame:
-    """Boolean column `flag`: does the row break the rule (judged on `value` instead of the column, if given)."""
-    if rule.rule_type == "CODE_EXISTS":
-        text = F.col(value or rule.column).cast("string")
-        return flag_members(df, text, codes.codes(rule.code_group), flag).withColumn(flag, ~F.col(flag))
-    if rule.rule_type == "DUPLICATE_CHECK":
-        keys = list(rule.columns)
-        return flag_rows_with_keys(df, keys, duplicate_keys(df, keys), flag)
-    return df.withColumn(flag, _row_error(rule, F.col(value) if value else None))
+def flag_errors(df: DataFrame, checks: list[tuple[str, Rule, str | None]], codes: CodeTables) -> DataFrame:
+    """Boolean columns for (flag, rule, value) checks: does the row break the rule?
+
+    A check is judged on the text column `value` instead of the rule's own column, if one is given. Row-local rules
+    share one projection; code and duplicate rules are joins with key sets.
+    """
+    out, flags = df, {}
+    for flag, rule, value in checks:
+        if rule.rule_type == "CODE_EXISTS":
+            text = F.col(value or rule.column).cast("string")
+            out = flag_members(out, text, codes.codes(rule.code_group), f"__known{flag}", codes.unique)
+            flags[flag] = ~F.col(f"__known{flag}")
+        elif rule.rule_type == "DUPLICATE_CHECK":
+            keys = list(rule.columns)
+            out = flag_rows_with_keys(out, keys, duplicate_keys(df, keys), f"__known{flag}")
+            flags[flag] = F.col(f"__known{flag}")
+        else:
+            flags[flag] = _row_error(rule, value)
+    return out.withColumns(flags).drop(*[f"__known{flag}" for flag in flags])
 
 
 def with_outcomes(df: DataFrame, rules: list[Rule], codes: CodeTables, row_local_only: bool = False) -> DataFrame:
@@ -114,20 +160,21 @@ def with_outcomes(df: DataFrame, rules: list[Rule], codes: CodeTables, row_local
     `__err{i}` broken as delivered, `__left{i}` still broken after the rule's own cleansing,
     `__val{i}` / `__val{i}_steps` the cleansed text and the steps behind it (cleansing rules only).
     """
+    repeats = [(i, r) for i, r in enumerate(rules) if r.rule_type == "DUPLICATE_CHECK"]
+    local = [(i, r) for i, r in enumerate(rules) if r.rule_type != "DUPLICATE_CHECK"]
+    chosen = local if row_local_only else [*repeats, *local]
+    cleansing = [(i, r) for i, r in chosen if codes.steps_of(r)]
     out = df
-    for i, rule in enumerate(rules):
-        if row_local_only and rule.rule_type == "DUPLICATE_CHECK":
-            continue
-        out = flag_errors(out, rule, codes, f"__err{i}")
-        if codes.steps_of(rule):
-            raw = f"__raw{i}"
-            out = out.withColumn(raw, F.col(rule.column).cast("string"))
-            out = cleanse_column(out, rule, codes, raw, f"__val{i}").drop(raw)
-            out = flag_errors(out, rule, codes, f"__left{i}", f"__val{i}")
-            out = out.withColumn(f"__left{i}", F.col(f"__err{i}") & F.col(f"__left{i}"))
-        else:
-            out = out.withColumn(f"__left{i}", F.col(f"__err{i}"))
-    return out
+    if repeats and not row_local_only:  # these joins may move rows, so they come before columns are added
+        out = flag_errors(out, [(f"__err{i}", r, None) for i, r in repeats], codes)
+    out = cleanse_values(out, [(r, f"__val{i}") for i, r in cleansing], codes) if cleansing else out
+    checks = [(f"__err{i}", r, None) for i, r in local] + [(f"__again{i}", r, f"__val{i}") for i, r in cleansing]
+    out = flag_errors(out, checks, codes) if checks else out
+    again = {i for i, _ in cleansing}
+    left = {
+        f"__left{i}": F.col(f"__err{i}") & F.col(f"__again{i}") if i in again else F.col(f"__err{i}") for i, _ in chosen
+    }
+    return out.withColumns(left).drop(*[f"__again{i}" for i in again])
 
 
 def rule_counts(df: DataFrame, rules: list[Rule], codes: CodeTables) -> DataFrame:
@@ -173,8 +220,6 @@ def rule_counts(df: DataFrame, rules: list[Rule], codes: CodeTables) -> DataFram
 
 def rule_table(spark, rules: list[Rule]) -> DataFrame:
     """The rules as a small local relation, for joins with results."""
-    from tidemark.session import metadata_frame
-
     rows = [
         {
             "rule_id": r.rule_id,
@@ -323,22 +368,29 @@ def error_samples(found: DataFrame, size: int = 5) -> DataFrame:
 
 
 def apply_cleansing(df: DataFrame, rules: list[Rule], codes: CodeTables) -> DataFrame:
-    """Overwrite values that were wrong and are right after cleansing; `_cleansed_yn` tells whether any was."""
-    out = df.withColumn("_cleansed_yn", F.lit(False))
-    for i, rule in enumerate(rules):
-        if not codes.steps_of(rule):
-            continue
-        kind = dict(df.dtypes)[rule.column]
-        raw, value, wrong, left = f"__raw{i}", f"__val{i}", f"__err{i}", f"__left{i}"
-        out = out.withColumn(raw, F.col(rule.column).cast("string"))
-        out = cleanse_column(out, rule, codes, raw, value)
-        out = flag_errors(out, rule, codes, wrong)
-        out = flag_errors(out, rule, codes, left, value)
-        hit = F.col(wrong) & ~F.col(left)
-        fixed_value = F.when(hit, F.col(value).cast(kind)).otherwise(F.col(rule.column))
-        out = out.withColumns({"_cleansed_yn": F.col("_cleansed_yn") | hit, rule.column: fixed_value})
-        out = out.drop(raw, value, f"{value}_steps", wrong, left)
-    return out
+    """Overwrite values that were wrong and are right after cleansing; `_cleansed_yn` tells whether any was.
+
+    Rules of different columns are applied together; a later rule of the same column sees the value of the earlier.
+    """
+    rounds: list[list[Rule]] = []
+    for rule in rules:
+        if codes.steps_of(rule):
+            used = [n for n, chosen in enumerate(rounds) if rule.column in {r.column for r in chosen}]
+            number = used[-1] + 1 if used else 0
+            rounds += [[]] if number == len(rounds) else []
+            rounds[number].append(rule)
+    kinds, out, changed = dict(df.dtypes), df, F.lit(False)
+    for number, chosen in enumerate(rounds):
+        out = with_outcomes(out, chosen, codes)
+        hits = {i: F.col(f"__err{i}") & ~F.col(f"__left{i}") for i in range(len(chosen))}
+        values = {
+            r.column: F.when(hits[i], F.col(f"__val{i}").cast(kinds[r.column])).otherwise(F.col(r.column))
+            for i, r in enumerate(chosen)
+        }
+        helpers = [f"__{kind}{i}" for i in hits for kind in ("err", "left", "val")] + [f"__val{i}_steps" for i in hits]
+        out = out.withColumns({**values, f"__changed{number}": any_of(list(hits.values()))}).drop(*helpers)
+        changed = changed | F.col(f"__changed{number}")
+    return out.withColumn("_cleansed_yn", changed).drop(*[f"__changed{n}" for n in range(len(rounds))])
 
 
 def route_records(
@@ -349,8 +401,7 @@ def route_records(
     CLEAN and CLEANSED records are candidates, UNRESOLVED ones belong in quarantine.
     """
     out = apply_cleansing(df, cleanse, codes)
-    for i, rule in enumerate(isolate):
-        out = flag_errors(out, rule, codes, f"__iso{i}")
+    out = flag_errors(out, [(f"__iso{i}", rule, None) for i, rule in enumerate(isolate)], codes)
     broken = [(r.rule_id, F.col(f"__iso{i}")) for i, r in enumerate(isolate)]
     status = (
         F.when(any_of([b for _, b in broken]), F.lit("UNRESOLVED"))

@@ -104,6 +104,7 @@ def run_quality(
             raise FileNotFoundError(f"{table} has no batch")
     rows = spark.table(table).filter(F.col(files.BATCH_COLUMN) == batch)
     key = fixed.RECORD_KEYS.get(source)
+    codes = codes.localized()
     run_id = new_run_id("DQ", source)
 
     judged = q.judge(q.rule_counts(rows, rules, codes), rules)

@@ -43,8 +43,8 @@ def code_tables(spark: SparkSession, code_steps: bool = False) -> q.CodeTables:
     names = ("CODE_GROUP", "SOURCE_CODE", "STANDARD_CODE", "APPROVED_YN")
     mapping = metadata_frame(spark, [dict(zip(names, r)) for r in CODE_MAPPING])
     if not code_steps:
-        return q.CodeTables(master)
-    return q.CodeTables(master, q.approved_code_mapping(mapping, master), frozenset(["CLN-VAL-003"]))
+        return q.CodeTables(master, unique=True)
+    return q.CodeTables(master, q.approved_code_mapping(mapping, master), frozenset(["CLN-VAL-003"]), unique=True)
 
 
 def inbound(spark, sf_dir):
@@ -182,7 +182,7 @@ def cln_datetime(spark, sf_dir):
 
 def cln_code_map(spark, sf_dir):
     rule = Rule("R", "CODE_EXISTS", ("status",), "HIGH", code_group="CST", cleansing_steps=("CLN-VAL-003",))
-    rows = q.cleanse_column(inbound(spark, sf_dir), rule, code_tables(spark, True), "status", "after")
+    rows = q.cleanse_column(inbound(spark, sf_dir), rule, code_tables(spark, True), "after")
     return rows.groupBy(F.col("status").alias("before"), "after", joined_or_null(F.col("after_steps")).alias("steps")).agg(
         F.count(F.lit(1)).alias("rows")
     )

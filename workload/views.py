@@ -85,11 +85,12 @@ UNION ALL
 SELECT 'NEW-' || lpad(CAST(p_partkey AS STRING), 6, '0'), p_name, p_brand, p_type FROM {part} WHERE p_partkey % 37 = 0""",
     # Version history of the products: version 1 of all but some, and a second version, inactive for some.
     "product_history": """
-SELECT 'STD-' || lpad(CAST(p_partkey AS STRING), 6, '0') AS STD_PRODUCT_CODE, v.version, NOT (p_partkey % 23 = 0 AND v.version = 2) AS is_active,
-  p_name AS STD_PRODUCT_NAME, p_brand AS PRODUCT_CLASS,
-  CASE WHEN v.version = 1 AND p_partkey % 5 = 0 THEN 'OLD' ELSE p_type END AS STD_CATEGORY
-FROM {part} JOIN (VALUES (1), (2)) AS v(version) ON v.version = 1 OR p_partkey % 5 = 0 OR p_partkey % 23 = 0
-WHERE p_partkey % 41 <> 0""",
+SELECT 'STD-' || lpad(CAST(p_partkey AS STRING), 6, '0') AS STD_PRODUCT_CODE, 1 AS version, true AS is_active,
+  p_name AS STD_PRODUCT_NAME, p_brand AS PRODUCT_CLASS, CASE WHEN p_partkey % 5 = 0 THEN 'OLD' ELSE p_type END AS STD_CATEGORY
+FROM {part} WHERE p_partkey % 41 <> 0
+UNION ALL
+SELECT 'STD-' || lpad(CAST(p_partkey AS STRING), 6, '0'), 2, p_partkey % 23 <> 0, p_name, p_brand, p_type
+FROM {part} WHERE p_partkey % 41 <> 0 AND (p_partkey % 5 = 0 OR p_partkey % 23 = 0)""",
     # Customer records from two sources, before merging. Names or birth dates are missing for some.
     "customer_records": f"""
 SELECT CAST(NULL AS STRING) AS CUST_ID,
