@@ -70,6 +70,32 @@ def test_flatten_covers_every_pair(spark, sf_dir):
     assert files.flatten_sessions(nested).count() == count.first()[0]
 
 
+def test_bucket_upsert_touches_only_its_partitions(spark, layout):
+    key, table = ["k"], layout.table("gold", "t")
+    rows = spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit("old").alias("v"))
+    tables.append(tables.with_key_bucket(rows, key, 8), table, [tables.KEY_BUCKET])
+
+    def files_of() -> dict[int, set[str]]:
+        found = {}
+        for r in spark.table(table).select(tables.KEY_BUCKET, F.input_file_name().alias("f")).distinct().collect():
+            found.setdefault(r[0], set()).add(r["f"])
+        return found
+
+    before = files_of()
+    stored = spark.table(table)
+    emptied = stored.filter("_key_bucket = 2").select("k")
+    gone = {r["k"] for r in emptied.collect()}
+    change = tables.with_key_bucket(spark.createDataFrame([("5", "new"), ("x", "new")], "k string, v string"), key, 8)
+    changed = {r[0] for r in change.select(tables.KEY_BUCKET).collect()}
+    tables.upsert(change, table, key, removed=emptied)
+    after = files_of()
+    assert 2 not in after or 2 in changed
+    assert {b for b in before if before[b] == after.get(b)} == set(before) - changed - {2}
+    got = {r["k"]: r["v"] for r in spark.table(table).collect()}
+    want = {str(i): "old" for i in range(200) if str(i) not in gone} | {"5": "new", "x": "new"}
+    assert got == want
+
+
 def test_metadata_file(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text('﻿TABLE_NAME,COLUMN_NAME,KEY\nA,x,\nA,"y, z",PK\n', encoding="utf-8")

@@ -9,7 +9,7 @@ from tidemark.operators import validation as v
 from tidemark.operators.model import TargetModel
 from tidemark.plans.layout import Layout
 from tidemark.plans.quality import new_run_id
-from tidemark.session import materialize
+from tidemark.session import materialize, metadata_rows
 from tidemark.sources import tables
 
 # Order rules between columns that the model cannot express.
@@ -26,12 +26,19 @@ def parents_in_gold(spark: SparkSession, layout: Layout, model: TargetModel) ->
 
 
 def run_validation(
-    spark: SparkSession, layout: Layout, model: TargetModel, target: str, job_run_id: str | None = None
+    spark: SparkSession,
+    layout: Layout,
+    model: TargetModel,
+    target: str,
+    job_run_id: str | None = None,
+    key_buckets: int = 16,
 ) -> dict:
     """Check a mapped table and write it: good rows replace gold rows of the same key, the rest is quarantined.
 
     The checked rows are written to scratch once and feed all three outputs. Quarantine is replaced for every batch
-    that was processed, also when nothing failed now, and gold rows whose key failed now are removed.
+    that was processed, also when nothing failed now, and gold rows whose key failed now are removed. Gold tables
+    are partitioned into `key_buckets` parts by key, so an upsert rewrites only parts that it changes; the number
+    must stay the same for the life of a table (a few thousand for very large ones).
     """
     target = target.upper()
     candidate = spark.table(layout.table("gold_candidate", target))
@@ -53,13 +60,15 @@ def run_validation(
 
     good, bad = v.passed(rows), v.failed(rows)
     gold_table, held_table = layout.table("gold", target), layout.table("gold_quarantine", target)
-    tables.upsert(good.select(*names, *runs), gold_table, [pk], removed=bad.select(pk))
+    gold_rows = tables.with_key_bucket(good.select(*names, *runs), [pk], key_buckets)
+    tables.create_empty(gold_rows, gold_table, [tables.KEY_BUCKET])
+    tables.upsert(gold_rows, gold_table, [pk], removed=bad.select(pk))
 
     held = bad.select(*names, *v.TRACE_LINEAGE, "_violations", *runs)
-    tables.create_empty(held, held_table, PARTITION)
-    processed = rows.select(*PARTITION).distinct()
-    kept = spark.table(held_table).join(processed, PARTITION, "left_anti")
-    tables.overwrite_staged(kept.unionByName(tables.align(held, held_table)), held_table, PARTITION)
+    tables.replace_batches(held, held_table, PARTITION)
+    failures = rows.groupBy(*PARTITION).agg(F.count_if(F.size("_violations") > 0).alias("n"))
+    for batch in metadata_rows(failures.filter("n = 0").select(*PARTITION)):  # one row per processed batch
+        tables.drop_batch(spark, held_table, batch)
 
     trace_table = layout.table("gold", "migration_trace")
     tables.append(v.migration_trace(rows, target, pk, run_id), trace_table)

@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import all_of, any_of
 from tidemark.operators.keys import rows_with_keys
-from tidemark.session import materialize, scratch_dir
+from tidemark.session import materialize, metadata_rows, scratch_dir
+
+KEY_BUCKET = "_key_bucket"
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -128,18 +131,44 @@ def drop_batch(spark: SparkSession, table: str, batch: dict[str, str]) -> None:
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Add `_key_bucket`, a partition column for tables that are upserted by key."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return df.withColumn(KEY_BUCKET, bucket)
+
+
+def in_partitions(partitions: list[dict]) -> Column:
+    """Condition for rows of the given partitions, in literals, so that only their files are read."""
+    return any_of([all_of([F.col(c).eqNullSafe(F.lit(v)) for c, v in p.items()]) for p in partitions])
+
+
 def upsert(df: DataFrame, table: str, keys: list[str], removed: DataFrame | None = None) -> None:
-    """Rows of the frame take the place of rows with the same key; keys of `removed` disappear as well."""
+    """Rows of the frame take the place of rows with the same key; keys of `removed` disappear as well.
+
+    Of a partitioned table only the partitions that hold one of these keys are rewritten. They are named by literals;
+    there are never more of them than the table has partitions.
+    """
     spark = df.sparkSession
-    if not table_exists(spark, table):
-        df.write.format("parquet").saveAsTable(table)
-        return
     rows = align(df, table)
     outgoing = rows.select(*keys)
     if removed is not None:
         outgoing = outgoing.unionByName(removed.select(*keys))
-    kept = rows_with_keys(spark.table(table), keys, outgoing.distinct(), "left_anti")
-    overwrite_staged(kept.unionByName(rows), table, _partitions(spark, table))
+    outgoing = outgoing.distinct()
+    existing, parts = spark.table(table), _partitions(spark, table)
+    if not parts:
+        overwrite_staged(rows_with_keys(existing, keys, outgoing, "left_anti").unionByName(rows), table)
+        return
+    held = rows_with_keys(existing.select(*parts, *keys), keys, outgoing).select(*parts)
+    touched = metadata_rows(held.unionByName(rows.select(*parts)).distinct())
+    if not touched:
+        return
+    kept = rows_with_keys(existing.filter(in_partitions(touched)), keys, outgoing, "left_anti")
+    staged = materialize(kept.unionByName(rows))
+    replace_batches(staged, table, parts)
+    filled = {tuple(r.values()) for r in metadata_rows(staged.select(*parts).distinct())}
+    for partition in touched:
+        if tuple(partition.values()) not in filled:
+            drop_batch(spark, table, partition)
 
 
 def snapshot(spark: SparkSession, table: str, copy: str) -> DataFrame:

@@ -95,6 +95,17 @@ def sink_pk_upsert(spark, sf_dir):
     return spark.table(target)
 
 
+def sink_bucket_upsert(spark, sf_dir):
+    """The same upsert into a table that is partitioned by key, where only touched partitions are rewritten."""
+    target = f"{tables.scratch_database(spark)}.product"
+    key = ["STD_PRODUCT_CODE"]
+    tables.append(tables.with_key_bucket(view(spark, sf_dir, "product"), key, 8), target, [tables.KEY_BUCKET])
+    later = tables.with_key_bucket(view(spark, sf_dir, "product_later"), key, 8)
+    gone = later.filter("STD_CATEGORY IS NULL")
+    tables.upsert(later.filter("STD_CATEGORY IS NOT NULL"), target, key, removed=gone)
+    return spark.table(target).drop(tables.KEY_BUCKET)
+
+
 def sink_staged_swap(spark, sf_dir):
     """A table is overwritten with a frame that reads it."""
     target = table(spark, sf_dir, "product")
@@ -161,6 +172,7 @@ QUERIES = {
     "sink_drop_batch": sink_drop_batch,
     "sink_delete_where": sink_delete_where,
     "sink_pk_upsert": sink_pk_upsert,
+    "sink_bucket_upsert": sink_bucket_upsert,
     "sink_staged_swap": sink_staged_swap,
     "sink_selective_replace": sink_selective_replace,
     "sink_snapshot": sink_snapshot,
@@ -198,6 +210,8 @@ ORACLES = {
     "sink_delete_where": f"WITH {cte('inbound')} SELECT * FROM inbound WHERE status IS NULL OR status <> 'PENDING'",
     "sink_pk_upsert": f"""WITH {cte('product', 'product_later')} SELECT * FROM product WHERE STD_PRODUCT_CODE NOT IN (SELECT STD_PRODUCT_CODE FROM product_later)
         UNION ALL SELECT * FROM product_later WHERE STD_CATEGORY IS NOT NULL""",
+    "sink_bucket_upsert": f"""WITH {cte('product', 'product_later')} SELECT * FROM product WHERE STD_PRODUCT_CODE NOT IN (SELECT STD_PRODUCT_CODE FROM product_later)
+        UNION ALL SELECT * FROM product_later WHERE STD_CATEGORY IS NOT NULL""",
     "sink_staged_swap": f"WITH {cte('product')} SELECT * REPLACE (upper(STD_PRODUCT_NAME) AS STD_PRODUCT_NAME) FROM product WHERE STD_CATEGORY <> 'ECONOMY'",
     "sink_selective_replace": f"""WITH {cte('product', 'product_later')} SELECT * FROM product WHERE PRODUCT_CLASS <> 'Brand#1'
         UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS STD_CATEGORY) FROM product_later WHERE PRODUCT_CLASS = 'Brand#1'""",
