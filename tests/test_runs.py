@@ -227,6 +227,7 @@ def test_mapping_merge_and_validation(spark, layout, sf_dir):
     rows = spark.table(layout.table("silver_candidate", "inbound")).count()
     run, model = mapping_run(spark, layout)
     run.require_ready(["CUSTOMER", "COUNSEL"])
+    assert run.executable(["customer", "CONTRACT", "COUNSEL"]) == (["CUSTOMER", "COUNSEL"], ["PRODUCT"])
     with pytest.raises(ValueError, match="CONTRACT"):
         run.require_ready(["CUSTOMER", "CONTRACT"])
 
@@ -281,6 +282,17 @@ def test_master_target(spark, layout, sf_dir):
     assert all(later[c] == ids[c] for c in later if c in ids) and len(set(later.values())) == len(later)
 
 
+def test_crosswalk_refuses_unknown_codes(spark):
+    from tidemark.operators import mapping as m
+
+    products = spark.createDataFrame([("P1", " A "), ("P2", "B")], "PRD_ID string, PRD_CD string")
+    pairs = spark.createDataFrame([("INBOUND", "x", "A"), ("OUTBOUND", "y", "C")], "SRC_SYS string, SRC_PRD_CD string, STD_CODE string")
+    with pytest.raises(ValueError, match="unknown standard codes.*C"):
+        m.build_crosswalk(pairs, products, "PRD_CD", "PRD_ID")
+    kept = m.build_crosswalk(pairs.filter("STD_CODE = 'A'"), products, "PRD_CD", "PRD_ID")
+    assert [tuple(r) for r in kept.collect()] == [("INBOUND", "x", "P1", "Y")]
+
+
 def test_definition_is_checked(spark, layout, sf_dir):
     from tidemark.operators import mapping as m
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import predicates
 from tidemark.functions.columns import is_filled, labels_where
-from tidemark.operators.keys import duplicate_keys, flag_members, flag_rows_with_keys, number_rows, rows_with_keys
+from tidemark.operators.keys import duplicate_keys, flag_duplicates, flag_members, flag_rows_with_keys, number_rows
 from tidemark.operators.model import TargetModel
+from tidemark.session import materialize
 
 TRACE_LINEAGE = ["_source_system", "_source_table", "_source_record_key", "_source_batch_id"]
 
@@ -102,13 +103,13 @@ def repair_primary_keys(df: DataFrame, repair: PrimaryKeyRepair) -> DataFrame:
     """Number the rows behind a repeated key, rows of other sources first, and suffix the later rows of the source.
 
     Adds `_remediated_<pk>` with the key before the change. Only rows with a repeated key are numbered, and the
-    numbering spreads a hot key over partitions.
+    numbering spreads a hot key over partitions. The marked rows are written to scratch once, since both kinds of
+    rows and the later uniqueness check start from them.
     """
     pk, audit = repair.column, f"_remediated_{repair.column}"
-    repeated = duplicate_keys(df, [pk], filled_only=True)
-    involved = rows_with_keys(df, [pk], repeated).withColumn(
-        "__own", F.coalesce(F.col("_source_system") == repair.source, F.lit(False)).cast("int")
-    )
+    marked = materialize(flag_duplicates(df, [pk], "__repeated", filled_only=True))
+    own = F.coalesce(F.col("_source_system") == repair.source, F.lit(False)).cast("int")
+    involved = marked.filter("__repeated").drop("__repeated").withColumn("__own", own)
     ranked = number_rows(involved, ["__own", repair.order_by], [pk], "__rank").withColumn(
         "__change", (F.col("__own") == 1) & (F.col("__rank") > 1)
     )
@@ -116,7 +117,7 @@ def repair_primary_keys(df: DataFrame, repair: PrimaryKeyRepair) -> DataFrame:
     changed = ranked.withColumns(
         {audit: F.when(F.col("__change"), F.col(pk)), pk: F.when(F.col("__change"), fixed).otherwise(F.col(pk))}
     ).drop("__own", "__rank", "__change")
-    untouched = rows_with_keys(df, [pk], repeated, "left_anti").withColumn(audit, F.lit(None).cast("string"))
+    untouched = marked.filter("NOT __repeated").drop("__repeated").withColumn(audit, F.lit(None).cast("string"))
     return untouched.unionByName(changed)
 
 

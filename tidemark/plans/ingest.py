@@ -14,13 +14,8 @@ def read_source(spark: SparkSession, base: str, fmt: str, columns: list[str] | N
     if fmt == "csv":
         return files.read_csv_batches(spark, base, columns)
     if fmt == "json_unified":
-        raw = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-        raw = raw.option("pathGlobFilter", "*.json")
-        nested = (raw.schema(schema) if schema else raw).json(base)
-        dated = nested.withColumn(files.BATCH_COLUMN, files.batch_of_path())
-        newest = files.latest_batch(dated)
-        batch = newest.agg(F.max(files.BATCH_COLUMN)).scalar()
-        return files.flatten_sessions(newest).withColumn(files.BATCH_COLUMN, batch)
+        folder, batch = files.newest_batch_folder(spark, base)
+        return files.read_sessions(spark, folder, schema).withColumn(files.BATCH_COLUMN, F.lit(batch))
     raise ValueError(f"unsupported source format {fmt}")
 
 

@@ -66,6 +66,15 @@ def latest_batch(df: DataFrame, column: str = BATCH_COLUMN) -> DataFrame:
     return df.filter(F.col(column) == newest)
 
 
+def newest_batch_folder(spark: SparkSession, base: str) -> tuple[str, str]:
+    """(folder, batch) of the newest `ingest_date=` folder. Only file names are listed, no content is read."""
+    listing = spark.read.format("binaryFile").load(base)
+    if BATCH_COLUMN not in listing.columns:
+        raise FileNotFoundError(f"{base} has no {BATCH_COLUMN}= folder")
+    batch = listing.agg(F.max(F.col(BATCH_COLUMN).cast("string"))).first()[0]
+    return f"{base.rstrip('/')}/{BATCH_COLUMN}={batch}", batch
+
+
 def read_metadata_csv(spark: SparkSession, path: str, ordinal: str | None = None, key: str | None = None) -> DataFrame:
     """Metadata file: header, byte-order mark allowed, all text, blank cells as NULL.
 

@@ -136,6 +136,15 @@ def map_fk_natural_key(spark, sf_dir):
     return rows.select("CTI_ID", "STD_CD", "PRD_ID")
 
 
+def map_crosswalk_build(spark, sf_dir):
+    """Crosswalk rows for every product, with the key of the loaded product."""
+    products = view(spark, sf_dir, "product_parent")
+    pairs = products.select(
+        F.lit("OUTBOUND").alias("SRC_SYS"), F.concat(F.lit("GD-"), F.trim("PRD_CD")).alias("SRC_PRD_CD"), F.trim("PRD_CD").alias("STD_CODE")
+    )
+    return m.build_crosswalk(pairs, products, "PRD_CD", "PRD_ID")
+
+
 def map_fk_lineage_fallback(spark, sf_dir):
     """Lookup in the representative rows of an entity, for targets without a lineage table."""
     rows = with_lineage(view(spark, sf_dir, "outbound"), "outbound", "CTI_ID", F.lit("2026-09-14"))
@@ -168,6 +177,7 @@ QUERIES = {
     "map_date": columns("INBOUND", "REG_DT"),
     "map_fk_natural_key": map_fk_natural_key,
     "map_fk_crosswalk": columns("OUTBOUND", "PRD_ID", "_unmapped_codes"),
+    "map_crosswalk_build": map_crosswalk_build,
     "map_fk_lineage": columns("OUTBOUND", "CUST_ID"),
     "map_fk_lineage_fallback": map_fk_lineage_fallback,
     "map_clean_rows": lambda s, d: readable(m.clean_rows(mapped(s, d, "INBOUND"))),
@@ -217,6 +227,7 @@ ORACLES = {
     "map_date": f"{_INB} SELECT _source_record_key, REG_DT FROM inb",
     "map_fk_natural_key": f"""WITH {cte('outbound', 'product_parent')} SELECT CTI_ID, STD_CD, PRD_ID FROM outbound LEFT JOIN product_parent ON trim(STD_CD) = trim(PRD_CD)""",
     "map_fk_crosswalk": f"{_OUTB} SELECT _source_record_key, PRD_ID, _unmapped_codes FROM outb",
+    "map_crosswalk_build": f"""WITH {cte('product_parent')} SELECT 'OUTBOUND' AS SRC_SYS, 'GD-' || trim(PRD_CD) AS SRC_PRD_CD, PRD_ID AS TGT_PRD_ID, 'Y' AS APRV_YN FROM product_parent""",
     "map_fk_lineage": f"{_OUTB} SELECT _source_record_key, CUST_ID FROM outb",
     "map_fk_lineage_fallback": f"{_OUTB} SELECT _source_record_key, CUST_ID FROM outb",
     "map_clean_rows": f"{_INB} SELECT * FROM inb WHERE _map_errors IS NULL",

@@ -43,6 +43,15 @@ def src_batch_of_path(spark, sf_dir):
     return rows.groupBy(files.batch_of_path().alias("batch")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def src_json_leaf(spark, sf_dir):
+    """A number out of JSON text, and the text written again from its parts."""
+    rows = view(spark, sf_dir, "salesforce").withColumn("props", F.from_json("Consult_Content__c", "k BIGINT"))
+    return rows.select(
+        "Consultation_No__c", F.col("props.k").alias("k"), F.get_json_object("Consult_Content__c", "$.k").alias("k_text"),
+        F.to_json("props").alias("again"),
+    )
+
+
 def src_nested_flatten(spark, sf_dir):
     nested, path = sessions(spark, sf_dir), scratch_dir(spark)
     nested.write.json(path)
@@ -163,6 +172,7 @@ def sink_mapped_split(spark, sf_dir):
 
 QUERIES = {
     "src_csv_roundtrip": src_csv_roundtrip,
+    "src_json_leaf": src_json_leaf,
     "src_nested_flatten": src_nested_flatten,
     "src_batch_of_path": src_batch_of_path,
     "latest_batch_scan": latest_batch_scan,
@@ -192,6 +202,8 @@ _GIVEN = {"session_id": "'CHAT-' || conv_id || '-' || turn", "channel": "'APP'",
 _HEAD = ", ".join(f"{_GIVEN.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in files.SESSION_HEAD)
 ORACLES = {
     "src_csv_roundtrip": f"WITH {cte('inbound')} SELECT {_TEXT} FROM inbound",
+    "src_json_leaf": f"""WITH {cte('salesforce')} SELECT Consultation_No__c, CAST(json_extract_string(Consult_Content__c, '$.k') AS BIGINT) AS k,
+        json_extract_string(Consult_Content__c, '$.k') AS k_text, '{{"k":' || json_extract_string(Consult_Content__c, '$.k') || '}}' AS again FROM salesforce""",
     "src_nested_flatten": f"""WITH n AS (SELECT conv_id, turn, unnest(CASE WHEN turn > 0 THEN range(1, turn + 1) ELSE [NULL] END) AS step FROM conversations),
         q AS (SELECT conv_id, turn, role, unnest(CASE WHEN role <> 'system' THEN string_split(text, chr(10)) ELSE [NULL] END) AS line FROM conversations)
         SELECT {_HEAD}, CAST(step AS VARCHAR) AS nav_step, CASE WHEN step IS NOT NULL THEN role END AS nav_menu_level,
