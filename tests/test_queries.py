@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.check import compare, duck
+from workload import registry
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +12,10 @@ def connection(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_agrees_with_sql(spark, connection, sf_dir, name):
-    assert name in entry.oracle_sql()
-    problem = compare(spark, connection, sf_dir, name, entry.queries()[name], entry.oracle_sql()[name])
+    assert name in registry.ORACLES
+    problem = compare(spark, connection, sf_dir, name, entry.queries()[name], registry.ORACLES[name])
     assert problem in (None, "both empty"), problem
 
 
