@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from tidemark.llm.merkle import op4_document_fingerprints
+from tidemark.llm.token_mix import op8_mix_to_target
 from tidemark.llm.url_filter import OP1_SQL, op1_url_filters
 
-QUERIES = {"op1_url_filters": op1_url_filters}
+QUERIES = {
+    "op1_url_filters": op1_url_filters,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op8_mix_to_target": op8_mix_to_target,
+}
 ORACLES = {"op1_url_filters": OP1_SQL}
