@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.language import op7_language_id
 from tidemark.llm.merkle import op4_document_fingerprints
 from tidemark.llm.token_mix import op8_mix_to_target
 from tidemark.llm.url_filter import OP1_SQL, op1_url_filters
@@ -9,6 +10,7 @@ from tidemark.llm.url_filter import OP1_SQL, op1_url_filters
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op7_language_id": op7_language_id,
     "op8_mix_to_target": op8_mix_to_target,
 }
 ORACLES = {"op1_url_filters": OP1_SQL}

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # A batch is worked on in pieces of about this many bytes of text; a longer text is a piece of its own.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
