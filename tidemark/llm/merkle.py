@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and clauses.
 
 A text is cut into sections (before a blank line or a line that begins with #), a section into paragraphs (its lines),
-a paragraph into clauses (after white space that follows punctuation). All cuts are lossless, so the SHA-256 root over
+a paragraph into clauses (after white space that follows punctuation or a word in e). All cuts are lossless, so the SHA-256 root over
 section hashes over paragraph hashes is equal exactly if the texts are. Below each paragraph hang its clauses, each as a
 64-bit code: 40 bits of hash and 24 bits of length. The fingerprint is one string:
 
@@ -28,7 +28,8 @@ from tidemark.operators.keys import number_rows
 from tidemark.session import materialize
 
 SECTION_START = r"\n(?=[ \t\r]*(?:\n|#))"
-CLAUSE_END = r"(?<=[.!?,;:|%$&*#][ \t])"
+# Punctuation, or a word in e: texts without punctuation have clauses too.
+CLAUSE_END = r"(?<=[.!?,;:|%$&*#e][ \t])"
 LENGTH_BITS = 24
 
 
@@ -124,18 +125,21 @@ def differing(fingerprint_a: Column, fingerprint_b: Column) -> Column:
     return F.flatten(F.transform(a, changed))
 
 
-def next_documents(docs: DataFrame) -> DataFrame:
+def next_documents(keys: DataFrame) -> DataFrame:
     """(doc_id, text hash) of every distinct row with those of the next one in descending doc_id, the last with the first.
 
-    Only ids and hashes are ordered, in a distributed way; texts stay where they are.
+    Only ids and hashes are ordered, in a distributed way; texts stay where they are. next_copies counts the rows that
+    are the next one.
     """
-    keys = docs.groupBy("doc_id", "__hash").agg(F.max("n_chars").alias("n_chars"))
+    distinct = keys.groupBy("doc_id", "hash").agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
     # Ascending numbers: nulls first there is nulls last in descending order.
-    numbered = materialize(number_rows(keys, ["doc_id", "__hash"], name="__n"))
-    last = numbered.agg(F.max("__n")).first()[0] or 0
-    following = numbered.select(F.col("doc_id").alias("next_id"), F.col("__hash").alias("next_hash"), F.col("__n").alias("__m"))
-    placed = numbered.withColumn("__m", F.when(F.col("__n") > 1, F.col("__n") - 1).otherwise(F.lit(last)))
-    return placed.join(following, "__m").select("doc_id", "__hash", "n_chars", "next_id", "next_hash")
+    numbered = materialize(number_rows(distinct, ["doc_id", "hash"], name="n"))
+    last = numbered.agg(F.max("n")).first()[0] or 0
+    following = numbered.select(
+        F.col("doc_id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("copies").alias("next_copies"), F.col("n").alias("m")
+    )
+    placed = numbered.withColumn("m", F.when(F.col("n") > 1, F.col("n") - 1).otherwise(F.lit(last)))
+    return placed.join(following, "m").select("doc_id", "hash", "n_chars", "next_id", "next_hash", "next_copies")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -143,25 +147,30 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The text of each document is shuffled once by its own key and serves both as itself and as the next one of another.
     """
-    own = docs.select(
-        "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash"),
-        F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
-    )
-    pairs = materialize(next_documents(own.select("doc_id", "__hash", "n_chars")))
-    cut = F.floor(F.col("n_chars") / 3).cast("int")
+    whole = F.coalesce("text", F.lit(""))
+    own = docs.select("doc_id", whole.alias("text"), F.xxhash64(whole).alias("hash"))
+    size = F.length("text").cast("bigint")
+    pairs = materialize(next_documents(docs.select("doc_id", F.xxhash64(whole).alias("hash"), F.length(whole).cast("bigint").alias("n_chars"))))
     wanted = pairs.select(
-        F.col("doc_id").alias("for_id"), F.col("__hash").alias("for_hash"), cut.alias("cut"), "next_id", "next_hash"
-    )
-    same = (F.col("doc_id").eqNullSafe(F.col("next_id"))) & (F.col("__hash") == F.col("next_hash"))
-    # Copies of the next row are one document: its tree is wanted once.
-    once = own.dropDuplicates(["doc_id", "__hash"])
-    served = with_tree(once.join(wanted, same).drop("n_chars"), "text", "next_").select(
-        "for_id", "for_hash", F.expr("left(text, cut)").alias("head"), "next_root", "next_codes"
+        F.col("doc_id").alias("for_id"),
+        F.col("hash").alias("for_hash"),
+        F.floor(F.col("n_chars") / 3).cast("int").alias("cut"),
+        "next_id",
+        "next_hash",
+        "next_copies",
     )
-    mine = (F.col("doc_id").eqNullSafe(F.col("for_id"))) & (F.col("__hash") == F.col("for_hash"))
-    joined = own.join(served, mine)
+    is_next = F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("hash") == F.col("next_hash"))
+
+    def serve(following: DataFrame) -> DataFrame:
+        return with_tree(following, "text", "next_").select(
+            "for_id", "for_hash", F.expr("left(text, cut)").alias("head"), "next_root", "next_codes"
+        )
+
+    # Rows that repeat are one document: only for those is one row chosen, by an aggregate with map-side combining.
+    repeated = own.join(wanted.filter("next_copies > 1"), is_next).groupBy("for_id", "for_hash", "cut").agg(F.first("text").alias("text"))
+    served = serve(own.join(wanted.filter("next_copies = 1"), is_next)).union(serve(repeated))
+    is_own = F.col("doc_id").eqNullSafe(F.col("for_id")) & (F.col("hash") == F.col("for_hash"))
+    joined = own.join(served, is_own).withColumn("n_chars", size)
     kept = F.expr("left(text, CAST(n_chars - floor(n_chars / 3) AS INT))")
     edited = joined.withColumn("edited", F.concat(kept, "head")).drop("head")
     both = with_tree(with_tree(edited, "text", ""), "edited", "edited_")
