@@ -135,10 +135,10 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
         if b - a >= size:
             yield np.unique(windows[a : b - size + 1])
         elif b > a:
-            short = np.uint64(b - a)
-            for h in hashes[a:b]:
-                short = short * BASE + h
-            yield mix(np.array([short]))
+            short = np.array([b - a], np.uint64)
+            for i in range(a, b):
+                short = short * BASE + hashes[i]
+            yield mix(short)
         else:
             yield np.zeros(0, np.uint64)
 
