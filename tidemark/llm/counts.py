@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLOCK = 4096
 COUNTED = "name string, block int, counts binary"
@@ -54,3 +55,18 @@ def filled(blocks: dict[int, np.ndarray], size: int) -> np.ndarray:
     for block, counts in blocks.items():
         table[block * BLOCK : block * BLOCK + len(counts)] = counts
     return table
+
+
+def bit_filter(rows: DataFrame, hashed: str, bits: int) -> np.ndarray:
+    """A table of 2**bits bits with one set per value of a column of hashes, made by Spark and as large at any input."""
+    slot = F.col(hashed).bitwiseAND(F.lit((1 << bits) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    words = rows.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return table
+
+
+def has_bit(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    slot = hashes.astype(np.uint64) & np.uint64((1 << bits) - 1)
+    return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontaminate import op10_benchmark_decontamination
 from tidemark.llm.language import op7_language_id
 from tidemark.llm.merkle import op4_document_fingerprints
 from tidemark.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
@@ -16,5 +17,6 @@ QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_mix_to_target": op8_mix_to_target,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES = {"op1_url_filters": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL}
