@@ -2,8 +2,8 @@
 
 1. Canonical tokens. Words lose case and outer punctuation. A word with a digit becomes the placeholder NUMBER, a unit
    after a number UNIT, a capitalised word inside a sentence NAME; the word itself is kept as the value of the slot.
-2. Windows of `WINDOW` tokens are hashed. A window with too few plain words to be told from others is compared by its
-   words as they are. An item with fewer tokens is one window of its own length.
+2. Windows of `WINDOW` tokens are hashed, as they are and, if they have slots, as templates (unless too few plain words
+   are left to tell one template from another). An item with fewer tokens is one window of its own length.
 3. Document windows pass a filter of fixed size made from the item windows, so almost none leave the task they are read
    in; those that pass meet the item windows in an exact hash join.
 4. Slots must be consistent: along one alignment of item and document, an item's value (say 7, or Anna) has to stand for
@@ -117,7 +117,8 @@ def canonical_tokens(texts: pa.Array) -> Tokens:
     ascii_capital = (lead >= 65) & (lead <= 90)
     accented_capital = (lead == 0xC3) & (second >= 0x80) & (second <= 0x9E)
     follow = np.where(accented_capital, third, second)
-    small = (follow >= 97) & (follow <= 122) | (follow >= 0xC3)
+    beyond = np.where(accented_capital, padded[start + 3], third)
+    small = (follow >= 97) & (follow <= 122) | (follow > 0xC3) | (follow == 0xC3) & (beyond >= 0xA0)
     room = end - start > np.where(accented_capital, 2, 1)
     kind[(ascii_capital | accented_capital) & small & room & ~opens] = NAME
     digits = np.zeros(len(raw) + 1, np.int32)
@@ -133,7 +134,8 @@ def canonical_tokens(texts: pa.Array) -> Tokens:
 
 
 def windows(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First tokens of all windows inside a text, their hashes, and whether they are compared as templates."""
+    """First tokens of all windows inside a text, their hashes, and whether they are templates: each window as its words
+    are, and each one with slots and enough plain words as a template too."""
     n = len(tokens.start) - size + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
@@ -142,10 +144,10 @@ def windows(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     at = np.flatnonzero(text[: len(text) - size + 1] == text[size - 1 :])
     filled = np.zeros(len(tokens.kind) + 1, np.int32)
     np.cumsum(tokens.kind > 0, out=filled[1:])
-    plain_words = size - (filled[at + size] - filled[at])
-    template = plain_words >= min(MIN_PLAIN, size)
-    hashes = np.where(template, window_hashes(tokens.template, size)[at], ~window_hashes(tokens.plain, size)[at])
-    return at, hashes + np.uint64(size), template
+    slots = filled[at + size] - filled[at]
+    template = at[(slots > 0) & (size - slots >= min(MIN_PLAIN, size))]
+    hashes = np.concatenate([~window_hashes(tokens.plain, size)[at], window_hashes(tokens.template, size)[template]])
+    return np.concatenate([at, template]), hashes + np.uint64(size), np.arange(len(hashes)) >= len(at)
 
 
 def slot_values(tokens: Tokens, at: int, size: int) -> list[str]:
