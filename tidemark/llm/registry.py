@@ -7,6 +7,7 @@ from tidemark.llm.language import op7_language_id
 from tidemark.llm.merkle import op4_document_fingerprints
 from tidemark.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
 from tidemark.llm.template_html import op2_html_extraction
+from tidemark.llm.token_codec import op9_token_ids
 from tidemark.llm.token_mix import op8_mix_to_target
 from tidemark.llm.url_filter import OP1_SQL, op1_url_filters
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_mix_to_target": op8_mix_to_target,
+    "op9_token_ids": op9_token_ids,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES = {"op1_url_filters": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL}
