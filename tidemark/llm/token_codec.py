@@ -45,7 +45,7 @@ BLOCK_IDS = 4096
 MIN_BLOCK_IDS = 1024
 LANES = 2048  # blocks that are coded side by side, and that a chunk is cut into
 MAX_ID_BITS = 20
-HEADER = struct.Struct("<4sBIII")
+HEADER = "<4sBIII"
 CACHED_WORDS = 400_000
 
 CONTEXT_BITS = 11  # entries of an order's table per block: 2**11
@@ -305,28 +305,28 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         for row, n, used, coded in zip(part, sizes, words, stream, strict=True):
             plain = row[:n].astype("<u4").tobytes()
             mode, payload = (1, coded[:used].astype("<u4").tobytes()) if used < n else (0, plain)
-            out.append(HEADER.pack(b"TMX1", mode, n, zlib.crc32(plain), len(payload)) + payload)
+            out.append(struct.pack(HEADER, b"TMX1", mode, n, zlib.crc32(plain), len(payload)) + payload)
     return out
 
 
 def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     """The ids of a sequence of blocks; refuses a block that is damaged."""
-    heads = [HEADER.unpack_from(b) for b in blocks]
+    heads = [struct.unpack_from(HEADER, b) for b in blocks]
     found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(blocks)
     coded = []
     for i, (magic, mode, n, _, size) in enumerate(heads):
-        if magic != b"TMX1" or mode > 1 or len(blocks[i]) != HEADER.size + size:
+        if magic != b"TMX1" or mode > 1 or len(blocks[i]) != struct.calcsize(HEADER) + size:
             raise ValueError("not a block of token ids")
         if mode:
             coded.append(i)
         else:
-            found[i] = np.frombuffer(blocks[i], "<u4", n, HEADER.size).astype(np.int64)
+            found[i] = np.frombuffer(blocks[i], "<u4", n, struct.calcsize(HEADER)).astype(np.int64)
     coded.sort(key=lambda i: -heads[i][2])
     for at in range(0, len(coded), LANES):
         some = coded[at : at + LANES]
         stream = np.zeros((len(some), max(heads[i][4] for i in some) // 4 + 8), np.uint32)
         for row, i in zip(stream, some, strict=True):
-            row[: heads[i][4] // 4] = np.frombuffer(blocks[i], "<u4", -1, HEADER.size)
+            row[: heads[i][4] // 4] = np.frombuffer(blocks[i], "<u4", -1, struct.calcsize(HEADER))
         lengths = np.array([heads[i][2] for i in some])
         ids, _ = code_ids(lengths, None, stream)
         for row, i in zip(ids, some, strict=True):
