@@ -6,6 +6,7 @@ from tidemark.llm.decontaminate import op10_benchmark_decontamination
 from tidemark.llm.language import op7_language_id
 from tidemark.llm.merkle import op4_document_fingerprints
 from tidemark.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
+from tidemark.llm.recurrent_lm import op3_lm_scoring
 from tidemark.llm.template_html import op2_html_extraction
 from tidemark.llm.token_codec import op9_token_ids
 from tidemark.llm.token_mix import op8_mix_to_target
@@ -14,6 +15,7 @@ from tidemark.llm.url_filter import OP1_SQL, op1_url_filters
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
