@@ -4,7 +4,7 @@
    slot, hash): rare ones first, and the same in every task. The order is cut into fragments of like size.
 2. Classes. Documents with equal sets are one class; the class meets the others once, not once per copy.
 3. Candidates. Two sets that reach the threshold share an n-gram among the first n - ceil(t*n) + 1 of each in the global
-   order. Only these prefixes are shuffled. N-grams that stand in the prefixes of one class only drop out by an
+   order. Only these prefixes are shuffled. N-grams that stand in the prefix of one document only drop out by an
    aggregate; what is left links each class to the smallest one of its n-gram (a star, not all pairs).
 4. Overlaps. The sets of the candidates are cut along the fragments. The overlap of a pair is counted fragment by
    fragment, each on its own, and the partial overlaps are summed per pair. The comparison is in whole numbers.
@@ -12,8 +12,8 @@
    lengths and prefix positions allow the threshold, and verified in the same way. So no link between different
    components is missed, and pairs inside a component are never spelled out.
 
-A filter of fixed size keeps the sets of documents that no candidate needs out of the shuffle; what it lets through by
-chance falls out in an exact join.
+Filters of fixed size keep n-grams that only one document has, and sets of documents that no candidate needs, out of the
+shuffles; what they let through by chance falls out in exact joins.
 
 Defined results: a null or empty text, or one without words, has an empty set, links with nothing and is its own
 component. A text with fewer words than n has one element, its whole sequence. Repeated rows come out as often as they
@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.counts import COUNTED, block_batch, filled, summed_tables
+from tidemark.llm.counts import COUNTED, bit_filter, block_batch, filled, has_bit, summed_tables
 from tidemark.llm.graph import components
 from tidemark.llm.tables import table
 from tidemark.llm.textbytes import pieces, shingle_sets
@@ -43,7 +43,7 @@ SIZE = 5  # words of an n-gram
 PERCENT = 80  # least Jaccard similarity
 SLOT_BITS = 20  # of the table of counts: 2**20 slots
 FRAGMENTS = 8
-FILTER_BITS = 25  # of the filter for needed documents: 4 MB
+FILTER_BITS = 26  # of the filters for shared n-grams and for needed documents: 8 MB each
 
 
 def slots(grams: np.ndarray) -> np.ndarray:
@@ -103,7 +103,32 @@ def prefix_rows(counts: Broadcast, size: int, percent: int):
     return rows
 
 
-FRAGMENT_ROWS = "doc_id bigint, d1 bigint, d2 bigint, fragment int, grams array<bigint>"
+POSTINGS = "row bigint, n int, pos int, gram bigint"
+
+
+def shared_postings(shared: Broadcast):
+    """Of the prefixes (row, n, prefix) the n-grams that pass the filter, each with its position."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = batch.column("prefix")
+            bounds = prefixes.offsets.to_numpy()
+            grams = prefixes.values.to_numpy()[bounds[0] : bounds[-1]]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            kept = np.flatnonzero(has_bit(shared.value, grams, FILTER_BITS))
+            of = owner[kept]
+            arrays = [
+                pa.array(batch.column("row").to_numpy()[of]),
+                pa.array(batch.column("n").to_numpy()[of]),
+                pa.array((kept - (bounds[:-1] - bounds[0])[of]).astype(np.int32)),
+                pa.array(grams[kept]),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "n", "pos", "gram"])
+
+    return rows
+
+
+FRAGMENT_ROWS = "d1 bigint, d2 bigint, fragment int, grams array<bigint>"
 
 
 def fragment_rows(fragment_of: Broadcast, needed: Broadcast, size: int):
@@ -113,23 +138,22 @@ def fragment_rows(fragment_of: Broadcast, needed: Broadcast, size: int):
         fragments, bits = fragment_of.value, needed.value
         for batch in batches:
             for part in pieces(batch, "text"):
-                out: list[tuple[int, int, int, int]] = []
+                out: list[tuple[int, int, int]] = []
                 cut: list[np.ndarray] = []
                 ids = part.column("doc_id").to_pylist()
                 for doc_id, grams in zip(ids, shingle_sets(part.column("text"), size), strict=True):
                     d1, d2 = digest(grams)
-                    slot = (d1 ^ (doc_id or 0)) & ((1 << FILTER_BITS) - 1)
-                    if not len(grams) or not int(bits[slot >> 6]) >> (slot & 63) & 1:
+                    if not len(grams) or not has_bit(bits, np.array([d1 ^ (doc_id or 0)], np.int64), FILTER_BITS)[0]:
                         continue
                     own = fragments[slots(grams)]
                     for f in np.unique(own).tolist():
-                        out.append((doc_id, d1, d2, f))
+                        out.append((d1, d2, f))
                         cut.append(grams[own == f])
                 if out:
-                    a, b, c, d = zip(*out, strict=True)
+                    a, b, c = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.int32()), list_array(cut)],
-                        ["doc_id", "d1", "d2", "fragment", "grams"],
+                        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int32()), list_array(cut)],
+                        ["d1", "d2", "fragment", "grams"],
                     )
 
     return rows
@@ -141,27 +165,25 @@ class Verifier:
     def __init__(self, texts: DataFrame, classes: DataFrame, fragment_of: Broadcast, size: int, percent: int):
         self.texts, self.classes, self.fragment_of, self.size, self.percent = texts, classes, fragment_of, size, percent
 
-    def needed_filter(self, needed: DataFrame) -> Broadcast:
-        """A bit per needed document, at a slot cut from its digest and id: at most 2**FILTER_BITS bits."""
-        slot = F.col("d1").bitwiseXOR(F.coalesce("first_doc", F.lit(0))).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
-        words = needed.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-        return self.texts.sparkSession.sparkContext.broadcast(bits)
-
     def links(self, pairs: DataFrame) -> DataFrame:
+        spark = self.texts.sparkSession
         ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        needed = materialize(ids.join(self.classes, "cid").select("cid", "d1", "d2", "first_doc"))
-        rows = self.texts.mapInArrow(fragment_rows(self.fragment_of, self.needed_filter(needed), self.size), FRAGMENT_ROWS)
-        same_set = (rows.d1 == needed.d1) & (rows.d2 == needed.d2) & rows.doc_id.eqNullSafe(needed.first_doc)
-        cut = rows.join(needed, same_set).select("cid", "fragment", "grams").dropDuplicates(["cid", "fragment"])
-        cut = materialize(cut)
-        left = pairs.join(cut.withColumnsRenamed({"cid": "a", "grams": "__left"}), "a")
-        right = cut.withColumnsRenamed({"cid": "b", "grams": "__right"})
-        partial = left.join(right, ["b", "fragment"]).select(
-            "a", "b", "na", "nb", F.size(F.array_intersect("__left", "__right")).alias("part")
-        )
+        mark = F.col("d1").bitwiseXOR(F.coalesce("first_doc", F.lit(0))).alias("mark")
+        needed = spark.sparkContext.broadcast(bit_filter(ids.join(self.classes, "cid").select(mark), "mark", FILTER_BITS))
+        cut = self.texts.mapInArrow(fragment_rows(self.fragment_of, needed, self.size), FRAGMENT_ROWS)
+
+        def sets(side: str) -> DataFrame:
+            return cut.withColumnsRenamed({"d1": f"{side}1", "d2": f"{side}2", "grams": f"grams_{side}"})
+
+        def digests(side: str) -> DataFrame:
+            return self.classes.select(F.col("cid").alias(side), F.col("d1").alias(f"{side}1"), F.col("d2").alias(f"{side}2"))
+
+        cells = pairs.join(digests("a"), "a").join(digests("b"), "b")
+        cells = cells.withColumn("fragment", F.explode(F.array(*map(F.lit, range(FRAGMENTS)))))
+        partial = cells.join(sets("a"), ["a1", "a2", "fragment"]).join(sets("b"), ["b1", "b2", "fragment"])
+        partial = partial.select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("part"))
+        # Where the same set was read from several rows, every one gives the same count.
+        partial = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("part").alias("part"))
         overlap = partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
         union = F.col("na") + F.col("nb") - F.col("both")
         return materialize(overlap.filter(F.col("both") * 100 >= union * self.percent).select("a", "b"))
@@ -194,11 +216,12 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = SIZE, percen
     class_of = materialize(
         filled_sets.select("doc_id", "row", "n", "d1", "d2").join(classes.select("cid", "d1", "d2"), ["d1", "d2"]).select("row", "cid")
     )
-    postings = filled_sets.select("row", "n", "d1", F.posexplode("prefix").alias("pos", "gram"))
-    shared = (
-        postings.groupBy("gram").agg(F.min("d1").alias("least"), F.max("d1").alias("most")).filter("least <> most").select("gram")
-    )
-    met = postings.drop("d1").join(shared, "gram").join(class_of, "row")
+    postings = filled_sets.select("row", F.explode("prefix").alias("gram"))
+    several = postings.groupBy("gram").agg(F.min("row").alias("least"), F.max("row").alias("most"))
+    shared = materialize(several.filter("least <> most").select("gram"))
+    passing = spark.sparkContext.broadcast(bit_filter(shared, "gram", FILTER_BITS))
+    met = filled_sets.select("row", "n", "prefix").mapInArrow(shared_postings(passing), POSTINGS)
+    met = met.join(shared, "gram").join(class_of, "row")
     met = materialize(met.select("gram", "cid", "n", "pos").distinct())
 
     centre = met.groupBy("gram").agg(F.min(F.struct("cid", "n")).alias("centre"))
