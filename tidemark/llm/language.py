@@ -28,16 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.counts import COUNTED, block_batch, filled, summed_tables
 from tidemark.llm.tables import table
 from tidemark.llm.textbytes import BYTE_VALUE, Words, mix, pieces, split_words, text_buffers, word_hashes
 
 UNKNOWN = "und"
 WORD_BITS = 18  # entries of the word table per language: 2**18
 GRAM_BITS = 16  # entries of the n-gram table per language
-BLOCK = 4096  # counts are handed on in blocks of so many entries
+SIZES = {"word": 1 << WORD_BITS, "gram": 1 << GRAM_BITS, "script": 64}  # of the tables per language
 SWITCH = 6.0  # nats that a change of language costs
 GRAM_WEIGHT = 0.5
-GRAM = 3
 
 # First code point of each range of letters, and its script. Between ranges: no letter.
 SCRIPTS = ["none", "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "indic", "thai", "hangul", "kana", "han", "other"]
@@ -95,7 +95,7 @@ def features(texts: pa.Array) -> Features:
     for code in np.unique(script):
         scripts[owner[script == code]] |= 1 << int(code)
     slot = (word_hashes(words) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    # Letter n-grams: GRAM neighbouring letters of one word, punctuation skipped, the word's edges as letters.
+    # Letter n-grams: three neighbouring letters of one word, punctuation skipped, the word's edges as letters.
     value = np.zeros(len(at), np.uint64)
     ends = np.append(at[1:], len(words.data))
     value = BYTE_VALUE[words.data[at]] if len(at) else value
@@ -113,57 +113,24 @@ def features(texts: pa.Array) -> Features:
     return Features(words, slot, letters, scripts, (gram >> np.uint64(64 - GRAM_BITS)).astype(np.int64), owner)
 
 
-def count_rows(kind: str, counts: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
-    """Blocks of a table of counts that are not all zero."""
-    for block in range(0, len(counts), BLOCK):
-        part = counts[block : block + BLOCK]
-        if part.any():
-            yield kind, block // BLOCK, part.astype("<i8").tobytes()
-
-
-COUNTED = "lang string, kind string, block int, counts binary"
-
-
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's rows (lang, text): blocks of words, n-grams and scripts per language."""
-    tables: dict[str, dict[str, np.ndarray]] = {}
+    """Counts of a task's rows (lang, text): words, n-grams and scripts per language."""
+    tables: dict[str, np.ndarray] = {}
     for batch in batches:
         for part in pieces(batch, "text"):
             found = features(part.column("text"))
             lang = np.array(part.column("lang").to_pylist(), dtype=object)
-            per_text = np.diff(found.words.first)
-            of_word = np.repeat(np.arange(part.num_rows), per_text)
+            of_word = np.repeat(np.arange(part.num_rows), np.diff(found.words.first))
             for name in sorted(set(lang)):
                 mine = (lang == name)[of_word]
                 spoken = mine & (found.letters > 0)
-                own = tables.setdefault(
-                    name,
-                    {"word": np.zeros(1 << WORD_BITS, np.int64), "gram": np.zeros(1 << GRAM_BITS, np.int64), "script": np.zeros(64, np.int64)},
-                )
-                own["word"] += np.bincount(found.slot[spoken], minlength=1 << WORD_BITS)
-                own["gram"] += np.bincount(found.gram_slot[mine[found.gram_word]], minlength=1 << GRAM_BITS)
+                for kind, size in SIZES.items():
+                    tables.setdefault(f"{kind}/{name}", np.zeros(size, np.int64))
+                tables[f"word/{name}"] += np.bincount(found.slot[spoken], minlength=SIZES["word"])
+                tables[f"gram/{name}"] += np.bincount(found.gram_slot[mine[found.gram_word]], minlength=SIZES["gram"])
                 for bit in range(len(SCRIPTS)):
-                    own["script"][bit] += int(((found.scripts[spoken] >> bit) & 1).sum())
-    rows = [(name, *row) for name, own in tables.items() for kind, counts in own.items() for row in count_rows(kind, counts)]
-    if rows:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.string(), pa.int32(), pa.binary()], strict=True)],
-            ["lang", "kind", "block", "counts"],
-        )
-
-
-def add_blocks(keys: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum of the blocks of one place in the tables: one row per task at most come in."""
-    total = None
-    for batch in groups:
-        for counts in batch.column("counts"):
-            part = np.frombuffer(counts.as_py(), "<i8")
-            total = part.copy() if total is None else total + part
-    lang, kind, block = (k.as_py() for k in keys)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([lang]), pa.array([kind]), pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-        ["lang", "kind", "block", "counts"],
-    )
+                    tables[f"script/{name}"][bit] += int(((found.scripts[spoken] >> bit) & 1).sum())
+    yield block_batch(tables)
 
 
 class Model(NamedTuple):
@@ -176,15 +143,12 @@ class Model(NamedTuple):
 def train(labelled: DataFrame) -> Model:
     """Counts of all rows (lang, text); the model has a fixed size per language."""
     counted = labelled.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count_batches, COUNTED)
-    blocks = counted.groupBy("lang", "kind", "block").applyInArrow(add_blocks, COUNTED).collect()
-    langs = sorted({r.lang for r in blocks})
-    word = np.zeros((1 << WORD_BITS, len(langs)))
-    gram = np.zeros((1 << GRAM_BITS, len(langs)))
-    script = np.zeros((64, len(langs)))
-    for row in blocks:
-        own = {"word": word, "gram": gram, "script": script}[row.kind]
-        part = np.frombuffer(bytes(row.counts), "<i8")
-        own[row.block * BLOCK : row.block * BLOCK + len(part), langs.index(row.lang)] = part
+    found = summed_tables(counted)
+    langs = sorted({name.partition("/")[2] for name in found})
+    word, gram, script = (
+        np.stack([filled(found.get(f"{kind}/{name}", {}), size) for name in langs], axis=1) if langs else np.zeros((size, 0))
+        for kind, size in SIZES.items()
+    )
     logs = []
     for counts in (word, gram):
         seen = counts.sum(axis=0)
@@ -254,15 +218,15 @@ def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
 SPANS = "array<struct<lang:string,first_word:int,n_words:int>>"
 
 
-def predict_batches(model: Model, keys: list[str]):
-    """Function for mapInArrow: rows (keys, text) to (keys, lang_pred, score, spans)."""
+def predict_batches(model: Model, keys: list[str], text: str):
+    """Function for mapInArrow: rows with the keys and the text to (keys, lang_pred, score, spans)."""
     names = np.array([*model.langs, UNKNOWN], dtype=object)
     kinds = pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
-                found = features(part.column("text"))
+            for part in pieces(batch, text):
+                found = features(part.column(text))
                 first, n, k = found.words.first, part.num_rows, len(model.langs)
                 text_of = np.repeat(np.arange(n), np.diff(first))
                 known = np.array([not np.isinf(model.allowed[b]).all() for b in range(len(SCRIPTS))]) if k else np.zeros(len(SCRIPTS), bool)
@@ -315,9 +279,10 @@ def predict_batches(model: Model, keys: list[str]):
 
 def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text") -> DataFrame:
     """Per row of `docs`: its key columns, lang_pred, score and spans (runs of words of one language)."""
-    chosen = docs.select(*keys, F.col(text).alias("text"))
+    chosen = docs.select(*keys, *([] if text in keys else [text]))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keys).schema]
-    return chosen.mapInArrow(predict_batches(model, keys), ", ".join([*types, "lang_pred string", "score double", f"spans {SPANS}"]))
+    made = ["lang_pred string", "score double", f"spans {SPANS}"]
+    return chosen.mapInArrow(predict_batches(model, keys, text), ", ".join([*types, *made]))
 
 
 def held_out(doc_id: Column) -> Column:

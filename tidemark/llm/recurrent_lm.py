@@ -49,7 +49,7 @@ WINDOW = 16
 TRAIN_LANES = 32
 ROUNDS = 2
 STRIDE = 16
-RATE = 0.1
+RATE = 0.3
 DISCOUNT = 0.75
 LETTERS = 40  # symbols of the spelling model: the word's edge, the most frequent bytes, and all others
 HELD_WORDS = 1_500_000  # words that a task scores side by side

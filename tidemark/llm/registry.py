@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.cotraining import op6_quality_cotraining
 from tidemark.llm.decontaminate import op10_benchmark_decontamination
 from tidemark.llm.language import op7_language_id
 from tidemark.llm.merkle import op4_document_fingerprints
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_quality_cotraining": op6_quality_cotraining,
     "op7_language_id": op7_language_id,
     "op8_mix_to_target": op8_mix_to_target,
     "op9_token_ids": op9_token_ids,
