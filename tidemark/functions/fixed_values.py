@@ -18,6 +18,10 @@ DISABLED_STEPS = ("CLN-VAL-003",)
 PHONE_SEPARATORS = r"[\s.\-]"
 PHONE_DIGITS_PATTERN = r"^01[0-9][0-9]{7,8}$"
 PHONE_HYPHEN_PATTERN = r"^01[0-9]-[0-9]{3,4}-[0-9]{4}$"
+# Phone style -> (pattern that a rule must have, mark between the parts).
+PHONE_STYLES = {"DIGITS": (PHONE_DIGITS_PATTERN, ""), "HYPHEN": (PHONE_HYPHEN_PATTERN, "-")}
+# Every kind of space at either end.
+OUTER_SPACE = r"^[\s\u00A0\u3000]+|[\s\u00A0\u3000]+$"
 
 # Date and time texts that cleansing accepts, and the standard it writes.
 CLEANSING_DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyy.MM.dd", "yyyyMMdd")

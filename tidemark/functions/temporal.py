@@ -38,6 +38,20 @@ def shape_of(pattern: str, short_days: bool = False) -> str:
     return out + pattern[at:].replace(".", r"\.")
 
 
+def _by_shape(pattern: str) -> bool:
+    rest = _TOKEN.sub("", pattern)
+    return pattern.startswith("yyyy") and not re.search(r"[A-Za-z\[\]']", rest) and pattern[4:5] in ("-", "/", ".", "M")
+
+
+def _checked(pattern: str) -> str:
+    """The pattern, if it can name a date: a pattern that Spark cannot read would give NULL for every row."""
+    letters = re.sub(r"'[^']*'", "", pattern)
+    unknown = sorted(set(re.findall(r"[A-Za-z]", letters)) - set("GyMLdQqEaDFhHkKmsSVzOXx"))
+    if unknown or not re.search(r"[yu]", letters) or letters.count("'"):
+        raise ValueError(f"not a date pattern: {pattern!r}")
+    return pattern
+
+
 def _has_shape(text: Column, shapes: list[str]) -> Column:
     return text.rlike(f"^(?:{'|'.join(shapes)})$")
 
@@ -45,10 +59,11 @@ def _has_shape(text: Column, shapes: list[str]) -> Column:
 def read_first(text: Column, formats: tuple[str, ...], short_slash_days: bool = False) -> Column:
     """Timestamp of a text in one of the formats; NULL when it has no such shape or the date is impossible.
 
-    Formats that are read the same way share one shape test. No text has the shape of two formats.
+    Formats that begin with the year and consist of the known tokens are read by shape: those read the same way share one
+    shape test, and no text has the shape of two. Any other format goes to Spark's own parser, after them.
     """
     shapes: dict[str, list[str]] = {}
-    for pattern in formats:
+    for pattern in filter(_by_shape, formats):
         way = "digits" if pattern.startswith("yyyyMMdd") else pattern[4]
         shapes.setdefault(way, []).append(shape_of(pattern, short_slash_days and way == "/"))
     out = None
@@ -60,7 +75,8 @@ def read_first(text: Column, formats: tuple[str, ...], short_slash_days: bool =
             plain = text if way == "-" else F.translate(text, way, "-")
         fits, value = _has_shape(text, alternatives), plain.try_cast("timestamp")
         out = F.when(fits, value) if out is None else out.when(fits, value)
-    return out
+    own = [F.try_to_timestamp(text, F.lit(_checked(f))) for f in formats if not _by_shape(f)]
+    return F.coalesce(*([] if out is None else [out]), *own)
 
 
 def parse_any(c: Column, formats: tuple[str, ...] = fixed.PROFILE_DATE_FORMATS) -> Column:
@@ -69,13 +85,9 @@ def parse_any(c: Column, formats: tuple[str, ...] = fixed.PROFILE_DATE_FORMATS)
 
 
 def format_label(c: Column) -> Column:
-    """Which known date layout a text has."""
-    text = F.trim(c)
-    (pattern, label), *rest = fixed.DATE_FORMAT_LABELS
-    out = F.when(text.rlike(pattern), F.lit(label))
-    for pattern, label in rest:
-        out = out.when(text.rlike(pattern), F.lit(label))
-    return out.otherwise(F.lit("OTHER"))
+    """Which known date layout a text has: of all labels whose pattern fits, the first."""
+    fitting = [F.when(F.trim(c).rlike(pattern), label) for pattern, label in fixed.DATE_FORMAT_LABELS]
+    return F.coalesce(*fitting, F.lit("OTHER"))
 
 
 def zoned_instant(c: Column, zone: str) -> Column:

@@ -137,6 +137,22 @@ def entity_lineage(records: DataFrame, merged: DataFrame, keys: list[str], id_co
     return joined.select(*LINEAGE_KEY, F.lit(entity).alias("TARGET_ENTITY"), "TARGET_PK")
 
 
+def carried_lineage(earlier: DataFrame, current: DataFrame) -> DataFrame:
+    """The current entries, and those of records that earlier merges took in and that are no candidates any more.
+
+    An earlier entry follows its entity: if a record of the same earlier id has another id now, so has the entry.
+    """
+    records = current.select(*LINEAGE_KEY).distinct()
+    gone = rows_with_keys(earlier, LINEAGE_KEY, records, "left_anti")
+    names = [f"__c{i}" for i in range(len(LINEAGE_KEY))]
+    now = current.select(*[F.col(k).alias(n) for k, n in zip(LINEAGE_KEY, names)], F.col("TARGET_PK").alias("__now"))
+    same = all_of([F.col(k).eqNullSafe(F.col(n)) for k, n in zip(LINEAGE_KEY, names)])
+    moved = earlier.join(now, same).groupBy(F.col("TARGET_PK").alias("__was")).agg(F.min("__now").alias("__is"))
+    followed = gone.join(moved, F.col("TARGET_PK") == F.col("__was"), "left")
+    followed = followed.withColumn("TARGET_PK", F.coalesce("__is", "TARGET_PK"))
+    return current.unionByName(followed.select(*current.columns))
+
+
 def reuse_ids(df: DataFrame, existing: DataFrame, key: str, id_column: str) -> DataFrame:
     """Carry over the ids of rows whose natural key is already known; all others get NULL."""
     known = existing.filter(F.col(id_column).isNotNull()).groupBy(F.col(key).alias("__key"))

@@ -102,3 +102,18 @@ def number_rows(df: DataFrame, order_by: list[str], group_by: list[str] = (), na
     )
     numbered = staged.join(offsets, condition, "inner")
     return numbered.select(*columns, (F.col("__index") + F.col("__offset")).cast("bigint").alias(name))
+
+
+def with_unique_id(df: DataFrame, name: str, identity: Column) -> DataFrame:
+    """A stored id per row: the hash of its identity, and for rows that share one, of that and their number.
+
+    Rows with the same identity get the same set of ids whenever they are computed. Only those rows are numbered. The
+    frame is written once, since it is read more than once.
+    """
+    hashed = materialize(df.withColumn("__identity", F.sha2(identity, 256)))
+    marked = flag_duplicates(hashed, ["__identity"], "__again")
+    single = marked.filter("NOT __again").withColumn(name, F.col("__identity")).drop("__again")
+    shared = marked.filter("__again").drop("__again")
+    numbered = number_rows(shared, ["__identity"], ["__identity"], "__occurrence")
+    code = F.sha2(F.concat_ws("#", "__identity", F.col("__occurrence").cast("string")), 256)
+    return single.unionByName(numbered.withColumn(name, code).drop("__occurrence")).drop("__identity")

@@ -8,7 +8,7 @@ violation, and `route_records` applies cleansed values and splits records into c
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tidemark.functions.cleansing import mask_pii, standard_datetime, standard_p
 from tidemark.functions.columns import any_of, joined_or_null, key_value_text, labels_where, rate
 from tidemark.operators.keys import duplicate_keys, flag_members, flag_rows_with_keys
 from tidemark.operators.rules import Rule
-from tidemark.session import METADATA_ROW_LIMIT, metadata_frame
+from tidemark.session import metadata_frame
 
 
 @dataclass(frozen=True)
@@ -34,21 +34,6 @@ class CodeTables:
     enabled_steps: frozenset[str] = frozenset()
     unique: bool = False
 
-    def localized(self) -> CodeTables:
-        """The same tables with the master as a local relation, if it is as small as code masters are.
-
-        Every code rule then joins a relation whose size the planner knows. A larger master stays a table and is
-        joined as such.
-        """
-        if self.unique:
-            return self
-        codes = self.master.select("CODE_GROUP", F.col("CODE").cast("string").alias("CODE")).distinct()
-        rows = codes.limit(METADATA_ROW_LIMIT + 1).collect()
-        if not rows or len(rows) > METADATA_ROW_LIMIT:
-            return self
-        local = metadata_frame(self.master.sparkSession, [r.asDict() for r in rows])
-        return replace(self, master=local, unique=True)
-
     def codes(self, group: str | None) -> DataFrame:
         return self.master.filter(F.col("CODE_GROUP") == F.lit(group)).select(F.col("CODE").cast("string"))
 
@@ -102,7 +87,7 @@ def cleanse_values(df: DataFrame, rules: list[tuple[Rule, str]], codes: CodeTabl
             elif step == "CLN-COM-001":
                 stage_columns[stage] = trim_all_space(current)
             elif step == "CLN-VAL-001":
-                stage_columns[stage] = standard_phone(current)
+                stage_columns[stage] = standard_phone(current, phone_style(rule.pattern))
             else:
                 stage_columns[stage] = standard_datetime(current, rule.datetime_kind or "TIMESTAMP")
             changes[out].append((step, ~current.eqNullSafe(F.col(stage))))
@@ -119,6 +104,16 @@ def cleanse_column(df: DataFrame, rule: Rule, codes: CodeTables, out: str) -> Da
     return cleanse_values(df, [(rule, out)], codes)
 
 
+def phone_style(pattern: str | None) -> str:
+    """Style of the phone numbers that a rule's pattern asks for."""
+    return next((style for style, (wanted, _) in fixed.PHONE_STYLES.items() if wanted == pattern), "DIGITS")
+
+
+def order_formats(pattern: str | None) -> tuple[str, ...]:
+    """Formats of an order rule's dates: its own, between bars, or the usual ones."""
+    return tuple(pattern.split("|")) if pattern else fixed.PROFILE_DATE_FORMATS
+
+
 def _row_error(rule: Rule, value: str | None) -> Column:
     """Error condition of a row-local rule, on its own column or on another text."""
     c = F.col(value or rule.column)
@@ -129,7 +124,7 @@ def _row_error(rule: Rule, value: str | None) -> Column:
     if rule.rule_type == "RANGE_CHECK":
         return predicates.range_error(c, rule.min_value, rule.max_value)
     if rule.rule_type == "ORDER_CHECK":
-        return predicates.order_error(F.col(rule.columns[0]), F.col(rule.columns[1]))
+        return predicates.order_error(F.col(rule.columns[0]), F.col(rule.columns[1]), order_formats(rule.pattern))
     raise ValueError(f"unknown rule type {rule.rule_type}")
 
 
@@ -275,9 +270,16 @@ def judge(counts: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
-def violations(df: DataFrame, rules: list[Rule], codes: CodeTables, record_key: str | None) -> DataFrame:
-    """One row per rule and row it breaks, with masked values. All rules in one pass, then one explode."""
+def violations(
+    df: DataFrame, rules: list[Rule], codes: CodeTables, record_key: str | None, row_hash: str | None = None
+) -> DataFrame:
+    """One row per rule and row it breaks, with masked values. All rules in one pass, then one explode.
+
+    `row_hash` names a further column, the hash of the whole row as it came in.
+    """
     marked = with_outcomes(df, rules, codes)
+    hashes = [F.sha2(F.to_json(F.struct(*df.columns)), 256).alias(row_hash)] if row_hash else []
+    kept = [row_hash] if row_hash else []
     key = F.col(record_key).cast("string") if record_key in df.columns else F.lit(None).cast("string")
     entries = []
     for i, rule in enumerate(rules):
@@ -300,8 +302,8 @@ def violations(df: DataFrame, rules: list[Rule], codes: CodeTables, record_key:
             )
         )
     exploded = marked.select(
-        key.alias("source_record_key"), F.explode(F.array_compact(F.array(*entries))).alias("v")
-    ).select("source_record_key", "v.*")
+        key.alias("source_record_key"), *hashes, F.explode(F.array_compact(F.array(*entries))).alias("v")
+    ).select("source_record_key", *kept, "v.*")
     actions = F.create_map(*[F.lit(x) for pair in fixed.CLEANSING_ACTIONS.items() for x in pair])
     changed = F.size("steps") > 0
     return exploded.select(
@@ -315,6 +317,7 @@ def violations(df: DataFrame, rules: list[Rule], codes: CodeTables, record_key:
         joined_or_null(F.col("steps")).alias("cleansing_rule_id"),
         F.when(F.col("cleansed"), F.when(F.col("left"), F.lit("FAIL")).otherwise(F.lit("PASS"))).alias("re_dq_result"),
         (F.col("cleansed") & ~F.col("left")).alias("auto"),
+        *kept,
     )
 
 

@@ -120,7 +120,7 @@ def rule_constraints() -> list[Constraint]:
         ("a cleansing step is unknown", has_steps & F.exists(steps, lambda s: ~s.isin(*known_steps))),
         ("phone cleansing needs the standard phone pattern",
          F.array_contains(steps, "CLN-VAL-001")
-         & ~F.coalesce(c("pattern") == fixed.PHONE_DIGITS_PATTERN, F.lit(False))),
+         & ~F.coalesce(c("pattern").isin(*[p for p, _ in fixed.PHONE_STYLES.values()]), F.lit(False))),
         ("datetime_kind is unknown", ~c("datetime_kind").isin("DATE", "TIMESTAMP")),
     ]
     return [Constraint(problem, condition) for problem, condition in conditions]

@@ -55,7 +55,9 @@ def plan_sync(
     """Compare a full snapshot with the history.
 
     One row per key with `sync_status` (new, reactivated, changed, deactivated, unchanged), the version before and
-    after, the hash of the fields, the values to store, and `diffs`, the text of every changed field.
+    after, the hash of the fields, the values to store, and `diffs`, the text of every changed field. Incoming rows
+    without a key, or with one that another row has, come out one by one as `refused`, without versions, and take no part
+    in the comparison; a repeated key counts as missing from the snapshot no more than as present, so its history stays.
     """
     old = latest_versions(history, key).select(
         F.col(key).alias("__old_key"),
@@ -63,14 +65,19 @@ def plan_sync(
         F.col("is_active").alias("__old_active"),
         F.col("definition_hash").alias("__old_hash"),
         *[F.col(f).alias(f"__old_{f}") for f in fields],
+        F.lit(True).alias("__stored"),
     )
-    new = incoming.select(key, *fields, content_hash(fields).alias("__new_hash"))
+    marked = flag_duplicates(incoming.select(key, *fields, content_hash(fields).alias("__new_hash")), [key], "__again")
+    bad = F.col("__again") | F.col(key).isNull()
+    refused = marked.filter(bad).drop("__again")
+    new = marked.filter(~bad).drop("__again").withColumn("__given", F.lit(True))
+    old = old.join(refused.select(F.col(key).alias("__k")).filter("__k IS NOT NULL").distinct(), F.col("__old_key") == F.col("__k"), "left_anti")
     both = new.join(old, F.col(key) == F.col("__old_key"), "full_outer")
-    gone = F.col(key).isNull()
+    gone = F.col("__given").isNull()
     status = (
         F.when(gone & F.col("__old_active"), F.lit("deactivated"))
         .when(gone, F.lit("absent"))
-        .when(F.col("__old_key").isNull(), F.lit("new"))
+        .when(F.col("__stored").isNull(), F.lit("new"))
         .when(~F.col("__old_active"), F.lit("reactivated"))
         .when(F.col("__old_hash") != F.col("__new_hash"), F.lit("changed"))
         .otherwise(F.lit("unchanged"))
@@ -91,7 +98,7 @@ def plan_sync(
     if not deactivate_missing:
         planned = planned.filter(F.col("sync_status") != "deactivated")
     stored = [F.when(gone, F.col(f"__old_{f}")).otherwise(F.col(f)).alias(f) for f in fields]
-    return planned.select(
+    compared = planned.select(
         F.coalesce(F.col(key), F.col("__old_key")).alias(key),
         "sync_status",
         "from_version",
@@ -103,16 +110,28 @@ def plan_sync(
         F.when(F.col("sync_status") == "changed", F.array_join(F.array_compact(F.array(*diffs)), "; ")).alias("diffs"),
         *stored,
     )
+    nothing = F.lit(None)
+    return compared.unionByName(
+        refused.select(
+            key,
+            F.lit("refused").alias("sync_status"),
+            nothing.cast("int").alias("from_version"),
+            nothing.cast("int").alias("to_version"),
+            F.col("__new_hash").alias("definition_hash"),
+            nothing.cast("string").alias("diffs"),
+            *fields,
+        )
+    )
 
 
 def version_rows(plan: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """The rows to append for a plan: nothing for unchanged keys."""
+    """The rows to append for a plan: nothing for unchanged keys and refused rows."""
     reason = (
         F.when(F.col("sync_status") == "reactivated", F.lit("reactivated"))
         .when(F.col("sync_status") == "deactivated", F.lit("missing from the snapshot"))
         .otherwise(F.col("diffs"))
     )
-    return plan.filter(F.col("sync_status") != "unchanged").select(
+    return plan.filter(~F.col("sync_status").isin("unchanged", "refused")).select(
         key,
         F.col("to_version").alias("version"),
         (F.col("sync_status") != "deactivated").alias("is_active"),

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import predicates
 from tidemark.functions.columns import is_filled, labels_where
-from tidemark.operators.keys import duplicate_keys, flag_duplicates, flag_members, flag_rows_with_keys, number_rows
+from tidemark.operators.keys import (
+    duplicate_keys,
+    flag_duplicates,
+    flag_members,
+    flag_rows_with_keys,
+    number_rows,
+    with_unique_id,
+)
 from tidemark.operators.model import TargetModel
 from tidemark.session import materialize
 
@@ -176,13 +183,13 @@ def reconcile(source: DataFrame, checked: DataFrame) -> DataFrame:
 
 
 def migration_trace(checked: DataFrame, table: str, pk: str, run_id: str) -> DataFrame:
-    """One trace row per input record. The id is a hash, so a recomputed partition yields the same id."""
+    """One trace row per input record. The id is made of the whole row and, for equal rows, of their number."""
     loaded = F.size("_violations") == 0
     audit = f"_remediated_{pk}"
     before = F.col(audit) if audit in checked.columns else F.lit(None).cast("string")
-    identity = F.to_json(F.struct(F.lit(run_id).alias("run"), F.lit(table).alias("table"), *TRACE_LINEAGE, F.col(pk)))
-    return checked.select(
-        F.sha2(identity, 256).alias("TRC_ID"),
+    identity = F.to_json(F.struct(F.lit(run_id).alias("run"), F.lit(table).alias("table"), *checked.columns))
+    return with_unique_id(checked, "TRC_ID", identity).select(
+        "TRC_ID",
         F.col("_source_batch_id").alias("MIG_BATCH_ID"),
         F.col("_source_system").alias("SRC_SYS"),
         F.col("_source_table").alias("SRC_TBL"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import fixed_values as fixed
 from tidemark.operators import quality as q
 from tidemark.operators import snapshot
+from tidemark.operators.keys import with_unique_id
 from tidemark.operators.rules import (
     DEFINITION_COLUMNS,
     RULE_COLUMNS,
@@ -86,6 +87,12 @@ def lineage_columns(source: str, table: str, key: str | None, batch: str, run_id
     }
 
 
+def detail_with_ids(detail: DataFrame, run_id: str) -> DataFrame:
+    """Adds `dq_detail_id`, one per rule and row (`__row`, the hash of the unmasked row, which goes)."""
+    identity = F.concat_ws("#", F.lit(run_id), "rule_id", "__row")
+    return with_unique_id(detail, "dq_detail_id", identity).drop("__row")
+
+
 def samples_as_json(samples: DataFrame) -> DataFrame:
     return samples.select("rule_id", F.to_json("sample_values").alias("sample_values_json"))
 
@@ -104,17 +111,14 @@ def run_quality(
             raise FileNotFoundError(f"{table} has no batch")
     rows = spark.table(table).filter(F.col(files.BATCH_COLUMN) == batch)
     key = fixed.RECORD_KEYS.get(source)
-    codes = codes.localized()
     run_id = new_run_id("DQ", source)
 
     judged = q.judge(q.rule_counts(rows, rules, codes), rules)
     judged = spark.createDataFrame([tuple(r.values()) for r in metadata_rows(judged)], judged.schema)
-    found = q.violations(rows, rules, codes, key)
+    found = q.violations(rows, rules, codes, key, "__row")
     stamp = F.current_timestamp()
-    identity = F.to_json(F.struct(F.lit(run_id).alias("run"), "rule_id", "source_record_key", "before_value"))
-    detail = q.violation_detail(found, judged).withColumns(
+    detail = detail_with_ids(q.violation_detail(found, judged), run_id).withColumns(
         {
-            "dq_detail_id": F.sha2(identity, 256),
             "dq_run_id": F.lit(run_id),
             "source_system": F.lit(source),
             "source_table": F.lit(table),

@@ -9,7 +9,7 @@ from tidemark.operators import validation as v
 from tidemark.operators.model import TargetModel
 from tidemark.plans.layout import Layout
 from tidemark.plans.quality import new_run_id
-from tidemark.session import materialize, metadata_rows
+from tidemark.session import materialize
 from tidemark.sources import tables
 
 # Order rules between columns that the model cannot express.
@@ -67,8 +67,8 @@ def run_validation(
     held = bad.select(*names, *v.TRACE_LINEAGE, "_violations", *runs)
     tables.replace_batches(held, held_table, PARTITION)
     failures = rows.groupBy(*PARTITION).agg(F.count_if(F.size("_violations") > 0).alias("n"))
-    for batch in metadata_rows(failures.filter("n = 0").select(*PARTITION)):  # one row per processed batch
-        tables.drop_batch(spark, held_table, batch)
+    for batch in failures.filter("n = 0").select(*PARTITION).toLocalIterator():  # one row per processed batch
+        tables.drop_batch(spark, held_table, batch.asDict())
 
     trace_table = layout.table("gold", "migration_trace")
     tables.append(v.migration_trace(rows, target, pk, run_id), trace_table)

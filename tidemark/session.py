@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan here relies on. All can be changed on a running session.
@@ -33,7 +34,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(name: str, cpus: int | str = 8, memory: str = "16g") -> SparkSession:
-    """Session for tests and the benchmark. A cluster brings its own session and only calls `tune`."""
+    """Session for tests and the benchmark. A cluster brings its own session and only calls `tune`.
+
+    Where no shared folder is configured, the builder sets one: a local session's executors share its machine.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
@@ -41,6 +45,8 @@ def local_session(name: str, cpus: int | str = 8, memory: str = "16g") -> SparkS
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
+    if not SparkConf().get("spark.checkpoint.dir", None):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
     spark = tune(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -50,10 +56,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder name below the shared checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/tidemark/{uuid.uuid4().hex}"
 
 

@@ -92,9 +92,10 @@ def read_metadata_csv(spark: SparkSession, path: str, ordinal: str | None = None
     frame = frame.toDF(*names)
     frame = frame.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in names])
     if key:
-        repeated = [r[0] for r in duplicate_keys(frame, [key]).limit(20).collect()]
+        found = duplicate_keys(frame, [key])
+        repeated = [r[0] for r in found.limit(20).collect()]
         if repeated:
-            raise ValueError(f"{path}: {key} is repeated, nothing was loaded: {repeated}")
+            raise ValueError(f"{path}: {found.count()} values of {key} are repeated, nothing was loaded: {repeated} ...")
     if ordinal:
         # One multi-line file is one split, so this id counts its lines from zero.
         frame = frame.withColumn(ordinal, (F.monotonically_increasing_id() + 1).cast("string"))

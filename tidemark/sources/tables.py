@@ -1,7 +1,10 @@
 """Catalog tables in Parquet: append, replace by partition, replace by predicate, upsert and staged overwrite.
 
 Every write goes through the session catalog, so the tables live wherever the cluster's warehouse does. Nothing
-here collects keys: rows to replace are found with joins, and partitions are replaced with INSERT OVERWRITE.
+here collects keys or partitions: rows to replace are found with joins, partitions that are touched are replaced with
+INSERT OVERWRITE, and of a partitioned table no other partition is read or written. A table that is overwritten as a
+whole is written once, under another name, and takes the old one's place by renaming. Rows are clustered by partition
+before a partitioned write, and large partitions split again, so files follow the data and not tasks times partitions.
 """
 
 from __future__ import annotations
@@ -9,9 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, any_of
 from tidemark.operators.keys import rows_with_keys
-from tidemark.session import materialize, metadata_rows, scratch_dir
+from tidemark.session import materialize, scratch_dir
 
 KEY_BUCKET = "_key_bucket"
 
@@ -66,10 +68,15 @@ def align(df: DataFrame, table: str, add_missing: bool = True) -> DataFrame:
     )
 
 
+def clustered(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of a partition together; adaptive execution splits the large ones and joins the small ones."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def append(df: DataFrame, table: str, partition_by: list[str] = ()) -> None:
     """Append-only table: created on first use, widened when the frame has new columns."""
     create_empty(df, table, partition_by)
-    align(df, table).write.insertInto(table)
+    clustered(align(df, table), _partitions(df.sparkSession, table)).write.insertInto(table)
 
 
 def replace_batches(df: DataFrame, table: str, partition_by: list[str]) -> None:
@@ -80,11 +87,20 @@ def replace_batches(df: DataFrame, table: str, partition_by: list[str]) -> None:
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        align(df, table).write.insertInto(table, overwrite=True)
+        clustered(align(df, table), list(partition_by)).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(mode, before)
 
 
+def partition_spec(batch: dict) -> str:
+    """Partition values as SQL, escaped; None is the partition of NULL."""
+
+    def shown(value) -> str:
+        return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return ", ".join(f"`{c}`={shown(v)}" for c, v in batch.items())
+
+
 def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:
     """Replace one batch, named by its partition values. An empty frame clears the batch. Returns its row count."""
     spark = df.sparkSession
@@ -92,43 +108,81 @@ def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:
     create_empty(named, table, list(batch))
     rows = align(named, table).drop(*batch)
     names = [c for c in spark.table(table).columns if c not in batch]
-    quoted = {c: v.replace("\\", "\\\\").replace("'", "\\'") for c, v in batch.items()}
-    spec = ", ".join(f"{c}='{v}'" for c, v in quoted.items())
     columns = ", ".join(f"`{c}`" for c in names)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {columns} FROM {{rows}}", rows=rows)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_spec(batch)}) SELECT {columns} FROM {{rows}}", rows=rows)
     current = spark.table(table)
     for column, value in batch.items():
-        current = current.filter(F.col(column) == value)
+        current = current.filter(F.col(column).eqNullSafe(F.lit(value)))
     return current.count()
 
 
 def overwrite_staged(df: DataFrame, table: str, partition_by: list[str] = ()) -> DataFrame:
-    """Overwrite a table with a frame that may read the table itself: staged first, then swapped in."""
-    staged = materialize(df)
-    writer = staged.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Overwrite a table with a frame that may read the table itself.
+
+    The frame is written once, as a table beside it, which then takes its name. The old table is dropped last; a run
+    that stops in between leaves it as <table>__old, and the next overwrite puts it back first.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{table}__new", f"{table}__old"
+    if table_exists(spark, old):
+        if table_exists(spark, table):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    writer = clustered(df, list(partition_by)).write.format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(fresh)
+    if table_exists(spark, table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def _replace_in_partitions(table: str, kept: DataFrame, rows: DataFrame | None, touched: DataFrame) -> None:
+    """Rewrite the touched partitions of a table with the kept rows and the new ones; clear those left without any."""
+    spark, parts = kept.sparkSession, touched.columns
+    staged = materialize(kept if rows is None else kept.unionByName(rows))
+    touched = materialize(touched.distinct())
+    replace_batches(staged, table, parts)
+    emptied = rows_with_keys(touched, parts, staged.select(*parts).distinct(), "left_anti")
+    for partition in emptied.toLocalIterator():
+        drop_batch(spark, table, partition.asDict())
 
 
 def replace_where(df: DataFrame, table: str, predicate: Column) -> None:
-    """Replace the rows that meet the predicate. Unknown columns of the frame are dropped, missing ones are NULL."""
+    """Replace the rows that meet the predicate. Unknown columns of the frame are dropped, missing ones are NULL.
+
+    Of a partitioned table only partitions with such rows, or with new ones, are read and rewritten.
+    """
     spark = df.sparkSession
     if not table_exists(spark, table):
         df.write.format("parquet").saveAsTable(table)
         return
-    kept = spark.table(table).filter(~F.coalesce(predicate, F.lit(False)))
-    overwrite_staged(kept.unionByName(align(df, table, add_missing=False)), table, _partitions(spark, table))
+    rows, parts, meets = align(df, table, add_missing=False), _partitions(spark, table), F.coalesce(predicate, F.lit(False))
+    existing = spark.table(table)
+    if not parts:
+        overwrite_staged(existing.filter(~meets).unionByName(rows), table)
+        return
+    touched = existing.filter(meets).select(*parts).unionByName(rows.select(*parts)).distinct()
+    kept = rows_with_keys(existing.filter(~meets), parts, touched, "left_semi")
+    _replace_in_partitions(table, kept, rows, touched)
 
 
 def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
-    kept = spark.table(table).filter(~F.coalesce(predicate, F.lit(False)))
-    overwrite_staged(kept, table, _partitions(spark, table))
+    """Remove the rows that meet the predicate; partitions without such rows are left alone."""
+    existing, parts, meets = spark.table(table), _partitions(spark, table), F.coalesce(predicate, F.lit(False))
+    if not parts:
+        overwrite_staged(existing.filter(~meets), table)
+        return
+    touched = existing.filter(meets).select(*parts).distinct()
+    _replace_in_partitions(table, rows_with_keys(existing.filter(~meets), parts, touched, "left_semi"), None, touched)
 
 
-def drop_batch(spark: SparkSession, table: str, batch: dict[str, str]) -> None:
+def drop_batch(spark: SparkSession, table: str, batch: dict) -> None:
     """Remove one partition, files included, without reading the table."""
-    spec = ", ".join(f"{c}='{v}'" for c, v in batch.items())
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_spec(batch)})")
 
 
 def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
@@ -137,16 +191,11 @@ def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return df.withColumn(KEY_BUCKET, bucket)
 
 
-def in_partitions(partitions: list[dict]) -> Column:
-    """Condition for rows of the given partitions, in literals, so that only their files are read."""
-    return any_of([all_of([F.col(c).eqNullSafe(F.lit(v)) for c, v in p.items()]) for p in partitions])
-
-
 def upsert(df: DataFrame, table: str, keys: list[str], removed: DataFrame | None = None) -> None:
     """Rows of the frame take the place of rows with the same key; keys of `removed` disappear as well.
 
-    Of a partitioned table only the partitions that hold one of these keys are rewritten. They are named by literals;
-    there are never more of them than the table has partitions.
+    Of a partitioned table only the partitions that hold one of these keys, or get a row, are rewritten; they are found
+    and read by joins on the partition columns, and are never listed on the driver.
     """
     spark = df.sparkSession
     rows = align(df, table)
@@ -158,17 +207,10 @@ def upsert(df: DataFrame, table: str, keys: list[str], removed: DataFrame | None
     if not parts:
         overwrite_staged(rows_with_keys(existing, keys, outgoing, "left_anti").unionByName(rows), table)
         return
-    held = rows_with_keys(existing.select(*parts, *keys), keys, outgoing).select(*parts)
-    touched = metadata_rows(held.unionByName(rows.select(*parts)).distinct())
-    if not touched:
-        return
-    kept = rows_with_keys(existing.filter(in_partitions(touched)), keys, outgoing, "left_anti")
-    staged = materialize(kept.unionByName(rows))
-    replace_batches(staged, table, parts)
-    filled = {tuple(r.values()) for r in metadata_rows(staged.select(*parts).distinct())}
-    for partition in touched:
-        if tuple(partition.values()) not in filled:
-            drop_batch(spark, table, partition)
+    held = rows_with_keys(existing.select(*parts, *[k for k in keys if k not in parts]), keys, outgoing).select(*parts)
+    touched = materialize(held.unionByName(rows.select(*parts)).distinct())
+    affected = rows_with_keys(existing, parts, touched, "left_semi")
+    _replace_in_partitions(table, rows_with_keys(affected, keys, outgoing, "left_anti"), rows, touched)
 
 
 def snapshot(spark: SparkSession, table: str, copy: str) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as fixed
+from tidemark.functions.temporal import parse_any
 from tidemark.operators import profile as p
 from tidemark.session import metadata_frame
 from workload import sqltext as t
-from workload.views import cte, view
+from workload.views import cte, load, view
 
 SPECS = {
     "inbound": p.TableProfile(
@@ -131,7 +132,20 @@ def prof_sequence_unparsable(spark, sf_dir):
     return p.sequence_distribution(view(spark, sf_dir, "inbound"), SPECS["inbound"], unparsable=True)
 
 
+OTHER_LAYOUTS = ("MM/dd/yyyy", "yyyy-MM-dd H:mm", "d MMM yyyy")
+
+
+def prof_dates_other_layouts(spark, sf_dir):
+    """Order dates written in layouts that Spark's own parser reads."""
+    day, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 4
+    text = F.when(key == 0, F.date_format(day, "MM/dd/yyyy")).when(key == 1, F.date_format(day, "yyyy-MM-dd '7:05'"))
+    text = text.when(key == 2, F.date_format(day, "d MMM yyyy")).otherwise("someday")
+    rows = load(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", F.date_format(parse_any(F.col("text"), OTHER_LAYOUTS), "yyyy-MM-dd HH:mm").alias("read"))
+
+
 QUERIES = {
+    "prof_dates_other_layouts": prof_dates_other_layouts,
     "prof_columns": prof_columns,
     "prof_dates": prof_dates,
     "prof_formats": over_tables(formats_of, ("inbound", "homepage")),
@@ -295,3 +309,6 @@ ORACLES = {
     "prof_integrated_columns": f"{_with(_ALL)} {_union(_metrics_sql, _ALL)}",
     "prof_integrated_categorical": f"{_with(_ALL)} {_union(_categories_sql, _ALL)}",
 }
+
+ORACLES["prof_dates_other_layouts"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN o_orderkey % 4 = 1 THEN ' 07:05' ELSE ' 00:00' END END AS read
+FROM orders"""

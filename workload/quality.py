@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleansing
@@ -10,6 +10,7 @@ from tidemark.functions import fixed_values as fixed
 from tidemark.functions.columns import joined_or_null
 from tidemark.operators import quality as q
 from tidemark.operators.rules import Rule
+from tidemark.plans.quality import detail_with_ids
 from tidemark.session import metadata_frame, metadata_rows
 from workload import sqltext as t
 from workload.views import cte, load, view
@@ -31,6 +32,7 @@ OUTBOUND_RULES = [
     Rule("DQ-UNI-OUT-001", "DUPLICATE_CHECK", ("LEAD_MGMT_NO", "TRY_CNT"), "HIGH", 0.5, "outbound"),
     Rule("DQ-VAL-OUT-001", "CODE_EXISTS", ("CONN_RSLT_CD",), "MEDIUM", 0.01, "outbound", code_group="CONN"),
 ]
+ORDER_RULE = Rule("DQ-CON-ORD-001", "ORDER_CHECK", ("a", "b"), "LOW", 0.1, "orders", pattern="yyyy/MM/dd HH:mm:ss|yyyyMMddHHmmss")
 BY_ID = {r.rule_id: r for r in [*INBOUND_RULES, *OUTBOUND_RULES]}
 CODES = [("CST", "CST_F"), ("CST", "CST_O"), ("CST", "CST_P"), *[("CON", f"CON_{n}") for n in range(1, 5)],
          *[("CONN", f"C0{n}") for n in range(1, 4)]]
@@ -198,6 +200,26 @@ def cln_recheck(spark, sf_dir):
     )
 
 
+def dq_detail_ids(spark, sf_dir):
+    """Per rule the stored details and their different ids: as many, also for equal rows."""
+    rows = inbound(spark, sf_dir)
+    hashed = q.violations(rows, INBOUND_RULES, code_tables(spark), "consultation_id", "__row")
+    stored = detail_with_ids(q.violation_detail(hashed, judged(spark, sf_dir)), "run")
+    return stored.groupBy("rule_id").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("dq_detail_id").alias("ids"))
+
+
+def dq_order_formats(spark, sf_dir):
+    """An order rule with formats of its own, on times written in two of them."""
+    rows = load(spark, sf_dir, "orders").select(order_text(F.col("o_orderkey")).alias("a"), order_text(F.col("o_custkey")).alias("b"))
+    return q.rule_counts(rows, [ORDER_RULE], code_tables(spark))
+
+
+def order_text(key: Column) -> Column:
+    number = F.lpad((key % 28 + 1).cast("string"), 2, "0")
+    slash = F.concat(F.lit("2026/09/"), number, F.lit(" 09:30:00"))
+    return F.when(key % 3 == 0, slash).otherwise(F.concat(F.lit("202609"), number, F.lit("093000")))
+
+
 def mask_documents(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", cleansing.mask_pii(F.col("text")).alias("masked"))
 
@@ -223,6 +245,9 @@ QUERIES = {
     "dq_latest_run": dq_latest_run,
     "cln_whitespace": cln(cleansing.trim_all_space, ["status", "phone_number"]),
     "cln_phone": cln(cleansing.standard_phone, ["phone_number"]),
+    "cln_phone_hyphen": cln(lambda c: cleansing.standard_phone(c, "HYPHEN"), ["phone_number"]),
+    "dq_detail_ids": dq_detail_ids,
+    "dq_order_formats": dq_order_formats,
     "cln_datetime": cln_datetime,
     "cln_code_map": cln_code_map,
     "cln_recheck": cln_recheck,
@@ -447,3 +472,11 @@ ORACLES = {
         WHERE re_dq_result IS NOT NULL GROUP BY 1, 2, 3, 4""",
     "mask_documents": f"SELECT doc_id, {t.mask('text')} AS masked FROM documents",
 }
+
+_HYPHEN = rf"CASE WHEN {t.phone('phone_number')} ~ '^01[0-9]{{8,9}}$' THEN regexp_replace({t.phone('phone_number')}, '^(...)([0-9]*)([0-9]{{4}})$', '\1-\2-\3') ELSE phone_number END"
+ORACLES |= {
+    "cln_phone_hyphen": f"WITH {cte('inbound')} SELECT consultation_id, phone_number AS phone_number_before, {_HYPHEN} AS phone_number_after FROM inbound",
+    "dq_detail_ids": f"SELECT rule_id, count(*) AS rows, count(*) AS ids FROM ({ORACLES['dq_violation_detail']}) GROUP BY 1",
+    "dq_order_formats": """SELECT 'DQ-CON-ORD-001' AS rule_id, count(*) AS check_count, count(*) FILTER (o_orderkey % 28 > o_custkey % 28) AS initial_error_count,
+        count(*) FILTER (o_orderkey % 28 > o_custkey % 28) AS error_count, count(*) FILTER (o_orderkey % 28 > o_custkey % 28) AS affected_rows FROM orders""",
+}

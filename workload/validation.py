@@ -64,6 +64,15 @@ def val_trace(spark, sf_dir):
     return trace.drop("TRC_ID", "LOAD_DTM")
 
 
+def val_trace_ids(spark, sf_dir):
+    """Trace rows and their different ids, on records that all come twice."""
+    rows = view(spark, sf_dir, "counsel")
+    found = {"CUSTOMER": view(spark, sf_dir, "customer_parent")}
+    twice = v.validate(rows.unionAll(rows), "COUNSEL", MODEL, found, ORDER, REPAIR).frame
+    trace = v.migration_trace(twice, "COUNSEL", "CNSL_ID", "run")
+    return trace.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("TRC_ID").alias("ids"))
+
+
 def versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Outbound records, and the same with some gone, some changed and some twice."""
     old = view(spark, sf_dir, "outbound")
@@ -103,6 +112,7 @@ QUERIES = {
     "val_missing_parent": val_missing_parent,
     "val_reconcile": lambda s, d: v.reconcile(view(s, d, "counsel"), checked(s, d).frame),
     "val_trace": val_trace,
+    "val_trace_ids": val_trace_ids,
     "diff_tables": diff_report,
     "diff_rows": diff_rows,
     "diff_only_old": diff_only_old,
@@ -174,6 +184,7 @@ ORACLES = {
     "val_trace": f"""{_BASE} SELECT _source_batch_id AS MIG_BATCH_ID, _source_system AS SRC_SYS, _source_table AS SRC_TBL, _source_record_key AS SRC_KEY, 'COUNSEL' AS TGT_TBL,
         CASE WHEN _violations IS NULL THEN CNSL_ID END AS TGT_KEY, CASE WHEN _violations IS NULL THEN "_remediated_CNSL_ID" END AS ORIG_KEY,
         CASE WHEN _violations IS NULL THEN 'LOADED' ELSE 'GOLD_QUARANTINED' END AS MIG_ST_CD FROM checked""",
+    "val_trace_ids": f"WITH {cte('counsel')} SELECT 2 * count(*) AS rows, 2 * count(*) AS ids FROM counsel",
     "diff_tables": f"""{_DIFF}, c AS (SELECT 'row_count' AS "check", (SELECT count(*) FROM outbound) AS old_value, (SELECT count(*) FROM new) AS new_value
         UNION ALL {_NULLS}
         UNION ALL SELECT 'repeated_keys', (SELECT count(*) FROM (SELECT 1 FROM outbound GROUP BY CTI_ID HAVING count(*) > 1)), (SELECT count(*) FROM (SELECT 1 FROM new GROUP BY CTI_ID HAVING count(*) > 1)))

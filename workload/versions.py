@@ -49,6 +49,15 @@ def scd_resync(spark, sf_dir):
     return again.groupBy("sync_status").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def scd_bad_keys(spark, sf_dir):
+    """Statuses for a snapshot in which some keys come twice and some rows have none."""
+    rows = view(spark, sf_dir, "product_later")
+    economy = rows.filter("STD_CATEGORY = 'ECONOMY'")
+    bad = rows.unionByName(economy).unionByName(economy.withColumn(KEY, F.lit(None).cast("string")))
+    found = snapshot.plan_sync(bad, history(spark, sf_dir), KEY, FIELDS)
+    return found.groupBy("sync_status").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def constraints() -> list[Constraint]:
     return [
         Constraint("category is empty", F.col("STD_CATEGORY").isNull()),
@@ -99,6 +108,7 @@ QUERIES = {
     "scd_counts": scd_counts,
     "scd_apply": scd_apply,
     "scd_resync": scd_resync,
+    "scd_bad_keys": scd_bad_keys,
     "snapshot_validate": snapshot_validate,
     "rule_problems": rule_problems,
 }
@@ -133,6 +143,8 @@ ORACLES = {
         CASE sync_status WHEN 'reactivated' THEN 'reactivated' WHEN 'deactivated' THEN 'missing from the snapshot' ELSE diffs END AS change_reason, {', '.join(FIELDS)}
         FROM p WHERE sync_status <> 'unchanged'""",
     "scd_resync": f"{_BASE} SELECT 'unchanged' AS sync_status, count(*) AS rows FROM inc",
+    "scd_bad_keys": f"""{_BASE}, e AS (SELECT {KEY} FROM inc WHERE STD_CATEGORY = 'ECONOMY')
+        SELECT sync_status, count(*) AS rows FROM p WHERE {KEY} NOT IN (SELECT {KEY} FROM e) GROUP BY 1 UNION ALL SELECT 'refused', 3 * count(*) FROM e""",
     "snapshot_validate": f"""{_BASE}, r AS (SELECT * FROM inc UNION ALL SELECT * FROM inc WHERE STD_CATEGORY = 'ECONOMY')
         SELECT {KEY} AS key, 'category is empty' AS problem FROM r WHERE STD_CATEGORY IS NULL
         UNION ALL SELECT {KEY}, 'class is unknown' FROM r WHERE NOT regexp_matches(PRODUCT_CLASS, '^Brand#[0-9]$')
