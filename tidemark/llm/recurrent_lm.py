@@ -473,7 +473,7 @@ def score_batches(shared: Broadcast):
                 known = places < none
                 counts = v.counts[places]
                 base = np.bincount(text_of[known], weights=np.log10(counts[known] + 1) - smooth, minlength=n)
-                base += np.log10(v.ends + 1) - smooth
+                base = base + np.log10(v.ends + 1) - smooth
                 # Words without an embedding also have a cost inside their class.
                 apart = np.flatnonzero(places >= len(v.class_of) - FIRST_WORD)
                 cells, owner = spelling_cells(v, words, apart)
@@ -481,7 +481,7 @@ def score_batches(shared: Broadcast):
                 other = other_class(Words(words.data, words.start[apart], words.end[apart], words.first))
                 told = known[apart]
                 inside = s.other_score(counts[apart][told], spelled[told], other[told])
-                score = np.bincount(text_of[apart][told], weights=inside, minlength=n)
+                score = np.bincount(text_of[apart][told], weights=inside, minlength=n).astype(float)
                 rare = apart[~told]
                 hashes = word_hashes(words)[rare].view(np.int64)
                 bounds = np.searchsorted(text_of[rare], np.arange(n + 1)).astype(np.int32)
