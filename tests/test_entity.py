@@ -94,3 +94,13 @@ def test_master_reload(spark):
     second = e.load_master(master("CDA0"), first, "PRD_CD", "PRD_ID", "PRD")
     assert {r["PRD_CD"]: r["PRD_ID"] for r in second.collect()} == {"A": "PRD-000001", "C": "PRD-000003", "0": "PRD-000004", "D": "PRD-000005"}
     assert second.filter(F.col("PRD_CD") == "B").isEmpty()
+
+
+def test_lineage_is_carried_over(spark):
+    """Records of an earlier merge keep an entry, under the id that their entity has now."""
+    names = "_source_system string, _source_batch_id string, _source_record_key string, TARGET_ENTITY string, TARGET_PK string"
+    earlier = [("s", "b1", "r1", "C", "C-1"), ("s", "b1", "r2", "C", "C-1"), ("s", "b1", "r4", "C", "C-2"), ("s", None, "r5", "C", "C-2")]
+    current = [("s", "b1", "r2", "C", "C-7"), ("s", "b2", "r3", "C", "C-7")]
+    frames = [spark.createDataFrame(rows, names) for rows in (earlier, current)]
+    got = sorted((r._source_record_key, r.TARGET_PK) for r in e.carried_lineage(*frames).collect())
+    assert got == [("r1", "C-7"), ("r2", "C-7"), ("r3", "C-7"), ("r4", "C-2"), ("r5", "C-2")]

@@ -5,13 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from workload import registry
 from tidemark.operators import keys as k
 from workload import entities, quality, validation
 from workload.views import view
 
 # Queries that write to scratch while they are built are covered by the others they are made of.
-BUILT_LAZILY = [n for n in sorted(entry.queries()) if not n.startswith(("src_", "sink_", "latest_"))]
+BUILT_LAZILY = [n for n in sorted(registry.QUERIES) if not n.startswith(("src_", "sink_", "latest_"))]
 
 
 def plan_of(df) -> str:
@@ -21,13 +21,13 @@ def plan_of(df) -> str:
 
 
 # These number rows inside groups; the window there runs over the counts per partition only.
-NUMBERING = ("ent_", "master_", "val_pk_dedup", "val_split", "val_by_rule", "val_missing_parent", "val_reconcile", "val_trace")
+NUMBERING = ("dq_detail_ids", "ent_", "master_", "val_pk_dedup", "val_split", "val_by_rule", "val_missing_parent", "val_reconcile", "val_trace")
 
 
 @pytest.mark.parametrize("name", BUILT_LAZILY)
 def test_no_pairwise_joins_no_python_no_window_over_groups(spark, sf_dir, name):
     """Groups are aggregated, not gathered. The only window over rows is the top-5 ranking, limited before its shuffle."""
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    plan = plan_of(registry.QUERIES[name](spark, sf_dir))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert word not in plan, word
     if name == "dq_samples_masked":
@@ -37,7 +37,7 @@ def test_no_pairwise_joins_no_python_no_window_over_groups(spark, sf_dir, name):
 
 
 def test_scan_reads_only_needed_columns(spark, sf_dir):
-    plan = plan_of(entry.queries()["dq_duplicate"](spark, sf_dir))
+    plan = plan_of(registry.QUERIES["dq_duplicate"](spark, sf_dir))
     assert set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)) == {"l_orderkey:bigint,l_linenumber:int"}
 
 
@@ -104,3 +104,14 @@ def test_merge_is_aggregates_only(spark, sf_dir):
 def test_foreign_key_is_a_join(spark, sf_dir):
     plan = plan_of(validation.rule_rows("FK")(spark, sf_dir))
     assert "LeftOuter" in plan
+
+
+def test_no_long_text_is_shuffled(spark, sf_dir):
+    """Text columns are profiled by hash and length: the text itself ends before the exchange."""
+    from workload.profiling import SPECS, counts
+
+    name = next(n for n, spec in SPECS.items() if spec.columns_with("TEXT"))
+    frame = counts(spark, sf_dir, name)
+    texts = SPECS[name].columns_with("TEXT")
+    longest = frame.filter(F.col("column_name").isin(*texts) & (F.trim("value") != "")).agg(F.max(F.length("value"))).first()[0]
+    assert longest == 64

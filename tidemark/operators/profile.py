@@ -39,11 +39,18 @@ class TableProfile:
         return [c for c, r in self.column_roles.items() if r in roles]
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, count) with every distinct value of every column, NULL included."""
+def value_counts(df: DataFrame, columns: list[str], text_columns: list[str] = ()) -> DataFrame:
+    """(column_name, value, length, count) with every distinct value of every column, NULL included.
+
+    Of text columns only lengths and the number of different values are wanted, so a wide hash stands for each text and
+    no long text is shuffled. Blank texts stay what they are.
+    """
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], columns, "column_name", "value")
-    return key_counts(long, ["column_name", "value"])
+    long = texts.unpivot([], columns, "column_name", "value").withColumn("length", F.length("value"))
+    if text_columns:
+        hidden = F.col("column_name").isin(*text_columns) & is_filled(F.col("value"))
+        long = long.withColumn("value", F.when(hidden, F.sha2("value", 256)).otherwise(F.col("value")))
+    return key_counts(long, ["column_name", "value", "length"])
 
 
 def _by_column(choices: dict[str, Column], default: Column) -> Column:
@@ -80,9 +87,9 @@ def column_metrics(counts: DataFrame, spec: TableProfile) -> DataFrame:
         F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
         F.coalesce(F.sum(F.when(value.isNotNull() & ~filled, n)), F.lit(0)).alias("blank_count"),
         F.count("value").alias("distinct_count"),
-        F.min(F.length("value")).cast("bigint").alias("shortest"),
-        F.max(F.length("value")).cast("bigint").alias("longest"),
-        F.sum(F.length("value") * n).alias("text_length"),
+        F.min("length").cast("bigint").alias("shortest"),
+        F.max("length").cast("bigint").alias("longest"),
+        F.sum(F.col("length") * n).alias("text_length"),
         F.sum(F.when(value.isNotNull(), n)).alias("texts"),
         F.min(F.when(filled, value)).alias("lowest"),
         F.max(F.when(filled, value)).alias("highest"),

@@ -20,7 +20,7 @@ def profile_frame(
     df: DataFrame, spec: p.TableProfile, batch: str, code_master: DataFrame | None = None, staged: bool = True
 ) -> dict[str, DataFrame]:
     """All profile results of a frame. The value counts are written once and serve every column metric."""
-    counts = p.value_counts(df, list(spec.column_roles))
+    counts = p.value_counts(df, list(spec.column_roles), spec.columns_with("TEXT"))
     counts = materialize(counts) if staged else counts
     out = {
         "summary": p.table_summary(df, spec, batch),

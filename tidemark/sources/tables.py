@@ -2,8 +2,8 @@
 
 Every write goes through the session catalog, so the tables live wherever the cluster's warehouse does. Nothing
 here collects keys or partitions: rows to replace are found with joins, partitions that are touched are replaced with
-INSERT OVERWRITE, and of a partitioned table no other partition is read or written. A table that is overwritten as a
-whole is written once, under another name, and takes the old one's place by renaming. Rows are clustered by partition
+INSERT OVERWRITE, and of a partitioned table no other partition is read or written. A table without partitions that is
+overwritten as a whole is written once, under another name, and takes the old one's place by renaming. Rows are clustered by partition
 before a partitioned write, and large partitions split again, so files follow the data and not tasks times partitions.
 """
 
@@ -119,23 +119,29 @@ def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:
 def overwrite_staged(df: DataFrame, table: str, partition_by: list[str] = ()) -> DataFrame:
     """Overwrite a table with a frame that may read the table itself.
 
-    The frame is written once, as a table beside it, which then takes its name. The old table is dropped last; a run
-    that stops in between leaves it as <table>__old, and the next overwrite puts it back first.
+    Without partitions the frame is written once, as a table beside it, which then takes its name. The old table is
+    dropped last; a run that stops in between leaves it as <table>__old, and the next overwrite puts it back first.
+    Renaming does not move what the catalog knows of partitions, so a partitioned table is staged and then overwritten
+    in place: it is never dropped.
     """
-    spark = df.sparkSession
+    spark, parts = df.sparkSession, list(partition_by)
     fresh, old = f"{table}__new", f"{table}__old"
     if table_exists(spark, old):
         if table_exists(spark, table):
             spark.sql(f"DROP TABLE {old}")
         else:
             spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    writer = clustered(df, list(partition_by)).write.format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(fresh)
-    if table_exists(spark, table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if parts:
+        staged = materialize(df)
+        create_empty(staged, table, parts)
+        clustered(align(staged, table), parts).write.insertInto(table, overwrite=True)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        df.write.format("parquet").saveAsTable(fresh)
+        if table_exists(spark, table):
+            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     spark.catalog.refreshTable(table)
     return spark.table(table)
 

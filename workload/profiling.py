@@ -61,7 +61,7 @@ def master(spark: SparkSession) -> DataFrame:
 
 
 def counts(spark, sf_dir, name: str) -> DataFrame:
-    return p.value_counts(view(spark, sf_dir, name), list(SPECS[name].column_roles))
+    return p.value_counts(view(spark, sf_dir, name), list(SPECS[name].column_roles), SPECS[name].columns_with("TEXT"))
 
 
 def over_tables(build, names=tuple(SPECS)):
