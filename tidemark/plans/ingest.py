@@ -13,9 +13,9 @@ def read_source(spark: SparkSession, base: str, fmt: str, columns: list[str] | N
     """Newest batch of a source folder with its `ingest_date` column."""
     if fmt == "csv":
         return files.read_csv_batches(spark, base, columns)
-    if fmt == "json_unified":
+    if fmt in ("json_unified", "json_lines"):  # one document per file, read by one task, or one per line
         folder, batch = files.newest_batch_folder(spark, base)
-        return files.read_sessions(spark, folder, schema).withColumn(files.BATCH_COLUMN, F.lit(batch))
+        return files.read_sessions(spark, folder, schema, fmt == "json_unified").withColumn(files.BATCH_COLUMN, F.lit(batch))
     raise ValueError(f"unsupported source format {fmt}")
 
 

@@ -13,7 +13,7 @@ BATCH_IN_PATH = r"ingest_date=([0-9-]+)"
 
 _TEXT, _LONG, _BOOL = T.StringType(), T.LongType(), T.BooleanType()
 
-# Scalars of a chatbot session, in output order around the nested leaves.
+# Field names of the nested deliveries. Scalars of a chatbot session, in output order around the nested leaves.
 SESSION_HEAD = [
     "session_id", "channel", "device_type", "os", "app_version", "started_at", "ended_at", "duration_seconds",
     "entry_login_status", "is_logged_in", "customer_id", "consent_screen_shown", "consent_privacy_accepted",
@@ -21,6 +21,7 @@ SESSION_HEAD = [
     "login_gate_hit", "mobile_only_redirect", "external_site_redirect", "accident_claim",
     "contract_change_request", "benefit_event_interaction", "resolution", "intent_category_guess",
 ]
+# Output column -> field of a navigation step, and of a query.
 NAVIGATION = {
     "nav_step": "step",
     "nav_menu_level": "menu_level",
@@ -78,8 +79,8 @@ def newest_batch_folder(spark: SparkSession, base: str) -> tuple[str, str]:
 def read_metadata_csv(spark: SparkSession, path: str, ordinal: str | None = None, key: str | None = None) -> DataFrame:
     """Metadata file: header, byte-order mark allowed, all text, blank cells as NULL.
 
-    `ordinal` numbers the lines of the file; metadata files are single and small, so the numbering window over them
-    is bounded. `key` names a column whose values must be unique.
+    `ordinal` numbers the lines of the file, which must be one: its lines are read by one task, so ids that rise within a
+    task are their numbers. `key` names a column whose values must be unique.
     """
     frame = (
         spark.read.option("header", True)
@@ -97,6 +98,8 @@ def read_metadata_csv(spark: SparkSession, path: str, ordinal: str | None = None
         if repeated:
             raise ValueError(f"{path}: {found.count()} values of {key} are repeated, nothing was loaded: {repeated} ...")
     if ordinal:
+        if len(frame.inputFiles()) > 1:
+            raise ValueError(f"{path}: lines can only be numbered in a single file")
         # One multi-line file is one split, so this id counts its lines from zero.
         frame = frame.withColumn(ordinal, (F.monotonically_increasing_id() + 1).cast("string"))
         frame = frame.select(ordinal, *names)

@@ -12,6 +12,7 @@ from tidemark.session import metadata_frame
 from workload import sqltext as t
 from workload.views import cte, load, view
 
+# Columns of the inputs, their roles, and the formats of their dates.
 SPECS = {
     "inbound": p.TableProfile(
         "inbound",
