@@ -1,13 +1,14 @@
 """Main text of web pages: site templates are found by counting element subtrees per host, and deleted.
 
-1. Every page is read once, in one pass over its tags, into blocks of text. Each block-level element's subtree is hashed
-   over its tag, its class and id, and its text (addresses and other attributes vary from page to page and are left out).
-   A block carries the hashes of the elements around it.
+1. A page is read in one pass over its tags, into blocks of text. Each block-level element's subtree is hashed over the
+   host, its tag, its class and id, and its text (addresses and other attributes vary from page to page and are left
+   out). A block carries the hashes of the elements around it.
 2. Spark counts, per host, on how many different pages each hash occurs (copies of one page count once, by a hash of its
    main text). Hashes on at least `MIN_PAGES` pages, or on a tenth of a small host's pages and three at least, are
    template. A host with any share of all pages is only a longer column of partial sums.
-3. The template hashes of each page come back to it in a join, and the subtrees with them are deleted: menus, banners,
-   footers, sidebars, however they are marked up. The elements that carry the article, and inside it all prose, are never
+3. Pages are read again, and the subtrees with template hashes are deleted: menus, banners, footers, sidebars, however
+   marked up. A filter of fixed size, made of the template hashes, tells at once for most pages what is left; where text
+   depends on what the filter lets through, an exact join decides. The elements that carry the article, and inside it all prose, are never
    deleted: text that an author repeats, or that copies share, is no template.
 4. What a template cannot show, such as an advert that stands on one page only, goes by its mark-up: elements that are no
    text, landmarks other than the article, and blocks whose class, id or role names them so. If there is an article (or
@@ -28,10 +29,13 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.counts import bit_filter, has_bit
 from tidemark.llm.tables import table
 from tidemark.llm.textbytes import pieces
 from tidemark.llm.url_filter import url_parts
@@ -40,6 +44,7 @@ from tidemark.session import materialize
 MIN_PAGES = 10
 MIN_SHARE = 0.1
 MIN_PAGES_SMALL_HOST = 3
+FILTER_BITS = 24  # 2 MB
 
 # How HTML elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -93,10 +98,10 @@ class Element:
 
     __slots__ = ("tag", "parts", "noise", "within", "prose", "block", "code")
 
-    def __init__(self, tag: str, names: str, noise: bool, within: bool):
+    def __init__(self, host: str, tag: str, names: str, noise: bool, within: bool):
         self.tag, self.noise, self.within = tag, noise, within
         self.block = tag in BLOCKS
-        self.parts = [tag, names]
+        self.parts = [host, tag, names]
         self.prose = False
         self.code = 0
 
@@ -109,8 +114,9 @@ class Element:
 class Reader:
     """One pass over a page: its blocks (text, is it noise by mark-up, elements around it) and all block-level elements."""
 
-    def __init__(self, page: str):
-        self.stack = [Element("#root", "", False, False)]
+    def __init__(self, page: str, host: str):
+        self.host = host
+        self.stack = [Element(host, "#root", "", False, False)]
         self.ended: list[Element] = []
         self.blocks: list[tuple[str, bool, bool, list[Element]]] = []
         self.pending: list[str] = []
@@ -166,7 +172,7 @@ class Reader:
             noise = bool(names and BOILERPLATE.search(HUMP.sub("-", names))) or bool(attributes and HIDDEN.search(attributes))
         within = parent.within or (tag in ARTICLE and not noise)
         self.has_article = self.has_article or within
-        element = Element(tag, names, noise, within)
+        element = Element(self.host, tag, names, noise, within)
         if noise and not parent.noise and not element.block:
             # An inline element that is noise stands apart from the block around it.
             self.end_block()
@@ -208,65 +214,92 @@ class Reader:
                 self.stack[-1].parts.extend(element.parts)
 
 
-def read_page(page: str) -> tuple[list[dict], list[int], int]:
+def read_page(page: str, host: str = "") -> tuple[list[dict], list[int], int]:
     """Blocks of a page, hashes of its subtrees that may be template, and the hash of its main text."""
-    reader = Reader(page)
+    reader = Reader(page, host)
     blocks = []
     for text, noise, within, around in reader.blocks:
         lost = noise or (reader.has_article and not within)
         codes = [e.code for e in around if e.may_be_template()]
         blocks.append({"text": text, "noise": lost, "around": codes})
     main = code_of([b["text"] for b in blocks if not b["noise"]])
-    return blocks, sorted({e.code for e in reader.ended if e.may_be_template() and len(e.parts) > 2}), main
+    return blocks, sorted({e.code for e in reader.ended if e.may_be_template() and len(e.parts) > 3}), main
 
 
-READ = (
-    "page_id bigint, url string, host string, blocks array<struct<text:string,noise:boolean,around:array<bigint>>>, "
-    "subtrees array<bigint>, main bigint"
-)
-BLOCK_TYPE = pa.list_(pa.struct([("text", pa.string()), ("noise", pa.bool_()), ("around", pa.list_(pa.int64()))]))
+SUBTREES = "host bigint, main bigint, code bigint"
 
 
-def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def subtree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page (host, hash of its main text) and subtree that may be template a row."""
     for batch in batches:
         for part in pieces(batch, "html"):
-            blocks, subtrees, mains = [], [], []
-            for page in part.column("html").to_pylist():
-                found, codes, main = read_page(page or "")
-                blocks.append(found)
-                subtrees.append(codes)
-                mains.append(main)
-            arrays = [pa.array(blocks, BLOCK_TYPE), pa.array(subtrees, pa.list_(pa.int64())), pa.array(mains, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("page_id"), part.column("url"), part.column("host"), *arrays],
-                ["page_id", "url", "host", "blocks", "subtrees", "main"],
-            )
+            hosts, mains, found = [], [], []
+            for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                _, codes, main = read_page(page or "", host)
+                hosts.extend([code_of([host])] * len(codes))
+                mains.extend([main] * len(codes))
+                found.extend(codes)
+            arrays = [pa.array(c, pa.int64()) for c in (hosts, mains, found)]
+            yield pa.RecordBatch.from_arrays(arrays, ["host", "main", "code"])
 
 
 def template_hashes(subtrees: DataFrame) -> DataFrame:
-    """(host, code) of the subtrees on many different pages of their host, from rows (host, main, code)."""
-    seen = subtrees.select("host", "main", "code").distinct()
-    sizes = subtrees.groupBy("host").agg(F.approx_count_distinct("main", 0.02).alias("pages"))
+    """(code) of the subtrees on many different pages of their host, from rows (host, main, code)."""
+    seen = materialize(subtrees.distinct())
+    sizes = seen.groupBy("host").agg(F.approx_count_distinct("main", 0.02).alias("pages"))
     counts = seen.groupBy("host", "code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_PAGES_SMALL_HOST)
     enough = F.least(F.lit(MIN_PAGES), F.greatest(F.lit(MIN_PAGES_SMALL_HOST), F.ceil(F.col("pages") * MIN_SHARE)))
-    return counts.join(sizes, "host").filter(F.col("n") >= enough).select("host", "code")
+    return counts.join(sizes, "host").filter(F.col("n") >= enough).select("code")
+
+
+READ = (
+    "page_id bigint, url string, text string, blocks array<struct<text:string,noise:boolean,around:array<bigint>>>, "
+    "subtrees array<bigint>"
+)
+BLOCK_TYPE = pa.list_(pa.struct([("text", pa.string()), ("noise", pa.bool_()), ("around", pa.list_(pa.int64()))]))
+
+
+def read_batches(bits: Broadcast):
+    """Per page its text, or its blocks and the subtrees that may be template where the text depends on those."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "html"):
+                texts, blocks, subtrees = [], [], []
+                for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                    found, codes, _ = read_page(page or "", host)
+                    own = np.array(codes, np.int64)
+                    hits = set(own[has_bit(bits.value, own, FILTER_BITS)].tolist())
+                    open_blocks = any(not b["noise"] and not hits.isdisjoint(b["around"]) for b in found) if hits else False
+                    texts.append(None if open_blocks else "\n\n".join(b["text"] for b in found if not b["noise"]))
+                    blocks.append(found if open_blocks else [])
+                    subtrees.append(sorted(hits) if open_blocks else [])
+                arrays = [pa.array(texts, pa.string()), pa.array(blocks, BLOCK_TYPE), pa.array(subtrees, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("page_id"), part.column("url"), *arrays], ["page_id", "url", "text", "blocks", "subtrees"]
+                )
+
+    return rows
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
-    """One row per page (page_id, url, html): page_id, url, text, n_chars, n_template (subtrees deleted as template)."""
-    source = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", url_parts(F.col("url"))["host"].alias("host"), "html")
-    read = materialize(source.mapInArrow(read_batches, READ).withColumn("row", F.monotonically_increasing_id()))
-    subtrees = read.select("row", "host", "main", F.explode("subtrees").alias("code"))
-    template = materialize(template_hashes(subtrees))
+    """One row per page (page_id, url, html): page_id, url, text, n_chars."""
+    host = url_parts(F.col("url"))["host"].alias("host")
+    source = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", host, "html")
+    template = materialize(template_hashes(source.select("host", "html").mapInArrow(subtree_batches, SUBTREES)))
+    bits = pages.sparkSession.sparkContext.broadcast(bit_filter(template, "code", FILTER_BITS))
+    read = source.mapInArrow(read_batches(bits), READ)
+    plain = read.filter("text IS NOT NULL").select("page_id", "url", "text")
+    touched = materialize(read.filter("text IS NULL").drop("text").withColumn("row", F.monotonically_increasing_id()))
     # The template hashes of one page: at most as many as it has elements.
-    own = subtrees.join(template, ["host", "code"]).groupBy("row").agg(F.collect_list("code").alias("template"))
-    joined = read.select("row", "page_id", "url", "blocks").join(own, "row", "left")
-    template_codes = F.coalesce("template", F.array().cast("array<bigint>"))
-    stays = F.filter("blocks", lambda b: ~b["noise"] & ~F.arrays_overlap(b["around"], template_codes))
+    own = touched.select("row", F.explode("subtrees").alias("code")).join(template, "code")
+    own = own.groupBy("row").agg(F.collect_list("code").alias("template"))
+    found = F.coalesce("template", F.array().cast("array<bigint>"))
+    stays = F.filter("blocks", lambda b: ~b["noise"] & ~F.arrays_overlap(b["around"], found))
     text = F.array_join(F.transform(stays, lambda b: b["text"]), "\n\n")
-    return joined.withColumn("text", text).select(
-        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), F.size(template_codes).cast("bigint").alias("n_template")
-    )
+    rest = touched.join(own, "row", "left").select("page_id", "url", text.alias("text"))
+    both = plain.unionByName(rest)
+    return both.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
