@@ -158,7 +158,7 @@ def test_stages(spark, docs, empty, sf_dir, stage):
     found = function(spark, docs, sf_dir)
     if stage != "token_ids":
         assert found.columns == corpus_pipeline.COLUMNS
-    kept = {"language": 6, "near_duplicates": 9, "decontamination": 11, "token_ids": 11}
+    kept = {"language": 7, "near_duplicates": 9, "decontamination": 11, "token_ids": 11}
     assert stage not in kept or found.count() == kept[stage]
 
 
