@@ -40,13 +40,13 @@ from tidemark.llm.textbytes import Words, pieces, span_hashes, split_words, text
 from tidemark.session import materialize
 
 END_ID = 1  # fixed value of the query
-CHUNK_IDS = 6_000_000
+CHUNK_IDS = 3_000_000
 BLOCK_IDS = 4096
 MIN_BLOCK_IDS = 1024
 LANES = 2048  # blocks that are coded side by side, and that a chunk is cut into
 MAX_ID_BITS = 20
 HEADER = "<4sBIII"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 CONTEXT_BITS = 11  # entries of an order's table per block: 2**11
 TOP = np.uint64(32)
@@ -135,7 +135,8 @@ class Lanes:
         low = np.where(upper, border, low)
         which, at = self.which[small], self.at[small]
         if self.decode:
-            self.code[small] = (self.code[small] << TOP) | self.stream[which, at + 2].astype(np.uint64)
+            word = self.stream[which, np.minimum(at + 2, self.stream.shape[1] - 1)]  # a damaged block may ask for more
+            self.code[small] = (self.code[small] << TOP) | word.astype(np.uint64)
         else:
             self.write(which, at, low >> TOP)
         self.at[small] = at + 1
