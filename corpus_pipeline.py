@@ -31,6 +31,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that repeat count as one. Rows without an id stay, unless they repeat or a document with an id is like them.
     """
+    docs = docs.select(*COLUMNS)
     groups = similar_groups(docs)
     own = F.col("component_id").eqNullSafe(F.col("doc_id"))
     kept = groups.groupBy("doc_id").agg(F.max(own).alias("own"), F.count(F.lit(1)).alias("copies")).filter("own")
@@ -47,6 +48,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that the sources reach their target weights in words."""
+    docs = docs.select(*COLUMNS)
     mixed = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
     mixed = mixed.filter("copies > 0").select(
         F.col("doc_id").alias("mixed_id"), F.col("source").alias("mixed_source"), F.col("size").alias("mixed_size"), "copies"
