@@ -11,9 +11,9 @@ spelling: bytes given the three before them, smoothed with shorter contexts.
 
 Training is truncated back-propagation through time over windows of `WINDOW` words; the state is carried from window to
 window and begins anew with each document. It runs where the data is: in each of `ROUNDS` rounds every task trains, from
-the same weights, on its training documents of that round (whole documents, a `1/STRIDE` share of all, another one each
-round), and Spark averages the weights by words seen. So what is learned from grows with the corpus, and no task or
-driver holds more than one model.
+the same weights, on its training documents of that round (whole documents, one in `ROUNDS`, others each round), and Spark
+averages the weights by words seen. So over all rounds every word of every training document is learned from once, and no
+task or driver holds more than one model.
 
 Scoring runs all documents of a batch side by side in windows, with the state carried over, so every word of a document
 is scored with all words before it as context.
@@ -48,7 +48,6 @@ OTHER = 16  # classes of words without
 WINDOW = 16
 TRAIN_LANES = 32
 ROUNDS = 2
-STRIDE = 16
 RATE = 0.3
 DISCOUNT = 0.75
 LETTERS = 40  # symbols of the spelling model: the word's edge, the most frequent bytes, and all others
@@ -225,6 +224,11 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
+
+
 def output_scores(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log-probability of each id after each state: of its class, and within the class."""
     classes = v.class_of[ids]
@@ -246,8 +250,8 @@ def class_rows(v: Vocabulary, classes: np.ndarray) -> Iterator[tuple[int, np.nda
             yield k, order[bounds[k] : bounds[k + 1]]
 
 
-def train_window(w: dict, v: Vocabulary, ids: np.ndarray, begins: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray]:
-    """Gradients over one window (step, lane) of ids, and the state after it."""
+def train_window(w: dict, v: Vocabulary, ids: np.ndarray, begins: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Gradients over one window (step, lane) of ids, of embeddings only for the ids in it; these ids; and the state after it."""
     steps, lanes = ids.shape
     x = w["embed"][ids]
     projected = x @ w["input"] + w["gate_bias"]
@@ -260,15 +264,16 @@ def train_window(w: dict, v: Vocabulary, ids: np.ndarray, begins: np.ndarray, st
     flat, targets = states.reshape(-1, HIDDEN), ids.reshape(-1)
     classes = v.class_of[targets]
     each = np.arange(len(targets))
-    error = np.exp(log_softmax(flat @ w["class"] + w["class_bias"]))
+    error = softmax(flat @ w["class"] + w["class_bias"])
     error[each, classes] -= 1
     grads = {"class": flat.T @ error, "class_bias": error.sum(axis=0), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
     back = error @ w["class"].T
     for k, rows in class_rows(v, classes):
         a, b = v.first[k], v.first[k + 1]
-        inside = np.exp(log_softmax(flat[rows] @ w["word"][a:b].T + w["word_bias"][a:b]))
+        before = flat[rows]
+        inside = softmax(before @ w["word"][a:b].T + w["word_bias"][a:b])
         inside[np.arange(len(rows)), targets[rows] - a] -= 1
-        grads["word"][a:b] = inside.T @ flat[rows]
+        grads["word"][a:b] = inside.T @ before
         grads["word_bias"][a:b] = inside.sum(axis=0)
         back[rows] += inside @ w["word"][a:b]
     back = back.reshape(steps, lanes, HIDDEN)
@@ -288,25 +293,30 @@ def train_window(w: dict, v: Vocabulary, ids: np.ndarray, begins: np.ndarray, st
     d_flat = d_projected.reshape(-1, 3 * HIDDEN)
     grads["input"] = x.reshape(-1, HIDDEN).T @ d_flat
     grads["gate_bias"] = d_flat.sum(axis=0)
-    grads["embed"] = np.zeros_like(w["embed"])
-    np.add.at(grads["embed"], targets, d_flat @ w["input"].T)
-    return grads, state
+    read, place = np.unique(targets, return_inverse=True)
+    grads["embed"] = np.zeros((len(read), HIDDEN), np.float32)
+    np.add.at(grads["embed"], place, d_flat @ w["input"].T)
+    return grads, read, state
 
 
 def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, begins: np.ndarray, squares: dict) -> None:
     """Trains in place on a stream of documents, cut into lanes; the state goes on from window to window."""
     lanes = min(TRAIN_LANES, max(1, len(ids) // WINDOW))
     length = len(ids) // lanes
+    rest, rest_begins = ids[lanes * length :], begins[lanes * length :]
     ids = ids[: lanes * length].reshape(lanes, length).T
     begins = begins[: lanes * length].reshape(lanes, length).T.copy()
     begins[0] = True
     state = np.zeros((lanes, HIDDEN), np.float32)
     for at in range(0, length, WINDOW):
-        grads, state = train_window(w, v, ids[at : at + WINDOW], begins[at : at + WINDOW], state)
+        grads, read, state = train_window(w, v, ids[at : at + WINDOW], begins[at : at + WINDOW], state)
         for name, grad in grads.items():
+            rows = read if name == "embed" else slice(None)
             grad = np.clip(grad / lanes, -1, 1)
-            squares[name] += grad * grad
-            w[name] -= RATE * grad / np.sqrt(squares[name])
+            squares[name][rows] += grad * grad
+            w[name][rows] -= RATE * grad / np.sqrt(squares[name][rows])
+    if len(rest):  # fewer words than lanes
+        train_stream(w, v, rest, rest_begins, squares)
 
 
 def ids_of(v: Vocabulary, words: Words, places: np.ndarray) -> np.ndarray:
@@ -336,10 +346,10 @@ def spelling_cells(v: Vocabulary, words: Words, which: np.ndarray) -> tuple[np.n
     return cells, owner
 
 
-def train_batches(shared: Broadcast, round_number: int):
-    """Trains from the shared weights on this round's documents of the task; hands on weights times words, and words.
+def train_batches(shared: Broadcast):
+    """Trains from the shared weights on the documents of the task; hands on weights times words, and words.
 
-    The first round also counts the spelling of the words that are not among the known ones.
+    Also counts the spelling of the words that are not among the known ones.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,18 +363,15 @@ def train_batches(shared: Broadcast, round_number: int):
                 words = split_words(part.column("text"))
                 hashes = word_hashes(words)
                 places = v.index.places(hashes)
-                if round_number == 0:
-                    _, first = np.unique(hashes[places == len(v.counts) - 1], return_index=True)
-                    found, _ = spelling_cells(v, words, np.flatnonzero(places == len(v.counts) - 1)[first])
-                    cells += np.bincount(found, minlength=len(cells))
+                _, first = np.unique(hashes[places == len(v.counts) - 1], return_index=True)
+                found, _ = spelling_cells(v, words, np.flatnonzero(places == len(v.counts) - 1)[first])
+                cells += np.bincount(found, minlength=len(cells))
                 ids, at = with_ends(ids_of(v, words, places), words.first)
-                turn = part.column("turn").to_numpy() == round_number
-                for i in np.flatnonzero(turn):
-                    stream.append(ids[at[i] : at[i + 1]])
-                    fresh = np.zeros(at[i + 1] - at[i], bool)
-                    fresh[0] = True
-                    begins.append(fresh)
-                    held += len(fresh)
+                fresh = np.zeros(len(ids), bool)
+                fresh[at[:-1]] = True
+                stream.append(ids)
+                begins.append(fresh)
+                held += len(ids)
                 if held >= 200_000:
                     train_stream(w, v, np.concatenate(stream), np.concatenate(begins), squares)
                     stream, begins, seen, held = [], [], seen + held, 0
@@ -518,27 +525,27 @@ def fit(spark: SparkSession, training: DataFrame) -> tuple[Scorer, DataFrame]:
     counted = training.mapInArrow(count_words, WORD_COUNTS)
     counts = materialize(counted.groupBy("kind", "hash").agg(F.sum("n").alias("n"), F.first("other").alias("other")))
     vocabulary = build_vocabulary(counts, training.count())
-    weights, cells = initial_weights(vocabulary), {}
+    weights, cells = initial_weights(vocabulary), np.zeros(LETTERS**4, np.int64)
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
     for number in range(ROUNDS):
         shared = spark.sparkContext.broadcast((vocabulary, weights))
-        sums = summed_tables(training.mapInArrow(train_batches(shared, number), COUNTED))
-        cells = cells or sums.get("cells", {})
+        sums = summed_tables(training.filter(turn == number).select("text").mapInArrow(train_batches(shared), COUNTED))
+        cells += filled(sums.get("cells", {}), len(cells))
         seen = int(filled(sums.get("seen", {}), 1)[0])
         if seen:
             weights = {
                 name: (filled(sums.get(f"w/{name}", {}), value.size) / (seen * FIXED_POINT)).astype(np.float32).reshape(value.shape)
                 for name, value in weights.items()
             }
-    spelling = spelling_model(filled(cells, LETTERS**4), vocabulary.letter)
+    spelling = spelling_model(cells, vocabulary.letter)
     return Scorer(vocabulary, weights, spelling), counts.filter("kind = 0").select("hash", "n")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(STRIDE)).cast("int")
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
-    model, counts = fit(spark, source.filter(~F.col("held_out")).select("text", turn.alias("turn")))
+    model, counts = fit(spark, source.filter(~F.col("held_out")).select("doc_id", "text"))
     v = model.v
     first = source.mapInArrow(score_batches(spark.sparkContext.broadcast(model)), SCORED)
     first = materialize(first.withColumn("row", F.monotonically_increasing_id()))
