@@ -3,6 +3,7 @@
 import numpy as np
 
 from tidemark.llm import recurrent_lm
+from tidemark.llm.decontaminate import contaminated
 
 
 def test_every_training_word_is_learned_from(spark, monkeypatch):
@@ -36,3 +37,24 @@ def test_no_word_is_lost_between_lanes(monkeypatch):
     squares = {name: np.full(value.shape, 0.1, np.float32) for name, value in weights.items()}
     recurrent_lm.train_stream(weights, vocabulary, ids, np.zeros(len(ids), bool), squares)
     assert sorted(trained) == sorted(ids.tolist())
+
+
+def test_short_slot_rich_and_opening_names(spark):
+    items = [
+        (1, "What is 12 plus 30?"),
+        (2, "Tom has 3 apples and gives 2 of them to his sister. How many are left?"),
+        (3, "On 3 May 2019 Anna Maria Lopez paid 15 euros and 20 cents to Peter Paul Meier in Rome for 2 books."),
+        (4, "Anna has 3."),
+    ]
+    docs = [
+        (1, "Exercises. What is 45 plus 7? Write it down."),
+        (2, "Bob has 5 apples and gives 4 of them to his sister. How many are left?"),
+        (3, "Text. On 7 June 2021 Berta Clara Gomez paid 99 euros and 10 cents to Karl Otto Huber in Oslo for 8 books. More."),
+        (4, "Do what is 45 minus 7? They say that Bob has 5 of them and then"),
+        (5, "Bob has 5 apples and sells 4 of them to her sister. How many are there?"),
+        (6, "It is so. Bob has 5. It is so."),
+    ]
+    frames = (spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    rows = contaminated(*frames).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 2), (3, 3), (6, 4)}
+    assert all(0.5 <= r.coverage <= 1 for r in rows)
