@@ -3,6 +3,7 @@
 import numpy as np
 
 from tidemark.llm import recurrent_lm
+from tidemark.llm.cotraining import fit
 from tidemark.llm.decontaminate import contaminated
 
 
@@ -58,3 +59,18 @@ def test_short_slot_rich_and_opening_names(spark):
     rows = contaminated(*frames).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 2), (3, 3), (6, 4)}
     assert all(0.5 <= r.coverage <= 1 for r in rows)
+
+
+def test_repeated_ids_reach_the_driver_once(spark, monkeypatch):
+    arrived, arrow = [], type(spark.range(1)).toArrow
+
+    def recorded(frame):
+        table = arrow(frame)
+        arrived.append(table.num_rows)
+        return table
+
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", recorded)
+    docs = spark.range(600).selectExpr("IF(id % 3 = 0, 1, id) AS doc_id", "concat('text ', id) AS text", "'a' AS source", "'en' AS lang")
+    labels = spark.range(1, 40).selectExpr("id AS doc_id", "int(id % 2) AS quality", "int(id % 3 = 0) AS toxic")
+    fit(docs, labels)
+    assert arrived == [docs.select("doc_id").distinct().count()]

@@ -11,7 +11,8 @@ on labelled documents that neither has learned from, and the calibrated views ar
 One pass then scores all documents, each in the task that reads it.
 
 Defined results: a null or empty text has no words and the page features of length 0. A null source or language is a value
-of its own. Labels without a value are not learned from; where one doc_id has several, the smallest counts. With no labels,
+of its own. Labels without a value are not learned from; where one doc_id has several, the smallest counts; of
+rows with one doc_id that of the smallest text hash is fitted on. With no labels,
 or labels of one class only, every document gets that class's share (one half if there are none). Repeated rows and null
 ids are scored like others. An empty table gives no rows. Of the documents doc_id, text, lang and source are read, so other
 columns cannot clash. Texts are read as a whole.
@@ -247,6 +248,13 @@ def chosen_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "source", "lang")
 
 
+def sample_features(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """Features of the documents with the ids of `sample`, of rows with one id those of the smallest text hash: one row per id."""
+    row = F.struct(F.xxhash64("text").alias("hash"), "source", "lang", "text")
+    one = chosen_columns(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min(row).alias("row"))
+    return one.select("doc_id", "row.text", "row.source", "row.lang").mapInArrow(feature_batches, FEATURES)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> dict[str, Target]:
     """Co-trained models of all labels, from bounded samples."""
     told = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
@@ -259,14 +267,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict[str, Target]:
     if len(labelled):
         sample = docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(labelled["doc_id"], pa.int64())})).union(sample)
     # At most 2 * SAMPLE ids.
-    rows = chosen_columns(docs).join(F.broadcast(sample), "doc_id").mapInArrow(feature_batches, FEATURES).toArrow()
+    rows = sample_features(docs, sample).toArrow()
     order = {doc: i for i, doc in enumerate(labelled["doc_id"])}
-    at, seen = [], set()
-    for i, doc in enumerate(rows.column("doc_id").to_pylist()):
-        if doc not in seen:  # of rows with one id the first is fitted on
-            seen.add(doc)
-            at.append((order.get(doc, len(order)), doc, i))
-    at.sort()
+    at = sorted((order.get(doc, len(order)), doc, i) for i, doc in enumerate(rows.column("doc_id").to_pylist()))
     which = np.array([i for _, _, i in at], np.int64)
     n_labelled = sum(o < len(order) for o, _, _ in at)
 
