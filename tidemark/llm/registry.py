@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.cotraining import op6_quality_cotraining
 from tidemark.llm.decontaminate import op10_benchmark_decontamination
 from tidemark.llm.language import op7_language_id
+from tidemark.llm.manifest import OP13_SQL, op13_merkle_manifest
 from tidemark.llm.merkle import op4_document_fingerprints
 from tidemark.llm.ngram_join import OP5_SQL, op5_ngram_jaccard_join
 from tidemark.llm.recurrent_lm import op3_lm_scoring
@@ -26,5 +27,11 @@ QUERIES = {
     "op9_token_ids": op9_token_ids,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_turn_repair": op11_turn_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
+}
+ORACLES = {
+    "op1_url_filters": OP1_SQL,
+    "op5_ngram_jaccard_join": OP5_SQL,
+    "op11_turn_repair": OP11_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
-ORACLES = {"op1_url_filters": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op11_turn_repair": OP11_SQL}
