@@ -12,6 +12,7 @@ from tidemark.llm.recurrent_lm import op3_lm_scoring
 from tidemark.llm.template_html import op2_html_extraction
 from tidemark.llm.token_codec import op9_token_ids
 from tidemark.llm.token_mix import op8_mix_to_target
+from tidemark.llm.toxicity import op12_toxicity
 from tidemark.llm.turn_repair import OP11_SQL, op11_turn_repair
 from tidemark.llm.url_filter import OP1_SQL, op1_url_filters
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_token_ids": op9_token_ids,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_turn_repair": op11_turn_repair,
+    "op12_toxicity": op12_toxicity,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES = {
