@@ -5,7 +5,8 @@ of 16, until one is left, the subroot; the subroots of all sources go up the sam
 Spark, each from the one below, and stored: the runs of leaves as one row per run, and every node above as a row with its
 parent's id and hash and the hashes beside it. A recursive query then climbs from the leaves: each step joins a
 climber with its node, appends the siblings to its proof and folds the leaf's present hash with them. The leaves of one
-run share their siblings from the first node on, so they climb in one row, which holds the hash each has reached.
+run share their siblings from the first node on, so they climb in one row, which holds the hash each has reached. Climbers
+carry digests as bytes, half as long as the hex text that is hashed.
 
 High nodes are met by very many climbers, so such a node is stored in LANES rows and climbers are dealt over them; a node
 has no more rows than runs of leaves below it. No row holds more than 16 nodes and a proof, whose length is
@@ -32,7 +33,7 @@ from tidemark.session import materialize
 WIDTH = 16
 LANES = 16
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
-NODES = "id string, lane int, parent string, parent_hash string, before string, after string"
+NODES = "id string, lane int, parent string, parent_hash binary, before binary, after binary"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -90,9 +91,9 @@ def node_rows(parents: DataFrame) -> DataFrame:
         F.col("kid.id").alias("id"),
         F.explode("kid.lanes").alias("lane"),
         F.col("id").alias("parent"),
-        F.col("hash").alias("parent_hash"),
-        before.alias("before"),
-        after.alias("after"),
+        F.unhex("hash").alias("parent_hash"),
+        F.unhex(before).alias("before"),
+        F.unhex(after).alias("after"),
     )
 
 
@@ -145,15 +146,14 @@ def build_manifest(leaves: DataFrame, group: str, order: str) -> Manifest:
 
 CLIMB = """
 WITH RECURSIVE climb(tree, at, lane, id, folded, proof, subroot, root) AS (
-  SELECT tree, at, CAST(at % {lanes} AS INT), id, folded, CAST('' AS STRING),
-    CASE WHEN id LIKE 's%' THEN hash END, hash
+  SELECT tree, at, CAST(at % {lanes} AS INT), id, folded, X'', CASE WHEN id LIKE 's%' THEN unhex(hash) END, unhex(hash)
   FROM {starts}
   UNION ALL
-  SELECT c.tree, c.at, c.lane, n.parent, transform(c.folded, f -> sha2(concat(n.before, f, n.after), 256)),
-    concat(c.proof, n.before, n.after),
+  SELECT c.tree, c.at, c.lane, n.parent,
+    transform(c.folded, f -> unhex(sha2(lower(hex(concat(n.before, f, n.after))), 256))), concat(c.proof, n.before, n.after),
     CASE WHEN n.parent LIKE 's%' THEN n.parent_hash ELSE c.subroot END, n.parent_hash
   FROM climb c JOIN {nodes} n ON n.id = c.id AND n.lane = c.lane)
-SELECT tree, at, folded, proof, subroot, root FROM climb WHERE id = {top}
+SELECT tree, at, folded, proof, lower(hex(subroot)) AS subroot, lower(hex(root)) AS root FROM climb WHERE id = {top}
 """
 
 
@@ -171,7 +171,8 @@ def prove(manifest: Manifest, present: str) -> DataFrame:
         now = F.coalesce(leaf[present], leaf["leaf"])
         return F.when((F.size(hashes) == 1) & (F.col("id").startswith("s")), now).otherwise(F.sha2(F.concat(before, now, after), 256))
 
-    starts = manifest.runs.select("tree", "at", "id", "hash", F.transform("leaves", fold).alias("folded"))
+    folded = F.transform("leaves", lambda leaf, at: F.unhex(fold(leaf, at)))
+    starts = manifest.runs.select("tree", "at", "id", "hash", folded.alias("folded"))
     climbed = materialize(spark.sql(CLIMB, starts=starts, nodes=manifest.nodes, lanes=LANES, top=manifest.root))
     met = manifest.runs.select("tree", "at", "leaves").join(climbed, ["tree", "at"])
     each = met.select("*", F.posexplode("leaves").alias("place", "own"))
@@ -180,8 +181,8 @@ def prove(manifest: Manifest, present: str) -> DataFrame:
         "own.*",
         "subroot",
         "root",
-        F.concat(before, after, "proof").alias("proof"),
-        F.col("folded")[F.col("place")].alias("folded_root"),
+        F.concat(before, after, F.lower(F.hex("proof"))).alias("proof"),
+        F.lower(F.hex(F.col("folded")[F.col("place")])).alias("folded_root"),
     )
 
 
