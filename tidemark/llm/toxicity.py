@@ -151,7 +151,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, train: Column) -> dict:
     told = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(train)
     told = told.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(train)
-    counted = texts.join(told, "doc_id").select("text", "toxic").mapInArrow(count_batches, COUNTED)
+    # The labels meet the texts in a shuffle at every size; nothing that grows with them is broadcast.
+    counted = texts.join(told.hint("merge"), "doc_id").select("text", "toxic").mapInArrow(count_batches, COUNTED)
     tables = summed_tables(counted)
     documents = filled(tables.get("documents", {}), 2)
     plain = {
