@@ -101,7 +101,7 @@ def test_metadata_file(spark, tmp_path):
     path.write_text('﻿TABLE_NAME,COLUMN_NAME,KEY\nA,x,\nA,"y, z",PK\n', encoding="utf-8")
     rows = files.read_metadata_csv(spark, str(path), ordinal="ORDINAL").collect()
     assert [tuple(r) for r in rows] == [("1", "A", "x", None), ("2", "A", "y, z", "PK")]
-    with pytest.raises(ValueError, match="TABLE_NAME is repeated"):
+    with pytest.raises(ValueError, match="1 values of TABLE_NAME are repeated"):
         files.read_metadata_csv(spark, str(path), key="TABLE_NAME")
     with pytest.raises(ValueError, match="missing columns"):
         files.require_columns(files.read_metadata_csv(spark, str(path)), ["OTHER"], "m.csv")

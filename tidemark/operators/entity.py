@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of
 from tidemark.operators.keys import number_rows, rows_with_keys
 from tidemark.operators.model import LINEAGE_KEY
+from tidemark.operators.survivorship import REFERENCE, merge_states, record_states, survivors
 from tidemark.session import materialize
 
-REFERENCE = "_ref_ts"
-TIE_BREAK = ["_source_batch_id", "_source_system", "_source_record_key"]
-
 
 @dataclass
 class MergeResult:
@@ -49,46 +47,27 @@ def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
 def merge_groups(df: DataFrame, keys: list[str], fill: list[str]) -> DataFrame:
     """One row per match key, by aggregates only.
 
-    Every `fill` column takes its newest non-NULL value; the other columns come from the newest row. Newest means
-    `_ref_ts` (NULL oldest), then batch, source and record key. `_conflict` is true when the rows at the newest time
-    disagree on a value. First the rows are combined per key and time, then per key, both with map-side combining,
-    so the size of a group does not matter.
+    Every `fill` column takes its newest non-NULL value; the other columns come from the newest row. `_conflict` is true
+    when the rows at the newest time disagree on a value.
     """
-    rest = [c for c in df.columns if c not in (*keys, *fill, REFERENCE)]
-    tie = [F.col(c) for c in TIE_BREAK]
-    rest = [c for c in rest if c not in TIE_BREAK]
-    per_time = df.groupBy(*keys, REFERENCE).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.max(F.struct(*tie, *[F.col(c) for c in rest])).alias("__row"),
-        *[F.min(c).alias(f"__lo_{c}") for c in fill],
-        *[F.max(c).alias(f"__hi_{c}") for c in fill],
-        *[F.max(F.when(F.col(c).isNotNull(), F.struct(*tie, F.col(c).alias("v")))).alias(f"__top_{c}") for c in fill],
-    )
-    newest = F.struct(F.col(REFERENCE).isNotNull().alias("known"), F.col(REFERENCE).alias("at"))
-    differs = any_of([F.coalesce(F.col(f"__lo_{c}") != F.col(f"__hi_{c}"), F.lit(False)) for c in fill])
-    per_key = per_time.groupBy(*keys).agg(
-        F.sum("__n").alias("_group_size"),
-        F.max_by(differs, newest).alias("_conflict"),
-        F.max_by("__row", newest).alias("__row"),
-        *[
-            F.max_by(F.col(f"__top_{c}.v"), F.when(F.col(f"__top_{c}").isNotNull(), newest)).alias(c)
-            for c in fill
-        ],
-    )
-    return per_key.select(
-        *keys, *fill, *[F.col(f"__row.{c}").alias(c) for c in (*TIE_BREAK, *rest)], "_group_size", "_conflict"
-    )
+    return survivors(merge_states(record_states(df, keys, fill), keys), keys)
 
 
-def assign_ids(df: DataFrame, id_column: str, prefix: str, order_by: list[str]) -> DataFrame:
+def id_number(id_column: str, prefix: str) -> Column:
+    return F.regexp_extract(id_column, rf"^{prefix}-(\d+)$", 1).try_cast("bigint")
+
+
+def assign_ids(df: DataFrame, id_column: str, prefix: str, order_by: list[str], floor: int = 0) -> DataFrame:
     """Give rows without an id the numbers after the highest existing one, as `PREFIX-000001`, in the given order.
 
+    `floor` is the highest number that exists elsewhere.
+
     The rows are needed for the highest number, for numbering and for the result, so they are written to scratch once.
     """
     df = materialize(df)
     missing = F.col(id_column).isNull()
-    number = F.regexp_extract(id_column, rf"^{prefix}-(\d+)$", 1).try_cast("bigint")
-    highest = df.agg(F.coalesce(F.max(number), F.lit(0)).alias("n")).scalar()
+    highest = F.greatest(F.coalesce(F.max(id_number(id_column, prefix)), F.lit(0)), F.lit(floor))
+    highest = df.agg(highest.alias("n")).scalar()
     fresh = number_rows(df.filter(missing), order_by, name="__number")
     fresh = fresh.withColumn(id_column, F.format_string(f"{prefix}-%06d", F.col("__number") + highest))
     return df.filter(~missing).unionByName(fresh.drop("__number"))

@@ -17,9 +17,9 @@ from tidemark.functions import fixed_values as fixed
 from tidemark.functions import predicates
 from tidemark.functions.cleansing import mask_pii, standard_datetime, standard_phone, trim_all_space
 from tidemark.functions.columns import any_of, joined_or_null, key_value_text, labels_where, rate
-from tidemark.operators.keys import duplicate_keys, flag_members, flag_rows_with_keys
+from tidemark.operators.keys import duplicate_keys, flag_members, flag_rows_with_keys, key_counts
 from tidemark.operators.rules import Rule
-from tidemark.session import metadata_frame
+from tidemark.session import materialize, metadata_frame
 
 
 @dataclass(frozen=True)
@@ -128,11 +128,17 @@ def _row_error(rule: Rule, value: str | None) -> Column:
     raise ValueError(f"unknown rule type {rule.rule_type}")
 
 
-def flag_errors(df: DataFrame, checks: list[tuple[str, Rule, str | None]], codes: CodeTables) -> DataFrame:
+def flag_errors(
+    df: DataFrame,
+    checks: list[tuple[str, Rule, str | None]],
+    codes: CodeTables,
+    repeated: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """Boolean columns for (flag, rule, value) checks: does the row break the rule?
 
     A check is judged on the text column `value` instead of the rule's own column, if one is given. Row-local rules
-    share one projection; code and duplicate rules are joins with key sets.
+    share one projection; code and duplicate rules are joins with key sets. `repeated` has the key sets of duplicate
+    rules, by rule id, where they are known.
     """
     out, flags = df, {}
     for flag, rule, value in checks:
@@ -142,14 +148,21 @@ def flag_errors(df: DataFrame, checks: list[tuple[str, Rule, str | None]], codes
             flags[flag] = ~F.col(f"__known{flag}")
         elif rule.rule_type == "DUPLICATE_CHECK":
             keys = list(rule.columns)
-            out = flag_rows_with_keys(out, keys, duplicate_keys(df, keys), f"__known{flag}")
+            known = (repeated or {}).get(rule.rule_id)
+            out = flag_rows_with_keys(out, keys, duplicate_keys(df, keys) if known is None else known, f"__known{flag}")
             flags[flag] = F.col(f"__known{flag}")
         else:
             flags[flag] = _row_error(rule, value)
     return out.withColumns(flags).drop(*[f"__known{flag}" for flag in flags])
 
 
-def with_outcomes(df: DataFrame, rules: list[Rule], codes: CodeTables, row_local_only: bool = False) -> DataFrame:
+def with_outcomes(
+    df: DataFrame,
+    rules: list[Rule],
+    codes: CodeTables,
+    row_local_only: bool = False,
+    repeated: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """Marks of every rule on every row, in columns with the rule's position:
 
     `__err{i}` broken as delivered, `__left{i}` still broken after the rule's own cleansing,
@@ -161,7 +174,7 @@ def with_outcomes(df: DataFrame, rules: list[Rule], codes: CodeTables, row_local
     cleansing = [(i, r) for i, r in chosen if codes.steps_of(r)]
     out = df
     if repeats and not row_local_only:  # these joins may move rows, so they come before columns are added
-        out = flag_errors(out, [(f"__err{i}", r, None) for i, r in repeats], codes)
+        out = flag_errors(out, [(f"__err{i}", r, None) for i, r in repeats], codes, repeated)
     out = cleanse_values(out, [(r, f"__val{i}") for i, r in cleansing], codes) if cleansing else out
     checks = [(f"__err{i}", r, None) for i, r in local] + [(f"__again{i}", r, f"__val{i}") for i, r in cleansing]
     out = flag_errors(out, checks, codes) if checks else out
@@ -270,17 +283,8 @@ def judge(counts: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
-def violations(
-    df: DataFrame, rules: list[Rule], codes: CodeTables, record_key: str | None, row_hash: str | None = None
-) -> DataFrame:
-    """One row per rule and row it breaks, with masked values. All rules in one pass, then one explode.
-
-    `row_hash` names a further column, the hash of the whole row as it came in.
-    """
-    marked = with_outcomes(df, rules, codes)
-    hashes = [F.sha2(F.to_json(F.struct(*df.columns)), 256).alias(row_hash)] if row_hash else []
-    kept = [row_hash] if row_hash else []
-    key = F.col(record_key).cast("string") if record_key in df.columns else F.lit(None).cast("string")
+def violation_entries(rules: list[Rule], codes: CodeTables) -> Column:
+    """Array with a struct per rule that the row breaks, over the marks of `with_outcomes`."""
     entries = []
     for i, rule in enumerate(rules):
         cleansed = bool(codes.steps_of(rule))
@@ -301,9 +305,21 @@ def violations(
                 ),
             )
         )
-    exploded = marked.select(
-        key.alias("source_record_key"), *hashes, F.explode(F.array_compact(F.array(*entries))).alias("v")
-    ).select("source_record_key", *kept, "v.*")
+    return F.array_compact(F.array(*entries))
+
+
+def row_identity(columns: list[str]) -> Column:
+    """Hash of a whole row as it came in."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
+def key_text(df: DataFrame, record_key: str | None) -> Column:
+    return F.col(record_key).cast("string") if record_key in df.columns else F.lit(None).cast("string")
+
+
+def unfold_violations(rows: DataFrame, entries: Column | str, kept: list[str] = ()) -> DataFrame:
+    """One row per entry, with masked values; `rows` has source_record_key."""
+    exploded = rows.select("source_record_key", *kept, F.explode(entries).alias("v")).select("source_record_key", *kept, "v.*")
     actions = F.create_map(*[F.lit(x) for pair in fixed.CLEANSING_ACTIONS.items() for x in pair])
     changed = F.size("steps") > 0
     return exploded.select(
@@ -321,6 +337,19 @@ def violations(
     )
 
 
+def violations(
+    df: DataFrame, rules: list[Rule], codes: CodeTables, record_key: str | None, row_hash: str | None = None
+) -> DataFrame:
+    """One row per rule and row it breaks, with masked values. All rules in one pass, then one explode.
+
+    `row_hash` names a further column, the hash of the whole row as it came in.
+    """
+    marked = with_outcomes(df, rules, codes)
+    hashes = [row_identity(df.columns).alias(row_hash)] if row_hash else []
+    keyed = marked.select("*", key_text(df, record_key).alias("source_record_key"), *hashes)
+    return unfold_violations(keyed, violation_entries(rules, codes), [row_hash] if row_hash else [])
+
+
 def violation_detail(found: DataFrame, judged: DataFrame) -> DataFrame:
     """Give every violation the status that follows from its rule's action."""
     action = judged.select("rule_id", "action_type", "dq_reason")
@@ -420,6 +449,100 @@ def route_records(
     )
 
 
+def repeated_keys(df: DataFrame, rules: list[Rule]) -> dict[str, DataFrame]:
+    """Per duplicate rule its repeated keys with `__rows`, written once: for the flags and for the counts."""
+    found = {}
+    for rule in rules:
+        if rule.rule_type == "DUPLICATE_CHECK":
+            found[rule.rule_id] = materialize(key_counts(df, list(rule.columns), "__rows").filter("__rows > 1"))
+    return found
+
+
+def evaluate(
+    df: DataFrame,
+    rules: list[Rule],
+    codes: CodeTables,
+    record_key: str | None,
+    lineage: dict[str, Column],
+    repeated: dict[str, DataFrame],
+) -> DataFrame:
+    """All that a run needs of each row, from one evaluation of the rules.
+
+    The cleansed record with its lineage and `_cleansed_yn`; `__broken`, the rules that it breaks after cleansing;
+    `__found`, the violations as delivered; `source_record_key` and `__row`, the key and hash of the row as delivered;
+    and per rule `__err{i}` and `__left{i}`. A rule is judged again on the cleansed record only where another rule may
+    have changed one of its columns.
+    """
+    kinds = dict(df.dtypes)
+    marked = with_outcomes(df, rules, codes, repeated={k: v.drop("__rows") for k, v in repeated.items()})
+    marked = marked.withColumns(
+        {
+            "source_record_key": key_text(df, record_key),
+            "__row": row_identity(df.columns),
+            "__found": violation_entries(rules, codes),
+        }
+    )
+    cleansing = [(i, r) for i, r in enumerate(rules) if codes.steps_of(r)]
+    first = {r.column: i for i, r in reversed(cleansing)}
+    later = [r for i, r in cleansing if first[r.column] != i]
+    hits = {i: F.col(f"__err{i}") & ~F.col(f"__left{i}") for i in first.values()}
+    values = {
+        c: F.when(hits[i], F.col(f"__val{i}").cast(kinds[c])).otherwise(F.col(c)) for c, i in first.items()
+    }
+    marks = {f"__{kind}{i}": f"__was_{kind}{i}" for i in range(len(rules)) for kind in ("err", "left")}
+    out = marked.withColumns({**values, "__hit": any_of(list(hits.values()))}).withColumnsRenamed(marks)
+    out = out.drop(*[f"__val{i}{suffix}" for i, _ in cleansing for suffix in ("", "_steps")])
+    out = apply_cleansing(out, later, codes).withColumn("_cleansed_yn", F.col("_cleansed_yn") | F.col("__hit"))
+    changed_by = {c: {i for i, r in cleansing if r.column == c} for c in df.columns}
+    again = [(i, r) for i, r in enumerate(rules) if any(changed_by[c] - {i} for c in r.columns)]
+    out = flag_errors(out, [(f"__iso{i}", r, None) for i, r in again], codes) if again else out
+    anew = {i for i, _ in again}
+    broken = [(r.rule_id, F.col(f"__iso{i}" if i in anew else f"__was_left{i}")) for i, r in enumerate(rules)]
+    return out.select(
+        *df.columns,
+        *[c.alias(name) for name, c in lineage.items()],
+        "_cleansed_yn",
+        labels_where(broken).alias("__broken"),
+        "__found",
+        "source_record_key",
+        "__row",
+        *[F.col(was).alias(now) for now, was in marks.items()],
+    )
+
+
+def observed_counts(n_rules: int) -> list[Column]:
+    """Metrics of an evaluated frame for `DataFrame.observe`: rows, and per rule errors as delivered and left."""
+    counts = [F.count(F.lit(1)).alias("n")]
+    for i in range(n_rules):
+        counts += [F.count_if(f"__err{i}").alias(f"e{i}"), F.count_if(f"__left{i}").alias(f"l{i}")]
+    return counts
+
+
+def counts_from(spark, observed: dict, rules: list[Rule], repeated: dict[str, DataFrame]) -> DataFrame:
+    """What `rule_counts` gives, from observed metrics and the repeated keys."""
+    rows = []
+    for i, rule in enumerate(rules):
+        errors, left, affected = observed[f"e{i}"], observed[f"l{i}"], observed[f"e{i}"]
+        if rule.rule_id in repeated:
+            keys = repeated[rule.rule_id].agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"))
+            errors, affected = keys.first()
+            left = errors
+        rows.append((rule.rule_id, observed["n"], errors, left, affected))
+    kind = "rule_id string, check_count bigint, initial_error_count bigint, error_count bigint, affected_rows bigint"
+    return spark.createDataFrame(rows, kind)
+
+
+def routed_by(evaluated: DataFrame, isolate: list[str]) -> DataFrame:
+    """Rows of an evaluated frame with `_dq_status` and `_unresolved_rule_ids`, once it is known which rules isolate."""
+    unresolved = F.filter("__broken", lambda r: r.isin(*isolate)) if isolate else F.array().cast("array<string>")
+    status = (
+        F.when(F.size(unresolved) > 0, F.lit("UNRESOLVED"))
+        .when(F.col("_cleansed_yn"), F.lit("CLEANSED"))
+        .otherwise(F.lit("CLEAN"))
+    )
+    return evaluated.withColumns({"_dq_status": status, "_unresolved_rule_ids": unresolved})
+
+
 def candidates(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("_dq_status") != "UNRESOLVED").drop("_unresolved_rule_ids")
 

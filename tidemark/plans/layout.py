@@ -19,5 +19,5 @@ class Layout:
 
     STAGES = (
         "bronze", "meta", "silver_candidate", "dq_quarantine", "gold_candidate", "gold_mapping_error",
-        "gold_entity_lineage", "gold", "gold_quarantine",
+        "gold_entity_lineage", "gold_entity_record", "gold_entity_state", "gold", "gold_quarantine",
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import fixed_values as fixed
 from tidemark.operators import quality as q
@@ -97,12 +98,71 @@ def samples_as_json(samples: DataFrame) -> DataFrame:
     return samples.select("rule_id", F.to_json("sample_values").alias("sample_values_json"))
 
 
+# Rows that no rule has anything to say about are final when they are written; the others are routed afterwards.
+ROUTE, CLEAN, SEEN = "_route", "clean", "seen"
+CANDIDATE_STAMP = "_candidate_created_at"
+
+
+def candidate_columns(evaluated: DataFrame) -> list[str]:
+    inner = ("source_record_key", "_source_batch_id")
+    return [c for c in evaluated.columns if not c.startswith("__") and c not in inner]
+
+
+def stored_schema(evaluated: DataFrame) -> StructType:
+    marks = [f"__{kind}" for kind in ("err", "left")]
+    kept = [f for f in evaluated.schema.fields if not any(f.name.startswith(m) for m in marks) and f.name != "_source_batch_id"]
+    batch = StructField("_source_batch_id", StringType())
+    return StructType([*kept, batch])
+
+
+def write_evaluated(evaluated: DataFrame, candidate_table: str, n_rules: int) -> tuple[str, dict]:
+    """Write the evaluated rows once, laid out by route, and return the folder and the counts observed on the way.
+
+    Nothing is shuffled after the counting, so the counts are those of the tasks that wrote. Should a repeated stage have counted rows
+    twice all the same, the run stops before it has changed any table.
+    """
+    spark = evaluated.sparkSession
+    columns = candidate_columns(evaluated)
+    shape = evaluated.select(*columns, F.lit("CLEAN").alias("_dq_status"), F.current_timestamp().alias(CANDIDATE_STAMP), "_source_batch_id")
+    shaped = tables.shaped_for(shape, candidate_table, ["_source_batch_id"])
+    folder, observation = tables.parts_folder(spark, candidate_table), Observation("rules")
+    typed = {c: F.col(c).cast(shaped.schema[c].dataType) for c in columns}
+    silent = (F.size("__found") == 0) & ~F.col("_cleansed_yn") & (F.size("__broken") == 0)
+    counted = evaluated.observe(observation, *q.observed_counts(n_rules))
+    rows = counted.withColumns(typed).select(
+        *[f.name for f in stored_schema(evaluated).fields if f.name != "_source_batch_id"],
+        F.lit("CLEAN").alias("_dq_status"),
+        F.current_timestamp().alias(CANDIDATE_STAMP),
+        F.when(silent, CLEAN).otherwise(SEEN).alias(ROUTE),
+    )
+    rows.write.partitionBy(ROUTE).parquet(folder)
+    for route in (CLEAN, SEEN):  # a route without rows is an empty folder
+        spark.createDataFrame([], rows.drop(ROUTE).schema).write.mode("append").parquet(f"{folder}/{ROUTE}={route}")
+    observed = observation.get
+    stored = spark.read.schema(rows.schema).parquet(folder).count()
+    if stored != observed["n"]:
+        raise RuntimeError(f"{stored} rows written, {observed['n']} counted: run the batch again")
+    return folder, observed
+
+
+def take_candidates(late: DataFrame, table: str, folder: str, batch: dict) -> int:
+    """Add the candidates among the routed rows to those that were final at once, and make all the table's batch."""
+    spark, path = late.sparkSession, f"{folder}/{ROUTE}={CLEAN}"
+    kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    rows = late.drop(*batch).withColumn(CANDIDATE_STAMP, F.current_timestamp())
+    rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]).write.mode("append").parquet(path)
+    tables.attach_batch(spark, table, batch, path)
+    return spark.table(table).filter(F.col("_source_batch_id") == batch["_source_batch_id"]).count()
+
+
 def run_quality(
     spark: SparkSession, layout: Layout, source: str, rules: list[Rule], codes: q.CodeTables, batch: str | None = None
 ) -> dict:
     """Check, cleanse, judge and route one batch; append results and details, replace candidate and quarantine.
 
-    Only the results, one row per rule, come to the driver: they decide which rules isolate records.
+    The rules are evaluated once, in the job that writes the rows: its counts are observed on the way, and rows without
+    any finding are candidates where they lie. Only the results, one row per rule, come to the driver: they decide which
+    rules isolate records.
     """
     table = layout.table("bronze", source)
     if batch is None:
@@ -112,11 +172,20 @@ def run_quality(
     rows = spark.table(table).filter(F.col(files.BATCH_COLUMN) == batch)
     key = fixed.RECORD_KEYS.get(source)
     run_id = new_run_id("DQ", source)
+    stamp = F.current_timestamp()
+    for stage in ("meta", "silver_candidate", "dq_quarantine"):
+        tables.ensure_database(spark, layout.database(stage))
 
-    judged = q.judge(q.rule_counts(rows, rules, codes), rules)
+    candidate_table = layout.table("silver_candidate", source)
+    lineage = lineage_columns(source, table, key, batch, run_id)
+    repeated = q.repeated_keys(rows, rules)
+    evaluated = q.evaluate(rows, rules, codes, key, lineage, repeated)
+    folder, observed = write_evaluated(evaluated, candidate_table, len(rules))
+    judged = q.judge(q.counts_from(spark, observed, rules, repeated), rules)
     judged = spark.createDataFrame([tuple(r.values()) for r in metadata_rows(judged)], judged.schema)
-    found = q.violations(rows, rules, codes, key, "__row")
-    stamp = F.current_timestamp()
+
+    seen = spark.read.schema(stored_schema(evaluated)).parquet(f"{folder}/{ROUTE}={SEEN}")
+    found = q.unfold_violations(seen, "__found", ["__row"])
     detail = detail_with_ids(q.violation_detail(found, judged), run_id).withColumns(
         {
             "dq_run_id": F.lit(run_id),
@@ -127,8 +196,6 @@ def run_quality(
             "updated_at": stamp,
         }
     )
-    for stage in ("meta", "silver_candidate", "dq_quarantine"):
-        tables.ensure_database(spark, layout.database(stage))
     detail_table = layout.table("meta", "dq_cleansing_detail")
     tables.append(detail, detail_table, ["source_batch_id"])
     written = spark.table(detail_table).filter((F.col("source_batch_id") == batch) & (F.col("dq_run_id") == run_id))
@@ -148,14 +215,10 @@ def run_quality(
     tables.append(results, layout.table("meta", "dq_result"), ["ingest_date"])
 
     actions = {r["rule_id"]: r["action_type"] for r in result_rows}
-    isolate = [r for r in rules if actions[r.rule_id] in fixed.ISOLATING_ACTIONS]
-    cleanse = [r for r in rules if r.cleansing_steps]
-    lineage = lineage_columns(source, table, key, batch, run_id)
-    routed = q.route_records(rows, cleanse, isolate, codes, lineage)
+    isolate = [r.rule_id for r in rules if actions[r.rule_id] in fixed.ISOLATING_ACTIONS]
+    routed = q.routed_by(seen, isolate).select(*rows.columns, *lineage, "_cleansed_yn", "_dq_status", "_unresolved_rule_ids")
     partition = {"_source_batch_id": batch}
-    kept = tables.replace_batch(
-        q.candidates(routed).withColumn("_candidate_created_at", stamp), layout.table("silver_candidate", source), partition
-    )
+    kept = take_candidates(q.candidates(routed), candidate_table, folder, partition)
     held = tables.replace_batch(
         q.quarantined(routed).withColumn("_quarantined_at", stamp), layout.table("dq_quarantine", source), partition
     )

@@ -9,6 +9,8 @@ before a partitioned write, and large partitions split again, so files follow th
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +118,61 @@ def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:
     return current.count()
 
 
+def shaped_for(df: DataFrame, table: str, partition_by: list[str]) -> DataFrame:
+    """The frame with the table's types, for files that become part of it; the table is created, or widened, to fit."""
+    create_empty(df, table, partition_by)
+    kinds = {f.name: f.dataType for f in align(df, table).schema.fields}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) for c in df.columns])
+
+
+def parts_folder(spark: SparkSession, table: str) -> str:
+    """A new folder beside a table, for files that tables take in as partitions."""
+    root = spark.catalog.getDatabase(table.split(".")[0]).locationUri
+    return f"{root.rstrip('/')}/_parts/{uuid.uuid4().hex}"
+
+
+def attach_batch(spark: SparkSession, table: str, batch: dict, folder: str) -> None:
+    """Make the files of a folder the table's partition. The switch is one change in the catalog; old files go after it."""
+    spec = partition_spec(batch)
+    database, name = table.split(".")
+    was = None
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").count():
+        shown = spark.sql(f"SHOW TABLE EXTENDED IN {database} LIKE '{name}' PARTITION ({spec})").first()["information"]
+        was = next(line.split(":", 1)[1].strip() for line in shown.splitlines() if line.startswith("Location:"))
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    if was and was != folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(was)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def split_write(df: DataFrame, route: Column, targets: dict[str, tuple[str, list[str]]], batch: dict) -> dict[str, int]:
+    """Write a frame once and make it one batch of several tables; returns the rows of each.
+
+    `route` names the target of a row, `targets` gives each its table and columns. The frame is evaluated by a single
+    job, whose files are laid out by route; each table takes its folder in as the partition of the batch. A table without
+    rows has the batch cleared.
+    """
+    spark, parts = df.sparkSession, list(batch)
+    named = df.withColumns({c: F.lit(v).cast("string") for c, v in batch.items()})
+    for table, columns in targets.values():
+        shaped = shaped_for(named.select(*[c for c in columns if c not in parts], *parts), table, parts)
+        named = named.withColumns({c: F.col(c).cast(shaped.schema[c].dataType) for c in columns if c not in parts})
+    folder = parts_folder(spark, next(iter(targets.values()))[0])
+    rows = named.drop(*parts).withColumn("_route", route)
+    rows.write.partitionBy("_route").parquet(folder)
+    written = spark.read.schema(rows.schema).parquet(folder)
+    counts = {r["_route"]: r["count"] for r in written.groupBy("_route").count().collect()}
+    for name, (table, _) in targets.items():
+        if counts.get(name):
+            attach_batch(spark, table, batch, f"{folder}/_route={name}")
+        else:
+            drop_batch(spark, table, batch)
+    return {name: counts.get(name, 0) for name in targets}
+
+
 def overwrite_staged(df: DataFrame, table: str, partition_by: list[str] = ()) -> DataFrame:
     """Overwrite a table with a frame that may read the table itself.
 

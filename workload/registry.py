@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("storage", "quality", "profiling", "versions", "mapping", "entities", "validation")
+AREAS = ("storage", "quality", "profiling", "versions", "mapping", "entities", "validation", "runs")
 QUERIES, ORACLES = {}, {}
 for _area in AREAS:
     _module = importlib.import_module(f"workload.{_area}")
