@@ -8,8 +8,8 @@ climber with its node, appends the siblings to its proof and folds the leaf's pr
 run share their siblings from the first node on, so they climb in one row, which holds the hash each has reached. Climbers
 carry digests as bytes, half as long as the hex text that is hashed.
 
-High nodes are met by very many climbers, so such a node is stored in LANES rows and climbers are dealt over them; a node
-has no more rows than runs of leaves below it. No row holds more than 16 nodes and a proof, whose length is
+High nodes are met by very many climbers, so climbers are dealt into LANES lanes and a node is stored once for each lane
+below it: in one row above a single run, in LANES rows at most. No row holds more than 16 nodes and a proof, whose length is
 logarithmic. Leaves are numbered by range partitions, so a source with a third of all rows is spread.
 
 Defined results: a null field is `-`. Null doc_ids come first and are not tampered with. Rows with one doc_id are ordered
@@ -31,7 +31,7 @@ from tidemark.operators.keys import number_rows
 from tidemark.session import materialize
 
 WIDTH = 16
-LANES = 16
+LANES = 256
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 NODES = "id string, lane int, parent string, parent_hash binary, before binary, after binary"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -63,13 +63,15 @@ def beside(hashes: Column, at: Column) -> tuple[Column, Column]:
     return before, F.array_join(F.slice(hashes, at + 2, F.lit(WIDTH)), "")
 
 
+def lane(tree: Column, at: Column) -> Column:
+    return ((tree + at) % LANES).cast("int")
+
+
 def level_above(nodes: DataFrame, level: int, last: Column) -> DataFrame:
     """The parents of some trees' nodes, written; `last` is the id of a tree's only node."""
     kids = F.sort_array(F.collect_list(F.struct("at", "id", "hash", "lanes")))
     up = nodes.groupBy("tree", F.floor(F.col("at") / WIDTH).alias("at")).agg(kids.alias("kids"), F.max("n").alias("below"))
     n = F.ceil(F.col("below") / WIDTH)
-    # Nodes of the second level know how many runs of leaves are below them; higher ones have more than there are lanes.
-    rows = F.least(F.size("kids"), F.lit(LANES)) if level == 2 else F.lit(LANES)
     return materialize(
         up.select(
             "tree",
@@ -77,7 +79,7 @@ def level_above(nodes: DataFrame, level: int, last: Column) -> DataFrame:
             n.alias("n"),
             F.when(n == 1, last).otherwise(F.concat_ws(".", "tree", F.lit(level), "at")).alias("id"),
             run_hash(F.col("kids.hash")).alias("hash"),
-            F.sequence(F.lit(0), rows - 1).alias("lanes"),
+            F.array_distinct(F.flatten("kids.lanes")).alias("lanes"),
             "kids",
         )
     )
@@ -126,8 +128,7 @@ def build_manifest(leaves: DataFrame, group: str, order: str) -> Manifest:
             F.col("leaves"),
         )
     )
-    lane = F.array((F.col("at") % LANES).cast("int"))
-    nodes = runs.select("tree", "at", "n", "id", "hash", lane.alias("lanes"))
+    nodes = runs.select("tree", "at", "n", "id", "hash", F.array(lane(F.col("tree"), F.col("at"))).alias("lanes"))
     rows = spark.createDataFrame([], NODES)
     subroots, level, most = nodes.filter("n = 1"), 1, -(-most // WIDTH)
     while most > 1:
@@ -146,7 +147,7 @@ def build_manifest(leaves: DataFrame, group: str, order: str) -> Manifest:
 
 CLIMB = """
 WITH RECURSIVE climb(tree, at, lane, id, folded, proof, subroot, root) AS (
-  SELECT tree, at, CAST(at % {lanes} AS INT), id, folded, X'', CASE WHEN id LIKE 's%' THEN unhex(hash) END, unhex(hash)
+  SELECT tree, at, lane, id, folded, X'', CASE WHEN id LIKE 's%' THEN unhex(hash) END, unhex(hash)
   FROM {starts}
   UNION ALL
   SELECT c.tree, c.at, c.lane, n.parent,
@@ -172,8 +173,8 @@ def prove(manifest: Manifest, present: str) -> DataFrame:
         return F.when((F.size(hashes) == 1) & (F.col("id").startswith("s")), now).otherwise(F.sha2(F.concat(before, now, after), 256))
 
     folded = F.transform("leaves", lambda leaf, at: F.unhex(fold(leaf, at)))
-    starts = manifest.runs.select("tree", "at", "id", "hash", folded.alias("folded"))
-    climbed = materialize(spark.sql(CLIMB, starts=starts, nodes=manifest.nodes, lanes=LANES, top=manifest.root))
+    starts = manifest.runs.select("tree", "at", lane(F.col("tree"), F.col("at")).alias("lane"), "id", "hash", folded.alias("folded"))
+    climbed = materialize(spark.sql(CLIMB, starts=starts, nodes=manifest.nodes, top=manifest.root))
     met = manifest.runs.select("tree", "at", "leaves").join(climbed, ["tree", "at"])
     each = met.select("*", F.posexplode("leaves").alias("place", "own"))
     before, after = beside(hashes, F.col("place"))
