@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import metadata_frame
+from tidemark.functions.columns import any_of
+from tidemark.session import materialize, metadata_frame
 
+SLICE_BITS = 16
 VOLATILE_COLUMNS = ("_mapping_run_id", "_mapped_at")
 
 
@@ -34,6 +36,55 @@ def row_difference(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFr
     )
 
 
+def _hash_of(df: DataFrame, columns: list[str], salt: int) -> Column:
+    """64-bit hash of some columns in which a NULL counts by its place, and 0.0 is -0.0."""
+    kinds, parts = dict(df.dtypes), [F.lit(salt)]
+    for c in columns:
+        value = F.col(c) + F.lit(0.0).cast(kinds[c]) if kinds[c] in ("float", "double") else F.col(c)
+        parts += [F.col(c).isNull(), value]
+    return F.xxhash64(*parts)
+
+
+def _unequal(rows: DataFrame, slices: list[str]) -> DataFrame:
+    """Slices whose digests of both sides differ. A digest is the count and the sums of two hashes, in halves that
+    cannot overflow; it does not depend on the order of rows, and copies count."""
+    sums = [F.sum("__sign").alias("__n")]
+    for name in ("__h", "__g"):
+        low, high = F.col(name).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(name, 32)
+        sums += [F.sum(F.col("__sign") * low).alias(f"{name}_low"), F.sum(F.col("__sign") * high).alias(f"{name}_high")]
+    digests = rows.groupBy(*slices).agg(*sums)
+    names = [c for c in digests.columns if c not in slices]
+    return materialize(digests.filter(any_of([F.col(c) != 0 for c in names])).select(*slices))
+
+
+def row_difference_by_digest(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
+    """What `row_difference` gives, without moving rows that both sides have.
+
+    Rows are dealt by hash into 65,536 slices, and only a digest per slice is exchanged. Slices that differ are dealt into as
+    many again, and only the rows of differing small slices are compared. Of equal tables nothing but
+    digests moves; the rows are read once for that, and at most three times. Two different bags have equal digests with a chance
+    of about one in 2^128.
+    """
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        hashes = [_hash_of(df, columns, salt).alias(name) for salt, name in ((0, "__h"), (1, "__g"))]
+        return df.select(*columns, *hashes, F.lit(sign).alias("__sign"))
+
+    bits = (1 << SLICE_BITS) - 1
+    rows = signed(old, 1).unionByName(signed(new, -1))
+    rows = rows.withColumns(
+        {
+            "__slice": F.col("__h").bitwiseAND(F.lit(bits)),
+            "__part": F.shiftright("__h", SLICE_BITS).bitwiseAND(F.lit(bits)),
+        }
+    )
+    slices = _unequal(rows, ["__slice"])
+    some = rows.join(F.broadcast(slices), "__slice", "left_semi")  # at most 2 ** SLICE_BITS rows
+    parts = _unequal(some, ["__slice", "__part"])
+    few = some.join(parts, ["__slice", "__part"], "left_semi")
+    return row_difference(few.filter("__sign = 1"), few.filter("__sign = -1"), columns)
+
+
 def rows_only_in(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of the left bag that the right bag does not cover."""
     return left.select(*columns).exceptAll(right.select(*columns))
@@ -63,7 +114,7 @@ def table_report(old: DataFrame, new: DataFrame, primary_key: str | None = None)
             F.count_if(F.col("o") > 1).alias("old_value"), F.count_if(F.col("n") > 1).alias("new_value")
         )
         report = report.unionByName(repeated.select(F.lit("repeated_keys").alias("check"), "old_value", "new_value"))
-    differing = row_difference(old, new, columns).agg(
+    differing = row_difference_by_digest(old, new, columns).agg(
         F.coalesce(F.sum("only_in_old"), F.lit(0)).alias("old_value"),
         F.coalesce(F.sum("only_in_new"), F.lit(0)).alias("new_value"),
     )

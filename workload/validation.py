@@ -91,6 +91,11 @@ def diff_rows(spark, sf_dir):
     return diff.row_difference(old, new, diff.common_columns(old, new))
 
 
+def diff_by_digest(spark, sf_dir):
+    old, new = versions(spark, sf_dir)
+    return diff.row_difference_by_digest(old, new, diff.common_columns(old, new))
+
+
 def diff_only_old(spark, sf_dir):
     old, new = versions(spark, sf_dir)
     return diff.rows_only_in(old, new, diff.common_columns(old, new))
@@ -115,6 +120,7 @@ QUERIES = {
     "val_trace_ids": val_trace_ids,
     "diff_tables": diff_report,
     "diff_rows": diff_rows,
+    "diff_by_digest": diff_by_digest,
     "diff_only_old": diff_only_old,
     "diff_repeated_keys": diff_repeated_keys,
 }
@@ -196,3 +202,5 @@ ORACLES = {
     "diff_only_old": f"{_DIFF} SELECT * FROM only_old",
     "diff_repeated_keys": "SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
 }
+
+ORACLES["diff_by_digest"] = ORACLES["diff_rows"]
