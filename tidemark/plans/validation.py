@@ -10,7 +10,7 @@ from tidemark.operators.model import TargetModel
 from tidemark.plans.layout import Layout
 from tidemark.plans.quality import new_run_id
 from tidemark.session import materialize
-from tidemark.sources import tables
+from tidemark.sources import tables, zones
 
 # Order rules between columns that the model cannot express.
 BUSINESS_ORDER = {"COUNSEL": [("VR-COUNSEL-022", "STRT_DTM", "END_DTM")]}
@@ -31,14 +31,14 @@ def run_validation(
     model: TargetModel,
     target: str,
     job_run_id: str | None = None,
-    key_buckets: int = 16,
+    zone_rows: int = zones.ZONE_ROWS,
 ) -> dict:
     """Check a mapped table and write it: good rows replace gold rows of the same key, the rest is quarantined.
 
     The checked rows are written to scratch once and feed all three outputs. Quarantine is replaced for every batch
     that was processed, also when nothing failed now, and gold rows whose key failed now are removed. Gold tables
-    are partitioned into `key_buckets` parts by key, so an upsert rewrites only parts that it changes; the number
-    must stay the same for the life of a table (a few thousand for very large ones).
+    are laid out by ranges of the key with about `zone_rows` rows each, and an upsert rewrites only the ranges that its keys
+    fall into.
     """
     target = target.upper()
     candidate = spark.table(layout.table("gold_candidate", target))
@@ -60,9 +60,7 @@ def run_validation(
 
     good, bad = v.passed(rows), v.failed(rows)
     gold_table, held_table = layout.table("gold", target), layout.table("gold_quarantine", target)
-    gold_rows = tables.with_key_bucket(good.select(*names, *runs), [pk], key_buckets)
-    tables.create_empty(gold_rows, gold_table, [tables.KEY_BUCKET])
-    tables.upsert(gold_rows, gold_table, [pk], removed=bad.select(pk))
+    zones.upsert(good.select(*names, *runs), gold_table, [pk], bad.select(pk), zone_rows)
 
     held = bad.select(*names, *v.TRACE_LINEAGE, "_violations", *runs)
     tables.replace_batches(held, held_table, PARTITION)

@@ -73,14 +73,12 @@ def merged_store(spark, sf_dir) -> EntityStore:
 
 
 def ent_merge_run(spark, sf_dir):
-    """Entities of a store that was fed batch by batch, each with the number of records that its id has in the lineage."""
+    """A store fed batch by batch: entities, with the number of records that their id has in the lineage, and what is unmatched."""
     kept = merged_store(spark, sf_dir)
     records = spark.table(kept.lineage).groupBy(F.col("TARGET_PK").alias("CUST_ID")).agg(F.count(F.lit(1)).alias("records"))
-    return spark.table(kept.entities).join(records, "CUST_ID", "left").drop("CUST_ID", "_source_table")
-
-
-def ent_merge_run_unmatched(spark, sf_dir):
-    return spark.table(merged_store(spark, sf_dir).unmatched).drop("CUST_ID", "_source_table")
+    entities = spark.table(kept.entities).join(records, "CUST_ID", "left").withColumn("stage", F.lit("merged"))
+    aside = spark.table(kept.unmatched).withColumns({"records": F.lit(1).cast("bigint"), "stage": F.lit("unmatched")})
+    return entities.unionByName(aside).drop("CUST_ID", "_source_table")
 
 
 def checked_layout(spark, sf_dir) -> Layout:
@@ -163,7 +161,6 @@ def ingest_run(spark, sf_dir):
 QUERIES = {
     "ent_merge_by_batch": ent_merge_by_batch,
     "ent_merge_run": ent_merge_run,
-    "ent_merge_run_unmatched": ent_merge_run_unmatched,
     "dq_run": dq_run,
     "dq_run_routed": dq_run_routed,
     "map_run": map_run,
@@ -177,8 +174,9 @@ QUERIES = {
 _NAMES = ", ".join(c.name for c in wv.MODEL.columns("COUNSEL"))
 ORACLES = {
     "ent_merge_by_batch": we.ORACLES["ent_latest_non_null"],
-    "ent_merge_run": f"{we._BASE} SELECT * EXCLUDE (_group_size, _source_table), _group_size AS records FROM clean",
-    "ent_merge_run_unmatched": we.ORACLES["ent_unmatched"],
+    "ent_merge_run": f"""{we._BASE}, e AS (SELECT * EXCLUDE (_group_size, _source_table), _group_size AS records, 'merged' AS stage FROM clean)
+        SELECT * FROM e UNION ALL BY NAME SELECT *, 1 AS records, 'unmatched' AS stage
+        FROM ({we.ORACLES['ent_unmatched'].removeprefix(we._BASE)})""",
     "dq_run": f"""{wq._FULL} SELECT rule_id, check_count, initial_error_count, error_count, affected_rows, error_rate, result_status,
         error_grade, action_type, unique_error_record_count, auto_cleansed_record_count, unresolved_record_count
         FROM judged LEFT JOIN detail_counts USING (rule_id)""",

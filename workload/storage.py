@@ -11,7 +11,7 @@ from tidemark.operators.validation import TRACE_LINEAGE
 from tidemark.plans.layout import Layout
 from tidemark.plans.mapping import MappingRun
 from tidemark.session import scratch_dir
-from tidemark.sources import files, tables
+from tidemark.sources import files, tables, zones
 from workload import mapping as wm
 from workload import profiling as wp
 from workload.views import cte, sessions, view
@@ -115,6 +115,15 @@ def sink_bucket_upsert(spark, sf_dir):
     return spark.table(target).drop(tables.KEY_BUCKET)
 
 
+def sink_zone_upsert(spark, sf_dir):
+    """The same upsert into a table that is laid out by key ranges, small ones here so that there are several."""
+    target, key = f"{tables.scratch_database(spark)}.product", ["STD_PRODUCT_CODE"]
+    zones.upsert(view(spark, sf_dir, "product"), target, key, zone_rows=100)
+    later = view(spark, sf_dir, "product_later")
+    zones.upsert(later.filter("STD_CATEGORY IS NOT NULL"), target, key, later.filter("STD_CATEGORY IS NULL"), zone_rows=100)
+    return spark.table(target).drop(zones.ZONE)
+
+
 def sink_staged_swap(spark, sf_dir):
     """A table is overwritten with a frame that reads it."""
     target = table(spark, sf_dir, "product")
@@ -183,6 +192,7 @@ QUERIES = {
     "sink_delete_where": sink_delete_where,
     "sink_pk_upsert": sink_pk_upsert,
     "sink_bucket_upsert": sink_bucket_upsert,
+    "sink_zone_upsert": sink_zone_upsert,
     "sink_staged_swap": sink_staged_swap,
     "sink_selective_replace": sink_selective_replace,
     "sink_snapshot": sink_snapshot,
@@ -232,3 +242,5 @@ ORACLES = {
     "sink_mapped_split": f"""{wm._INB} SELECT CASE WHEN _map_errors IS NULL THEN 'gold_candidate' ELSE 'gold_mapping_error' END AS stage, {', '.join(TRACE_LINEAGE)}, CNSL_ST_CD, _map_errors AS errors
         FROM inb WHERE _source_batch_id = '2026-09-14'""",
 }
+
+ORACLES["sink_zone_upsert"] = ORACLES["sink_bucket_upsert"]
