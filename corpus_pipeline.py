@@ -17,13 +17,22 @@ from tidemark.llm.token_mix import mix_sources, word_count
 from tidemark.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.5  # of the language of a document
+LEAST_CERTAINTY = 0.5  # of the languages of a document's spans
+BATCH_ROWS = "1000"  # of an Arrow batch; texts are long, and a task holds a few batches at once
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no language: without letters, or with no language that holds half of the letters for sure."""
+    """Drops documents in no language: without letters, or with no span whose language is more likely than another.
+
+    A text in several languages stays, however its letters are shared among them.
+    """
+    bounded_batches(spark)
     found = identify(docs, learn(docs), COLUMNS)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("certainty") >= LEAST_CERTAINTY)).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +40,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that repeat count as one. Rows without an id stay, unless they repeat or a document with an id is like them.
     """
+    bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     groups = similar_groups(docs)
     own = F.col("component_id").eqNullSafe(F.col("doc_id"))
@@ -43,6 +53,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold an item of the benchmark."""
+    bounded_batches(spark)
     return without_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
@@ -61,6 +72,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the documents' token ids in binary blocks and reads them back."""
+    bounded_batches(spark)
     import public_tokenizers
 
     return read_ids(write_ids(docs, public_tokenizers.path("word_bpe_49k.json")), with_ids=False)
