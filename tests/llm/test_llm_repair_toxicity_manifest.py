@@ -269,3 +269,27 @@ def test_manifest_of_nothing_and_stored_proofs(spark, tmp_path):
     # Every node but the root names a parent that is there, and its hashes add up to the parent's.
     nodes = manifest.nodes.collect()
     assert {r.parent for r in nodes} - {r.id for r in nodes} == {manifest.root}
+
+
+# ---- language, as the contract and the pipeline need it
+
+
+def test_languages_of_odd_documents(spark):
+    from corpus_pipeline import language_stage
+    from tidemark.llm.language import identify, train
+
+    english, french = "the cat sat on the mat and looked at the garden ", "le chat était assis sur le tapis près de la fenêtre "
+    labelled = [(f"{english} {i}", "en") for i in range(20)] + [(f"{french} {i}", "fr") for i in range(20)]
+    model = train(spark.createDataFrame(labelled, "text string, lang string"))
+    rows = [(1, english * 3 + french * 3), (2, "Привет, как дела"), (3, "你好"), (4, "12 !?"), (5, None), (6, english)]
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(rows, "doc_id bigint, text string"), model, ["doc_id"]).collect()}
+    assert got[1].certainty > 0.99 and [s.lang for s in got[1].spans] == ["en", "fr"]
+    assert (got[2].lang_pred, got[2].score, got[2].certainty) == (got[3].lang_pred, got[3].score, 0.0) == ("en", 0.0, 0.0)
+    assert got[4].lang_pred == got[5].lang_pred == "und" and got[6].lang_pred == "en" and got[6].score > 0.99
+    docs = [(i, t, lang, "s", len(t)) for i, (t, lang) in enumerate(labelled)]
+    docs += [(100, english * 3 + french * 3, "en", "s", 1), (101, "Привет", None, "s", 6), (102, "12 !?", None, "s", 5), (103, None, None, None, None)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id for r in language_stage(spark, frame, "").collect()}
+    assert kept == {*range(40), 100}
+    alone = frame.filter("lang = 'en' AND doc_id < 40")  # one language only: nothing is uncertain
+    assert language_stage(spark, alone, "").count() == 20

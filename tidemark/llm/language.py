@@ -8,10 +8,11 @@ Prediction: the Unicode scripts of a word's letters leave only the languages tha
 gets a log-probability per language, from the word itself and from its letter n-grams. Viterbi finds the best sequence
 of languages when each switch costs `SWITCH` nats; all texts of a batch are run side by side. Runs of words with one
 label are the spans of mixed text; the document's language is the one whose words have most letters, its score the share
-of them, tempered by how far the words are from the runner-up.
+of them, tempered by the certainty: how far the words of all spans, whatever their language, are from the runner-up.
 
-Defined results: a null text, or one without a letter, is `und` with score 0 and no spans; so is every text when nothing
-could be learned, and a text whose letters are all of scripts never seen in training. Labels that are null are not
+Defined results: a null text, or one without a letter, is `und` with score and certainty 0 and no spans; so is every text
+when nothing could be learned. A text whose letters are all of scripts never seen in training gets the first language
+with score and certainty 0. With one learned language every word of a known script is certain. Labels that are null are not
 learned from. Repeated rows are counted and predicted each for itself, a null doc_id counts as one that is not held out.
 Ties go to the first language by code point. Texts are read as a whole, in pieces of bounded size per task; one text is
 the unit of memory. An empty table gives no rows. Further columns of the input are not read by the query; `identify`
@@ -219,7 +220,7 @@ SPANS = "array<struct<lang:string,first_word:int,n_words:int>>"
 
 
 def predict_batches(model: Model, keys: list[str], text: str):
-    """Function for mapInArrow: rows with the keys and the text to (keys, lang_pred, score, spans)."""
+    """Function for mapInArrow: rows with the keys and the text to (keys, lang_pred, score, certainty, spans)."""
     names = np.array([*model.langs, UNKNOWN], dtype=object)
     kinds = pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])
 
@@ -242,13 +243,14 @@ def predict_batches(model: Model, keys: list[str], text: str):
                     # Mean lead per word of the label over the other languages, as a probability.
                     rest = scores.copy()
                     rest[np.arange(len(rest)), labels] = -np.inf
-                    lead = scores[np.arange(len(rest)), labels] - (rest.max(axis=1) if k > 1 else 0)
+                    lead = scores[np.arange(len(rest)), labels] - rest.max(axis=1) if k > 1 else np.full(len(rest), 20.0)
                     lead = np.bincount(text_of, weights=np.where(usable, np.clip(lead, -20, 20), 0), minlength=n)
-                    sure = 1 / (1 + np.exp(-np.clip(lead, -30, 30)))
-                    pred = np.where(total > 0, best, k)
-                    score = np.where(total > 0, part_of * sure, 0.0)
+                    sure = np.where(total > 0, 1 / (1 + np.exp(-np.clip(lead, -30, 30))), 0.0)
+                    spoken = np.bincount(text_of, weights=found.letters, minlength=n) > 0
+                    pred = np.where(spoken, best, k)
+                    score = part_of * sure
                 else:
-                    labels, pred, score = np.zeros(len(text_of), np.int8), np.full(n, 0), np.zeros(n)
+                    labels, pred, score, sure = np.zeros(len(text_of), np.int8), np.full(n, 0), np.zeros(n), np.zeros(n)
                 change = np.ones(len(labels), bool)
                 change[1:] = (labels[1:] != labels[:-1]) | (text_of[1:] != text_of[:-1])
                 heads = np.flatnonzero(change)
@@ -269,19 +271,20 @@ def predict_batches(model: Model, keys: list[str], text: str):
                     + [
                         pa.array(names[pred], pa.string()),
                         pa.array(score, pa.float64()),
+                        pa.array(sure, pa.float64()),
                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans),
                     ],
-                    [*keys, "lang_pred", "score", "spans"],
+                    [*keys, "lang_pred", "score", "certainty", "spans"],
                 )
 
     return predict
 
 
 def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text") -> DataFrame:
-    """Per row of `docs`: its key columns, lang_pred, score and spans (runs of words of one language)."""
+    """Per row of `docs`: its key columns, lang_pred, score, certainty and spans (runs of words of one language)."""
     chosen = docs.select(*keys, *([] if text in keys else [text]))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keys).schema]
-    made = ["lang_pred string", "score double", f"spans {SPANS}"]
+    made = ["lang_pred string", "score double", "certainty double", f"spans {SPANS}"]
     return chosen.mapInArrow(predict_batches(model, keys, text), ", ".join([*types, *made]))
 
 
@@ -297,4 +300,4 @@ def learn(docs: DataFrame) -> Model:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs, learn(docs), ["doc_id"])
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "certainty", "spans")
