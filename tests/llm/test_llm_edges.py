@@ -85,6 +85,17 @@ def test_pages(spark):
     assert extract_text(pages.limit(0)).count() == 0
 
 
+def test_ids_and_repeated_blocks_inside_articles(spark):
+    """Ids name headings and sections; a block that few of many pages of a host share is text."""
+    inside = '<h2 id="social-policy">Social policy</h2><section id="related-work"><p>Related.</p></section><div class="share">x</div>'
+    shared = "<ul><li>one</li><li>two</li></ul>"
+    rows = [(i, f"http://h.org/{i}", f"<article><p>Own words {i}.</p>{shared if i < 12 else ''}</article>") for i in range(200)]
+    rows += [(900, "http://k.org/", f"<article>{inside}</article>")]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[900] == "Social policy\n\nRelated."
+    assert all(got[i] == f"Own words {i}." + ("\n\none\n\ntwo" if i < 12 else "") for i in range(200))
+
+
 def test_language(docs, empty):
     model = learn(docs)
     got = {(r.doc_id, r.lang_pred) for r in identify(docs, model, ["doc_id"]).collect()}

@@ -4,15 +4,15 @@
    host, its tag, its class and id, and its text (addresses and other attributes vary from page to page and are left
    out). A block carries the hashes of the elements around it.
 2. Spark counts, per host, on how many different pages each hash occurs (copies of one page count once, by a hash of its
-   main text). Hashes on at least `MIN_PAGES` pages, or on a tenth of a small host's pages and three at least, are
-   template. A host with any share of all pages is only a longer column of partial sums.
+   main text). Hashes on a tenth of a host's pages, whatever its size, and on `MIN_PAGES` at least, are template. A host
+   with any share of all pages is only a longer column of partial sums.
 3. Pages are read again, and the subtrees with template hashes are deleted: menus, banners, footers, sidebars, however
    marked up. A filter of fixed size, made of the template hashes, tells at once for most pages what is left; where text
    depends on what the filter lets through, an exact join decides. The elements that carry the article, and inside it all prose, are never
    deleted: text that an author repeats, or that copies share, is no template.
 4. What a template cannot show, such as an advert that stands on one page only, goes by its mark-up: elements that are no
    text, landmarks other than the article, and blocks whose class, id or role names them so. If there is an article (or
-   main) element, only its inside is kept.
+   main) element, only its inside is kept; there ids do not count, since they name headings and sections.
 
 White space in a block becomes one space, blocks are joined by an empty line, character references are decoded.
 
@@ -41,9 +41,9 @@ from tidemark.llm.textbytes import pieces
 from tidemark.llm.url_filter import url_parts
 from tidemark.session import materialize
 
-MIN_PAGES = 10
-MIN_SHARE = 0.1
-MIN_PAGES_SMALL_HOST = 3
+MIN_SHARE = 0.1  # of a host's pages, at every size
+MIN_PAGES = 3
+SALTS = 16
 FILTER_BITS = 24  # 2 MB
 
 # How HTML elements behave.
@@ -84,6 +84,7 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+CLASSED = re.compile(NAMED.pattern.replace("class|id|role", "class|role"), re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|$)|display\s*:\s*none", re.IGNORECASE)
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -169,7 +170,10 @@ class Reader:
         parent = self.stack[-1]
         noise = parent.noise or tag in NO_TEXT or tag in LANDMARKS or (tag == "header" and not parent.within)
         if not noise and tag not in ("html", "body"):
-            noise = bool(names and BOILERPLATE.search(HUMP.sub("-", names))) or bool(attributes and HIDDEN.search(attributes))
+            marks = names
+            if parent.within and names:  # ids inside an article name its headings and sections, not boilerplate
+                marks = " ".join(a or b or c for a, b, c in CLASSED.findall(attributes))
+            noise = bool(marks and BOILERPLATE.search(HUMP.sub("-", marks))) or bool(attributes and HIDDEN.search(attributes))
         within = parent.within or (tag in ARTICLE and not noise)
         self.has_article = self.has_article or within
         element = Element(self.host, tag, names, noise, within)
@@ -230,15 +234,15 @@ SUBTREES = "host bigint, main bigint, code bigint"
 
 
 def subtree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page (host, hash of its main text) and subtree that may be template a row."""
+    """Per page (host, hash of its main text) and subtree that may be template a row, and one without a subtree."""
     for batch in batches:
         for part in pieces(batch, "html"):
             hosts, mains, found = [], [], []
             for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
                 _, codes, main = read_page(page or "", host)
-                hosts.extend([code_of([host])] * len(codes))
-                mains.extend([main] * len(codes))
-                found.extend(codes)
+                hosts.extend([code_of([host])] * (len(codes) + 1))
+                mains.extend([main] * (len(codes) + 1))
+                found.extend([*codes, None])
             arrays = [pa.array(c, pa.int64()) for c in (hosts, mains, found)]
             yield pa.RecordBatch.from_arrays(arrays, ["host", "main", "code"])
 
@@ -247,9 +251,12 @@ def template_hashes(subtrees: DataFrame) -> DataFrame:
     """(code) of the subtrees on many different pages of their host, from rows (host, main, code)."""
     seen = materialize(subtrees.distinct())
     sizes = seen.groupBy("host").agg(F.approx_count_distinct("main", 0.02).alias("pages"))
-    counts = seen.groupBy("host", "code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_PAGES_SMALL_HOST)
-    enough = F.least(F.lit(MIN_PAGES), F.greatest(F.lit(MIN_PAGES_SMALL_HOST), F.ceil(F.col("pages") * MIN_SHARE)))
-    return counts.join(sizes, "host").filter(F.col("n") >= enough).select("code")
+    counts = seen.filter("code IS NOT NULL").groupBy("host", "code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_PAGES)
+    # A host may have very many subtrees: they are dealt over several copies of its row.
+    counts = counts.withColumn("salt", F.pmod("code", F.lit(SALTS)).cast("int"))
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    enough = F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("pages") * MIN_SHARE))
+    return counts.join(sizes, ["host", "salt"]).filter(F.col("n") >= enough).select("code")
 
 
 READ = (
