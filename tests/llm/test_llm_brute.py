@@ -68,12 +68,21 @@ def test_fingerprints(spark, sf_dir, documents):
         edited = text[: len(text) - cut] + other[:cut]
         assert row.n_chars == len(text) and row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert (row.fingerprint == row.edited_fingerprint) == (text == edited)
-        assert row.near_edited == 1.0 or text != edited
-        assert row.near_next == 1.0 or text != other
+        assert (row.near_edited == 1.0) == (text == edited)
+        assert (row.near_next == 1.0) == (text == other)
         prints[row.fingerprint].add(text)
     assert all(len(texts) == 1 for texts in prints.values()) and len(prints) == len({d.text or "" for d in documents.values()})
 
 
+def test_only_equal_texts_are_fully_alike(spark):
+    from tidemark.llm.merkle import likeness, with_tree
+
+    pairs = [("alpha beta. gamma delta. ", "gamma delta. alpha beta. "), ("one two. ", "one two. one two. "), ("same", "same"), ("", "")]
+    rows = with_tree(with_tree(spark.createDataFrame(pairs, "a string, b string"), "a", "a_"), "b", "b_")
+    got = rows.select("a", "b", likeness(rows.a_root, rows.a_codes, rows.b_root, rows.b_codes).alias("near")).collect()
+    assert all((r.near == 1.0) == (r.a == r.b) and r.near > 0.9 for r in got)
+
+
 def test_differing_branches(spark):
     a, b = "one. two\n\n# head\nsame line", "one. too\n\n# head\nsame line"
     from tidemark.llm.merkle import with_tree

@@ -89,11 +89,14 @@ def with_tree(docs: DataFrame, text: str, prefix: str) -> DataFrame:
 
 
 def likeness(root_a: Column, codes_a: Column, root_b: Column, codes_b: Column) -> Column:
-    """Share of code points that stand in clauses which both have: 1 for equal roots, 0 for nothing in common."""
-    both = total_weight(F.array_intersect(codes_a, codes_b)) * 2.0
-    return F.when(root_a == root_b, 1.0).otherwise(
-        F.coalesce(both / F.nullif(total_weight(codes_a) + total_weight(codes_b), F.lit(0)), F.lit(0.0))
-    )
+    """Share of code points that stand in clauses which both have: 1 for equal roots, 0 for nothing in common.
+
+    Texts that differ only in the order or number of their clauses have all of them in common; so that only equal roots
+    give 1, the share of others stays below it by at least one part in their size.
+    """
+    both, size = total_weight(F.array_intersect(codes_a, codes_b)) * 2.0, total_weight(codes_a) + total_weight(codes_b)
+    share = F.coalesce(both / F.nullif(size, F.lit(0)), F.lit(0.0))
+    return F.when(root_a == root_b, 1.0).otherwise(F.least(share, 1.0 - 1.0 / (size + 1)))
 
 
 def stored_codes(fingerprint: Column) -> Column:
