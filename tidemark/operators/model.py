@@ -106,6 +106,40 @@ class TargetModel:
         ]
         return found[0] if len(found) == 1 else None
 
+    def parents(self, table: str) -> list[str]:
+        """Tables that the foreign keys of a table point to, in column order; the table itself is left out."""
+        found = []
+        for column in self.columns(table):
+            if "FK" in column.keys:
+                parent = column.reference[0] if column.reference else self.parent_of(column.name)
+                if parent and parent != table.upper() and parent not in found:
+                    found.append(parent)
+        return found
+
+    def load_order(self, wanted: list[str]) -> list[str]:
+        """The wanted tables with parents before children, otherwise in the given order.
+
+        Parents that are not wanted do not matter. Tables that wait for each other are refused with their cycle.
+        """
+        names = [t.upper() for t in dict.fromkeys(wanted)]
+        order, path = [], []
+
+        def place(table: str) -> None:
+            if table in order:
+                return
+            if table in path:
+                raise ValueError(f"foreign keys form a cycle: {' -> '.join([*path[path.index(table) :], table])}")
+            path.append(table)
+            for parent in self.parents(table):
+                if parent in names:
+                    place(parent)
+            path.pop()
+            order.append(table)
+
+        for name in names:
+            place(name)
+        return order
+
 
 def id_prefix(id_column: str) -> str:
     return id_column[:-3] if id_column.upper().endswith("_ID") else id_column

@@ -214,10 +214,11 @@ def _replace_in_partitions(table: str, kept: DataFrame, rows: DataFrame | None,
         drop_batch(spark, table, partition.asDict())
 
 
-def replace_where(df: DataFrame, table: str, predicate: Column) -> None:
+def replace_where(df: DataFrame, table: str, predicate: Column, within: DataFrame | None = None) -> None:
     """Replace the rows that meet the predicate. Unknown columns of the frame are dropped, missing ones are NULL.
 
-    Of a partitioned table only partitions with such rows, or with new ones, are read and rewritten.
+    Of a partitioned table only partitions with such rows, or with new ones, are read and rewritten. `within` lists the
+    partitions to which this is limited; rows elsewhere stay, and those of the frame that belong there are not taken.
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
@@ -228,7 +229,10 @@ def replace_where(df: DataFrame, table: str, predicate: Column) -> None:
     if not parts:
         overwrite_staged(existing.filter(~meets).unionByName(rows), table)
         return
-    touched = existing.filter(meets).select(*parts).unionByName(rows.select(*parts)).distinct()
+    if within is None:
+        touched = existing.filter(meets).select(*parts).unionByName(rows.select(*parts)).distinct()
+    else:
+        touched, rows = within.select(*parts), rows_with_keys(rows, parts, within.select(*parts))
     kept = rows_with_keys(existing.filter(~meets), parts, touched, "left_semi")
     _replace_in_partitions(table, kept, rows, touched)
 

@@ -105,22 +105,45 @@ def dq_run_routed(spark, sf_dir):
     return both.drop("_dq_run_id", "_source_table")
 
 
-def map_run(spark, sf_dir):
-    """Both sources of one target mapped and saved; kept and refused rows as stored."""
+def landed_for_mapping(spark, sf_dir) -> tuple[Layout, MappingRun]:
     layout = scratch_layout(spark)
     for name, key in (("inbound", "consultation_id"), ("outbound", "CTI_ID")):
         rows = wm.with_lineage(view(spark, sf_dir, name), name, key, F.lit(LINEAGE_DAY))
         store(rows, layout.table("silver_candidate", name), ["_source_batch_id"])
+    return layout, MappingRun(spark, layout, wm.model_frame(spark), wm.rule_frame(spark), wm.code_frame(spark))
+
+
+def stored_mapping(spark, layout: Layout) -> DataFrame:
+    out = None
+    for stage in ("gold_candidate", "gold_mapping_error"):
+        rows = wm.readable(spark.table(layout.table(stage, "COUNSEL"))).withColumn("stage", F.lit(stage))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out.drop("_source_table", "_deferred_keys")
+
+
+def map_late_parents(spark, sf_dir):
+    """A target that is mapped before anything it refers to exists; its keys are filled as the parents come in."""
+    layout, run = landed_for_mapping(spark, sf_dir)
+    run.run_target("COUNSEL")
+    store(view(spark, sf_dir, "customer_parent"), layout.table("gold_candidate", "customer"))
+    lineage, table = view(spark, sf_dir, "customer_lineage"), layout.table("gold_entity_lineage", "customer")
+    early = F.xxhash64("_source_record_key") % 2 == 0
+    store(lineage.filter(early), table)
+    run.fill_deferred("COUNSEL")
+    store(lineage.filter(~early), table)
+    store(view(spark, sf_dir, "crosswalk"), layout.table("gold_candidate", "product_mapping"))
+    run.fill_deferred("COUNSEL")
+    return stored_mapping(spark, layout)
+
+
+def map_run(spark, sf_dir):
+    """Both sources of one target mapped and saved; kept and refused rows as stored."""
+    layout, run = landed_for_mapping(spark, sf_dir)
     for name, parent in (("customer", "customer_parent"), ("product", "product_parent"), ("product_mapping", "crosswalk")):
         store(view(spark, sf_dir, parent), layout.table("gold_candidate", name))
     store(view(spark, sf_dir, "customer_lineage"), layout.table("gold_entity_lineage", "customer"))
-    run = MappingRun(spark, layout, wm.model_frame(spark), wm.rule_frame(spark), wm.code_frame(spark))
     run.run_target("COUNSEL")
-    out = None
-    for stage in ("gold_candidate", "gold_mapping_error"):
-        rows = wm.readable(spark.table(layout.table(stage, "COUNSEL"))).withColumn("stage", F.lit(stage))
-        out = rows if out is None else out.unionByName(rows)
-    return out.drop("_source_table")
+    return stored_mapping(spark, layout)
 
 
 def val_run(spark, sf_dir):
@@ -164,6 +187,7 @@ QUERIES = {
     "dq_run": dq_run,
     "dq_run_routed": dq_run_routed,
     "map_run": map_run,
+    "map_late_parents": map_late_parents,
     "val_run": val_run,
     "profile_run": profile_run,
     "ingest_run": ingest_run,
@@ -190,3 +214,4 @@ ORACLES = {
         SELECT m.*, format_distribution FROM m LEFT JOIN texts USING (table_name, column_name)""",
     "ingest_run": f"WITH {cte('inbound')} SELECT {ws._TEXT.replace('CAST(ingest_date AS VARCHAR)', 'ingest_date')} FROM inbound WHERE ingest_date = (SELECT max(ingest_date) FROM inbound)",
 }
+ORACLES["map_late_parents"] = ORACLES["map_run"]
