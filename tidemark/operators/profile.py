@@ -53,6 +53,11 @@ def value_counts(df: DataFrame, columns: list[str], text_columns: list[str] = ()
     return key_counts(long, ["column_name", "value", "length"])
 
 
+def merged_counts(states: DataFrame) -> DataFrame:
+    """Value counts of several batches as those of all their rows."""
+    return states.groupBy("column_name", "value", "length").agg(F.sum("count").alias("count"))
+
+
 def _by_column(choices: dict[str, Column], default: Column) -> Column:
     """Expression chosen by `column_name`; columns that share an expression share the branch."""
     out = None
@@ -216,19 +221,49 @@ def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     counts = key_counts(df, keys, "n")
     repeated = F.col("n") > 1
+    shared = rows_with_keys(df, keys, counts.filter(repeated).select(*keys))
+    whole = shared.distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
+    totals = _key_totals(counts, keys)
+    return _duplicate_metrics(totals.withColumn("distinct_row_count", F.col("single_keys") + whole), keys)
+
+
+def row_states(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, row_digest, count): what a batch adds to the duplicates of a table, with a digest in place of each row."""
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256))
+    return key_counts(df.select(*keys, digest.alias("row_digest")), [*keys, "row_digest"])
+
+
+def merged_duplicates(states: DataFrame, keys: list[str]) -> DataFrame:
+    """`duplicate_summary` of all rows of several batches, from their row states."""
+    rows = states.groupBy(*keys, "row_digest").agg(F.sum("count").alias("count"))
+    counts = rows.groupBy(*keys).agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("__different"))
+    totals = _key_totals(counts, keys, F.coalesce(F.sum("__different"), F.lit(0)).alias("distinct_row_count"))
+    return _duplicate_metrics(totals, keys)
+
+
+def merged_key_values(states: DataFrame, keys: list[str]) -> DataFrame:
+    """`duplicate_key_values` of all rows of several batches."""
+    counts = states.groupBy(*keys).agg(F.sum("count").alias("count"))
+    return counts.filter(F.col("count") > 1).orderBy(F.desc("count"), *keys)
+
+
+def _key_totals(counts: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Sums over (keys, n), one row per key."""
+    repeated = F.col("n") > 1
     missing = any_of([F.col(k).isNull() for k in keys])
-    totals = counts.agg(
+    return counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.count_if(~repeated).alias("single_keys"),
         F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("key_null_count"),
         F.count_if(repeated).alias("duplicate_key_value_count"),
         F.coalesce(F.sum(F.when(repeated, F.col("n") - 1)), F.lit(0)).alias("duplicate_extra_count"),
         F.coalesce(F.max(F.when(repeated, F.col("n"))), F.lit(0)).alias("max_duplicate_count"),
+        *more,
     )
-    shared = rows_with_keys(df, keys, counts.filter(repeated).select(*keys))
-    whole = shared.distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    out = totals.withColumn("distinct_row_count", F.col("single_keys") + whole)
-    out = out.withColumn("row_duplicate_count", F.col("row_count") - F.col("distinct_row_count"))
+
+
+def _duplicate_metrics(totals: DataFrame, keys: list[str]) -> DataFrame:
+    out = totals.withColumn("row_duplicate_count", F.col("row_count") - F.col("distinct_row_count"))
     out = out.withColumn("row_duplicate_ratio", percent(F.col("row_duplicate_count"), F.col("row_count")))
     metrics = [
         "row_count", "distinct_row_count", "row_duplicate_count", "row_duplicate_ratio", "key_null_count",
@@ -241,6 +276,11 @@ def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def sequence_distribution(df: DataFrame, spec: TableProfile, unparsable: bool = False) -> DataFrame:
     """(target_columns, sequence_status, count, ratio) of every date sequence, all in one pass."""
+    return sequence_ratios(sequence_counts(df, spec, unparsable))
+
+
+def sequence_counts(df: DataFrame, spec: TableProfile, unparsable: bool = False) -> DataFrame:
+    """(target_columns, sequence_status, count); counts of several batches add up."""
     entries = [
         F.struct(
             F.lit(" <= ".join(s)).alias("target_columns"),
@@ -248,9 +288,14 @@ def sequence_distribution(df: DataFrame, spec: TableProfile, unparsable: bool =
         )
         for s in spec.sequences
     ]
-    grouped = df.select(F.inline(F.array(*entries))).groupBy("target_columns", "sequence_status").agg(
+    return df.select(F.inline(F.array(*entries))).groupBy("target_columns", "sequence_status").agg(
         F.count(F.lit(1)).alias("count")
     )
+
+
+def sequence_ratios(counts: DataFrame) -> DataFrame:
+    """The distribution from the sequence counts of one or several batches."""
+    grouped = counts.groupBy("target_columns", "sequence_status").agg(F.sum("count").alias("count"))
     totals = grouped.groupBy(F.col("target_columns").alias("__t")).agg(F.sum("count").alias("__total"))
     joined = grouped.join(totals, F.col("target_columns") == F.col("__t"))
     ratio = percent(F.col("count"), F.col("__total")).alias("ratio")

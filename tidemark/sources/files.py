@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.keys import duplicate_keys
+from tidemark.session import materialize
 
 BATCH_COLUMN = "ingest_date"
 BATCH_IN_PATH = r"ingest_date=([0-9-]+)"
@@ -77,33 +78,47 @@ def newest_batch_folder(spark: SparkSession, base: str) -> tuple[str, str]:
 
 
 def read_metadata_csv(spark: SparkSession, path: str, ordinal: str | None = None, key: str | None = None) -> DataFrame:
-    """Metadata file: header, byte-order mark allowed, all text, blank cells as NULL.
+    """Metadata in one file or a folder of files: all text, byte-order marks allowed, blank cells as NULL.
 
-    `ordinal` numbers the lines of the file, which must be one: its lines are read by one task, so ids that rise within a
-    task are their numbers. `key` names a column whose values must be unique.
+    The first file by name has a header; each other one may repeat it or begin with data. `ordinal` numbers the lines
+    through all files in the order of their names. `key` names a column whose values must be unique.
+
+    A file is read whole by one task, so ids that rise within a task give places within a file. The lines are written
+    once, which fixes these ids; the lines of the files before are then added, one row per file.
     """
-    frame = (
-        spark.read.option("header", True)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("multiLine", True)
-        .csv(path)
+    raw = spark.read.option("nullValue", "").option("emptyValue", "").option("multiLine", True).csv(path)
+    cells = raw.columns
+    lines = materialize(
+        raw.select("*", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__id"))
     )
-    names = [c.lstrip("﻿") for c in frame.columns]
-    frame = frame.toDF(*names)
-    frame = frame.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in names])
+    starts = lines.groupBy(F.col("__file").alias("__of")).agg(F.min("__id").alias("__start"))
+    placed = lines.join(starts, F.col("__file") == F.col("__of")).withColumn("__top", F.col("__id") == F.col("__start"))
+    unmarked = F.when(F.col("__top"), F.ltrim(F.col(cells[0]), F.lit("\ufeff"))).otherwise(F.col(cells[0]))
+    placed = placed.withColumn(cells[0], unmarked)
+    tops = placed.filter("__top").select("__file", F.array(*cells).alias("__cells"))
+    first = tops.orderBy("__file").first()
+    if first is None or not all(first["__cells"]):
+        raise ValueError(f"{path}: the first file has no complete header")
+    names = first["__cells"]
+    listed = F.array(*map(F.lit, names))
+    other_order = F.array_sort("__cells").eqNullSafe(F.array_sort(listed)) & ~F.col("__cells").eqNullSafe(listed)
+    strange = tops.filter(other_order).first()
+    if strange:
+        raise ValueError(f"{strange['__file']}: the header has the columns in another order than {first['__file']}")
+    body = placed.filter(~(F.col("__top") & F.array(*cells).eqNullSafe(listed)))
+    frame = body.select(*[F.nullif(F.col(c), F.lit("")).alias(n) for c, n in zip(cells, names)], "__file", "__id")
     if key:
         found = duplicate_keys(frame, [key])
         repeated = [r[0] for r in found.limit(20).collect()]
         if repeated:
             raise ValueError(f"{path}: {found.count()} values of {key} are repeated, nothing was loaded: {repeated} ...")
-    if ordinal:
-        if len(frame.inputFiles()) > 1:
-            raise ValueError(f"{path}: lines can only be numbered in a single file")
-        # One multi-line file is one split, so this id counts its lines from zero.
-        frame = frame.withColumn(ordinal, (F.monotonically_increasing_id() + 1).cast("string"))
-        frame = frame.select(ordinal, *names)
-    return frame
+    if not ordinal:
+        return frame.select(*names)
+    sizes = frame.groupBy(F.col("__file").alias("__of")).agg(F.count(F.lit(1)).alias("__lines"), F.min("__id").alias("__first"))
+    before = F.sum("__lines").over(Window.orderBy("__of")) - F.col("__lines")
+    offsets = sizes.select("__of", (before - F.col("__first") + 1).alias("__offset"))
+    numbered = frame.join(offsets, F.col("__file") == F.col("__of"))
+    return numbered.select((F.col("__id") + F.col("__offset")).cast("string").alias(ordinal), *names)
 
 
 def require_columns(df: DataFrame, columns: list[str], what: str) -> DataFrame:

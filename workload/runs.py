@@ -13,6 +13,7 @@ from tidemark.plans import ingest, profiling, quality, validation
 from tidemark.plans.entities import EntityStore
 from tidemark.plans.layout import Layout
 from tidemark.plans.mapping import MappingRun
+from tidemark.plans.profile_history import ProfileHistory
 from tidemark.session import materialize, scratch_dir
 from tidemark.sources import tables
 from workload import entities as we
@@ -175,6 +176,23 @@ def profile_run(spark, sf_dir):
     return rows.drop("executed_at", "ingest_date")
 
 
+def inbound_history(spark, sf_dir) -> ProfileHistory:
+    """States of three batches, of which one first comes with other rows and is then delivered again."""
+    history = ProfileHistory(spark, scratch_layout(spark), wp.SPECS["inbound"])
+    rows = view(spark, sf_dir, "inbound")
+    history.add(rows.filter("ingest_date <> '2026-09-15' AND customer_id % 2 = 0"), "2026-09-15")
+    for batch in BATCHES:
+        history.add(rows.filter(F.col("ingest_date") == batch), batch)
+    return history
+
+
+def profile_history(kind: str, batches: list[str] | None = None):
+    def run(spark, sf_dir):
+        return inbound_history(spark, sf_dir).profile(batches, wp.master(spark))[kind]
+
+    return run
+
+
 def ingest_run(spark, sf_dir):
     path, columns = ws.csv_folder(spark, sf_dir)
     table = ingest.ingest(spark, scratch_layout(spark), "inbound", path, "csv", columns)
@@ -190,6 +208,10 @@ QUERIES = {
     "map_late_parents": map_late_parents,
     "val_run": val_run,
     "profile_run": profile_run,
+    "profile_history_columns": profile_history("column_profile"),
+    "profile_history_categorical": profile_history("categorical_distribution"),
+    "profile_history_duplicates": profile_history("duplicate_summary", BATCHES[:2]),
+    "profile_history_sequence": profile_history("cross_column_check"),
     "ingest_run": ingest_run,
 }
 
@@ -215,3 +237,12 @@ ORACLES = {
     "ingest_run": f"WITH {cte('inbound')} SELECT {ws._TEXT.replace('CAST(ingest_date AS VARCHAR)', 'ingest_date')} FROM inbound WHERE ingest_date = (SELECT max(ingest_date) FROM inbound)",
 }
 ORACLES["map_late_parents"] = ORACLES["map_run"]
+# The batch is no part of a row there, so the records of the chosen batches are compared without it.
+_CHOSEN = cte("inbound").replace("inbound AS (", "whole AS (", 1) + f""",
+inbound AS (SELECT * EXCLUDE (ingest_date) FROM whole WHERE ingest_date IN ({', '.join(f"'{b}'" for b in BATCHES[:2])}))"""
+ORACLES |= {
+    "profile_history_columns": wp.ORACLES["prof_columns"],
+    "profile_history_categorical": f"SELECT * EXCLUDE (table_name) FROM ({wp.ORACLES['prof_categorical']})",
+    "profile_history_duplicates": f"WITH {_CHOSEN} SELECT * EXCLUDE (table_name) FROM ({wp._duplicates_sql('inbound')})",
+    "profile_history_sequence": f"{wp._with(('inbound',))} SELECT * EXCLUDE (table_name) FROM ({wp._sequences_sql('inbound')})",
+}

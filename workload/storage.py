@@ -179,12 +179,21 @@ def sink_mapped_split(spark, sf_dir):
     return out
 
 
+def meta_split_files(spark, sf_dir):
+    """Metadata that comes as a folder of files, each with a header, numbered through."""
+    path = scratch_dir(spark)
+    rows = view(spark, sf_dir, "product").repartitionByRange(5, "STD_PRODUCT_CODE").sortWithinPartitions("STD_PRODUCT_CODE")
+    rows.write.option("header", True).csv(path)
+    return files.read_metadata_csv(spark, path, ordinal="ORDINAL", key="STD_PRODUCT_CODE")
+
+
 QUERIES = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_json_leaf": src_json_leaf,
     "src_nested_flatten": src_nested_flatten,
     "src_batch_of_path": src_batch_of_path,
     "latest_batch_scan": latest_batch_scan,
+    "meta_split_files": meta_split_files,
     "sink_append_widening": sink_append_widening,
     "sink_batch_replace": sink_batch_replace,
     "sink_dynamic_replace": sink_dynamic_replace,
@@ -225,6 +234,7 @@ ORACLES = {
         FROM n JOIN q USING (conv_id, turn)""",
     "src_batch_of_path": f"WITH {cte('inbound')} SELECT ingest_date AS batch, count(*) AS rows FROM inbound GROUP BY 1",
     "latest_batch_scan": f"WITH {cte('inbound')} SELECT {_TEXT} FROM inbound WHERE ingest_date = (SELECT max(ingest_date) FROM inbound)",
+    "meta_split_files": f"""WITH {cte('product')} SELECT CAST(row_number() OVER (ORDER BY STD_PRODUCT_CODE) AS VARCHAR) AS ORDINAL, * FROM product""",
     "sink_append_widening": f"""WITH {cte('product', 'product_later')} SELECT *, CAST(NULL AS VARCHAR) AS ORIGIN FROM product UNION ALL SELECT *, 'later' FROM product_later""",
     "sink_batch_replace": f"""WITH {cte('inbound')} SELECT * FROM inbound WHERE ingest_date = '2026-09-13' OR (ingest_date = '2026-09-14' AND customer_id % 2 = 0)""",
     "sink_dynamic_replace": f"""WITH {cte('inbound')} SELECT * FROM inbound WHERE ingest_date <> '2026-09-13' OR customer_id % 3 = 0""",
