@@ -7,7 +7,10 @@
    order. Only these prefixes are shuffled. N-grams that stand in the prefix of one document only drop out by an
    aggregate; what is left links each class to the smallest one of its n-gram (a star, not all pairs).
 4. Overlaps. The sets of the candidates are cut along the fragments. The overlap of a pair is counted fragment by
-   fragment, each on its own, and the partial overlaps are summed per pair. The comparison is in whole numbers.
+   fragment, each on its own, and the partial overlaps are summed per pair. The comparison is in whole numbers. Each class
+   is first compared with the one candidate it shares most n-grams of the prefix with. Of the other candidates only those
+   that this has not brought into one component are compared after, so a large group of near copies costs about one
+   comparison a member.
 5. Components of the verified links. A pair of one n-gram that is not yet in one component is then a candidate too, if
    lengths and prefix positions allow the threshold, and verified in the same way. So no link between different
    components is missed, and pairs inside a component are never spelled out.
@@ -132,18 +135,18 @@ FRAGMENT_ROWS = "d1 bigint, d2 bigint, fragment int, grams array<bigint>"
 
 
 def fragment_rows(fragment_of: Broadcast, needed: Broadcast, size: int):
-    """Per document that may be needed, and fragment of the order: the n-grams of its set there."""
+    """Per document that may be needed (by its mark), and fragment of the order: the n-grams of its set there."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fragments, bits = fragment_of.value, needed.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            wanted = batch.filter(pa.array(has_bit(bits, batch.column("mark").to_numpy(), FILTER_BITS)))
+            for part in pieces(wanted, "text"):
                 out: list[tuple[int, int, int]] = []
                 cut: list[np.ndarray] = []
-                ids = part.column("doc_id").to_pylist()
-                for doc_id, grams in zip(ids, shingle_sets(part.column("text"), size), strict=True):
+                for grams in shingle_sets(part.column("text"), size):
                     d1, d2 = digest(grams)
-                    if not len(grams) or not has_bit(bits, np.array([d1 ^ (doc_id or 0)], np.int64), FILTER_BITS)[0]:
+                    if not len(grams):
                         continue
                     own = fragments[slots(grams)]
                     for f in np.unique(own).tolist():
@@ -163,13 +166,21 @@ class Verifier:
     """Verifies candidate pairs (a, b, na, nb) of classes by partial overlaps per fragment."""
 
     def __init__(self, texts: DataFrame, classes: DataFrame, fragment_of: Broadcast, size: int, percent: int):
-        self.texts, self.classes, self.fragment_of, self.size, self.percent = texts, classes, fragment_of, size, percent
+        self.texts = texts.select("text", self.mark("doc_id"))
+        self.classes, self.fragment_of, self.size, self.percent = classes, fragment_of, size, percent
+
+    @staticmethod
+    def mark(doc: str):
+        return F.xxhash64(F.coalesce(F.col(doc), F.lit(0).cast("bigint"))).alias("mark")
 
     def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold. `pairs` is a written table."""
+        if pairs.isEmpty():
+            return pairs.select("a", "b")
         spark = self.texts.sparkSession
         ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        mark = F.col("d1").bitwiseXOR(F.coalesce("first_doc", F.lit(0))).alias("mark")
-        needed = spark.sparkContext.broadcast(bit_filter(ids.join(self.classes, "cid").select(mark), "mark", FILTER_BITS))
+        marks = ids.join(self.classes, "cid").select(self.mark("first_doc"))
+        needed = spark.sparkContext.broadcast(bit_filter(marks, "mark", FILTER_BITS))
         cut = self.texts.mapInArrow(fragment_rows(self.fragment_of, needed, self.size), FRAGMENT_ROWS)
 
         def sets(side: str) -> DataFrame:
@@ -189,6 +200,14 @@ class Verifier:
         return materialize(overlap.filter(F.col("both") * 100 >= union * self.percent).select("a", "b"))
 
 
+def between_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) whose ends are not in one component by the labels (node, component)."""
+    for side in "ab":
+        named = labels.select(F.col("node").alias(f"n_{side}"), F.col("component").alias(f"c_{side}"))
+        pairs = pairs.join(named, F.col(side) == F.col(f"n_{side}"), "left")
+    return pairs.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b", "na", "nb")
+
+
 def near_sizes(na, nb, percent: int):
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
 
@@ -228,11 +247,18 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = SIZE, percen
     star = met.join(centre, "gram").select(
         F.col("centre.cid").alias("a"), F.col("cid").alias("b"), F.col("centre.n").alias("na"), F.col("n").alias("nb")
     )
-    star = materialize(star.filter((F.col("a") != F.col("b")) & near_sizes(F.col("na"), F.col("nb"), percent)).distinct())
+    star = star.filter((F.col("a") != F.col("b")) & near_sizes(F.col("na"), F.col("nb"), percent))
+    star = materialize(star.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")))
     verifier = Verifier(texts, classes, spark.sparkContext.broadcast(fragment_of), size, percent)
-    links = verifier.links(star)
-
+    nearest = star.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("first"), "a", "na", "nb")).alias("of"))
+    nearest = materialize(nearest.select("of.a", "b", "of.na", "of.nb"))
+    links = verifier.links(nearest)
     labels = components(links)
+    others = materialize(between_components(star.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), labels))
+    if not others.isEmpty():
+        links = links.union(verifier.links(others))
+        labels = components(links)
+
     marked = met.join(labels, F.col("cid") == F.col("node"), "left").select(
         "gram", "cid", "n", "pos", F.coalesce("component", "cid").alias("component")
     )
