@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import predicates
 from tidemark.functions.columns import is_filled, labels_where
 from tidemark.operators.keys import (
     duplicate_keys,
-    flag_duplicates,
     flag_members,
     flag_rows_with_keys,
+    key_counts,
     number_rows,
+    rows_with_keys,
     with_unique_id,
 )
 from tidemark.operators.model import TargetModel
 from tidemark.session import materialize
 
+# Rows of one key that a window may hold; keys with more are numbered in another way.
+GROUP_ROWS = 1000
 TRACE_LINEAGE = ["_source_system", "_source_table", "_source_record_key", "_source_batch_id"]
 
 
@@ -86,18 +89,25 @@ def _row_condition(rule: TargetRule) -> Column:
 
 
 def with_violations(df: DataFrame, rules: list[TargetRule], parents: dict[str, DataFrame]) -> DataFrame:
-    """Add `_violations`, the ids of all broken rules. Uniqueness and foreign keys are joins with key sets."""
+    """Add `_violations`, the ids of all broken rules. Uniqueness and foreign keys are joins with the sets of wrong keys.
+
+    These sets are made of keys alone and written to scratch, so the planner knows their size: it sends a small one to the
+    rows, and only a large one makes the rows travel.
+    """
     out, flagged, helpers = df, [], []
     for i, rule in enumerate(rules):
         flag = f"__rule{i}"
         column = rule.columns[0]
         if rule.kind == "UNIQUE":
-            repeated = duplicate_keys(df, [column], filled_only=True)
+            repeated = materialize(duplicate_keys(df, [column], filled_only=True))
             out = flag_rows_with_keys(out, [column], repeated, flag)
         elif rule.kind == "FK":
             table, key = rule.argument
-            out = flag_members(out, F.col(column), parents[table].select(key), flag)
-            out = out.withColumn(flag, F.col(column).isNotNull() & ~F.col(flag))
+            given = df.select(column).filter(F.col(column).isNotNull()).distinct()
+            known = parents[table].select(F.col(key).alias("__parent"))
+            orphans = materialize(given.join(known, F.col(column) == F.col("__parent"), "left_anti"))
+            out = flag_members(out, F.col(column), orphans, flag, unique=True)
+            out = out.withColumn(flag, F.col(column).isNotNull() & F.col(flag))
         else:
             flagged.append((rule.rule_id, _row_condition(rule)))
             continue
@@ -109,23 +119,28 @@ def with_violations(df: DataFrame, rules: list[TargetRule], parents: dict[str, D
 def repair_primary_keys(df: DataFrame, repair: PrimaryKeyRepair) -> DataFrame:
     """Number the rows behind a repeated key, rows of other sources first, and suffix the later rows of the source.
 
-    Adds `_remediated_<pk>` with the key before the change. Only rows with a repeated key are numbered, and the
-    numbering spreads a hot key over partitions. The marked rows are written to scratch once, since both kinds of
-    rows and the later uniqueness check start from them.
+    Adds `_remediated_<pk>` with the key before the change. The rows of a key meet once, in a window over groups of at
+    most `GROUP_ROWS` rows; rows of a larger group are numbered over several partitions.
     """
     pk, audit = repair.column, f"_remediated_{repair.column}"
-    marked = materialize(flag_duplicates(df, [pk], "__repeated", filled_only=True))
+    columns = df.columns
+    filled = is_filled(F.col(pk))
     own = F.coalesce(F.col("_source_system") == repair.source, F.lit(False)).cast("int")
-    involved = marked.filter("__repeated").drop("__repeated").withColumn("__own", own)
-    ranked = number_rows(involved, ["__own", repair.order_by], [pk], "__rank").withColumn(
-        "__change", (F.col("__own") == 1) & (F.col("__rank") > 1)
-    )
+    candidates = df.filter(filled).withColumn("__own", own)
+    crowded = materialize(key_counts(df.filter(filled), [pk], "__n").filter(F.col("__n") > GROUP_ROWS).select(pk))
+    several = not crowded.isEmpty()
+    in_groups = rows_with_keys(candidates, [pk], crowded, "left_anti") if several else candidates
+    order = Window.partitionBy(pk).orderBy("__own", repair.order_by, F.xxhash64(*columns))
+    ranked = in_groups.withColumn("__rank", F.row_number().over(order).cast("bigint"))
+    if several:
+        large = number_rows(rows_with_keys(candidates, [pk], crowded), ["__own", repair.order_by], [pk], "__rank")
+        ranked = ranked.unionByName(large)
+    change = (F.col("__own") == 1) & (F.col("__rank") > 1)
     fixed = F.concat(F.col(pk), F.lit(repair.suffix), F.col("__rank").cast("string"))
     changed = ranked.withColumns(
-        {audit: F.when(F.col("__change"), F.col(pk)), pk: F.when(F.col("__change"), fixed).otherwise(F.col(pk))}
-    ).drop("__own", "__rank", "__change")
-    untouched = marked.filter("NOT __repeated").drop("__repeated").withColumn(audit, F.lit(None).cast("string"))
-    return untouched.unionByName(changed)
+        {audit: F.when(change, F.col(pk)), pk: F.when(change, fixed).otherwise(F.col(pk))}
+    ).select(*columns, audit)
+    return df.filter(~filled).withColumn(audit, F.lit(None).cast("string")).unionByName(changed)
 
 
 def validate(
@@ -150,7 +165,7 @@ def validate(
             )
             continue
         rules.append(rule)
-    repaired = repair_primary_keys(df, repair) if repair else df
+    repaired = materialize(repair_primary_keys(df, repair)) if repair else df  # read by every key rule
     return Validated(with_violations(repaired, rules, parents), rules, skipped)
 
 
@@ -182,14 +197,17 @@ def reconcile(source: DataFrame, checked: DataFrame) -> DataFrame:
     )
 
 
-def migration_trace(checked: DataFrame, table: str, pk: str, run_id: str) -> DataFrame:
-    """One trace row per input record. The id is made of the whole row and, for equal rows, of their number."""
+def migration_trace(checked: DataFrame, table: str, pk: str, run_id: str, stored: bool = False) -> DataFrame:
+    """One trace row per input record. The id is made of the whole row and, for equal rows, of their number.
+
+    Of a row only its hash and what the trace shows is kept. `stored` rows are read again instead of written once more.
+    """
     loaded = F.size("_violations") == 0
     audit = f"_remediated_{pk}"
     before = F.col(audit) if audit in checked.columns else F.lit(None).cast("string")
     identity = F.to_json(F.struct(F.lit(run_id).alias("run"), F.lit(table).alias("table"), *checked.columns))
-    return with_unique_id(checked, "TRC_ID", identity).select(
-        "TRC_ID",
+    shown = checked.select(
+        F.unhex(F.sha2(identity, 256)).alias("__row"),
         F.col("_source_batch_id").alias("MIG_BATCH_ID"),
         F.col("_source_system").alias("SRC_SYS"),
         F.col("_source_table").alias("SRC_TBL"),
@@ -198,5 +216,6 @@ def migration_trace(checked: DataFrame, table: str, pk: str, run_id: str) -> Dat
         F.when(loaded, F.col(pk).cast("string")).alias("TGT_KEY"),
         F.when(loaded, before).alias("ORIG_KEY"),
         F.when(loaded, F.lit("LOADED")).otherwise(F.lit("GOLD_QUARANTINED")).alias("MIG_ST_CD"),
-        F.current_timestamp().alias("LOAD_DTM"),
     )
+    traced = with_unique_id(shown, "TRC_ID", F.hex("__row"), stored)
+    return traced.select("TRC_ID", *[c for c in shown.columns if c != "__row"], F.current_timestamp().alias("LOAD_DTM"))

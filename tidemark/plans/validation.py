@@ -69,7 +69,7 @@ def run_validation(
         tables.drop_batch(spark, held_table, batch.asDict())
 
     trace_table = layout.table("gold", "migration_trace")
-    tables.append(v.migration_trace(rows, target, pk, run_id), trace_table)
+    tables.append(v.migration_trace(rows, target, pk, run_id, stored=True), trace_table)
     summary = v.reconcile(candidate, rows).first().asDict()
     counts = {r["rule_id"]: r["violations"] for r in v.violations_by_rule(rows).collect()}  # one row per rule
     return {

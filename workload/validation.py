@@ -60,7 +60,7 @@ def val_missing_parent(spark, sf_dir):
 
 
 def val_trace(spark, sf_dir):
-    trace = v.migration_trace(checked(spark, sf_dir).frame, "COUNSEL", "CNSL_ID", "run")
+    trace = v.migration_trace(checked(spark, sf_dir).frame, "COUNSEL", "CNSL_ID", "run", stored=True)
     return trace.drop("TRC_ID", "LOAD_DTM")
 
 
@@ -69,8 +69,8 @@ def val_trace_ids(spark, sf_dir):
     rows = view(spark, sf_dir, "counsel")
     found = {"CUSTOMER": view(spark, sf_dir, "customer_parent")}
     twice = v.validate(rows.unionAll(rows), "COUNSEL", MODEL, found, ORDER, REPAIR).frame
-    trace = v.migration_trace(twice, "COUNSEL", "CNSL_ID", "run")
-    return trace.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("TRC_ID").alias("ids"))
+    trace = v.migration_trace(twice, "COUNSEL", "CNSL_ID", "run", stored=True)
+    return trace.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.unhex("TRC_ID")).alias("ids"))
 
 
 def versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
