@@ -12,7 +12,7 @@ from tidemark.operators.snapshot import Constraint
 from tidemark.session import metadata_frame
 from workload import sqltext as t
 from workload.quality import INBOUND_RULES, OUTBOUND_RULES
-from workload.views import cte, view
+from workload.views import cte, load, view
 
 KEY, FIELDS = "STD_PRODUCT_CODE", ["STD_PRODUCT_NAME", "PRODUCT_CLASS", "STD_CATEGORY"]
 
@@ -74,12 +74,11 @@ def snapshot_validate(spark, sf_dir):
 
 def rule_problems(spark, sf_dir):
     """Rule checks over rules made from the products: one faulty rule per product, each in its own way."""
-    parts = view(spark, sf_dir, "product")
-    number = F.substring(KEY, 5, 6).cast("int")
-    fault = number % 10
+    parts = load(spark, sf_dir, "part")
+    fault = F.col("p_partkey") % 10
     raw = parts.select(
-        F.when(fault == 0, F.lit(" ")).otherwise(F.col(KEY)).alias("rule_id"),
-        F.col("STD_PRODUCT_NAME").alias("rule_name"),
+        F.when(fault == 0, F.lit(" ")).otherwise(F.format_string("STD-%06d", "p_partkey")).alias("rule_id"),
+        F.col("p_name").alias("rule_name"),
         F.when(fault != 1, F.lit("inbound")).alias("target_table"),
         F.when(fault == 2, F.lit("other_check")).when(fault == 3, F.lit("order_check")).when(fault == 4, F.lit("RANGE_CHECK"))
         .otherwise(F.lit("pattern_check ")).alias("rule_type"),
