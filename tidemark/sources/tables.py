@@ -203,11 +203,13 @@ def overwrite_staged(df: DataFrame, table: str, partition_by: list[str] = ()) ->
     return spark.table(table)
 
 
-def _replace_in_partitions(table: str, kept: DataFrame, rows: DataFrame | None, touched: DataFrame) -> None:
+def _replace_in_partitions(
+    table: str, kept: DataFrame, rows: DataFrame | None, touched: DataFrame, stored: bool = False
+) -> None:
     """Rewrite the touched partitions of a table with the kept rows and the new ones; clear those left without any."""
     spark, parts = kept.sparkSession, touched.columns
     staged = materialize(kept if rows is None else kept.unionByName(rows))
-    touched = materialize(touched.distinct())
+    touched = touched if stored else materialize(touched.distinct())
     replace_batches(staged, table, parts)
     emptied = rows_with_keys(touched, parts, staged.select(*parts).distinct(), "left_anti")
     for partition in emptied.toLocalIterator():
@@ -230,11 +232,12 @@ def replace_where(df: DataFrame, table: str, predicate: Column, within: DataFram
         overwrite_staged(existing.filter(~meets).unionByName(rows), table)
         return
     if within is None:
-        touched = existing.filter(meets).select(*parts).unionByName(rows.select(*parts)).distinct()
+        touched = materialize(existing.filter(meets).select(*parts).unionByName(rows.select(*parts)).distinct())
     else:
-        touched, rows = within.select(*parts), rows_with_keys(rows, parts, within.select(*parts))
+        touched = materialize(within.select(*parts).distinct())  # few rows, and known to be few: the others stay in place
+        rows = rows_with_keys(rows, parts, touched, "left_semi")
     kept = rows_with_keys(existing.filter(~meets), parts, touched, "left_semi")
-    _replace_in_partitions(table, kept, rows, touched)
+    _replace_in_partitions(table, kept, rows, touched, stored=True)
 
 
 def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
@@ -243,8 +246,9 @@ def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
     if not parts:
         overwrite_staged(existing.filter(~meets), table)
         return
-    touched = existing.filter(meets).select(*parts).distinct()
-    _replace_in_partitions(table, rows_with_keys(existing.filter(~meets), parts, touched, "left_semi"), None, touched)
+    touched = materialize(existing.filter(meets).select(*parts).distinct())
+    kept = rows_with_keys(existing.filter(~meets), parts, touched, "left_semi")
+    _replace_in_partitions(table, kept, None, touched, stored=True)
 
 
 def drop_batch(spark: SparkSession, table: str, batch: dict) -> None:
