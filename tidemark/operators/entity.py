@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of
-from tidemark.operators.keys import number_rows, rows_with_keys
+from tidemark.operators.keys import SENT_HASHES, key_counts, number_rows, rows_with_keys
 from tidemark.operators.model import LINEAGE_KEY
-from tidemark.operators.survivorship import REFERENCE, merge_states, record_states, survivors
+from tidemark.operators.survivorship import REFERENCE, merge_records, survivors
 from tidemark.session import materialize
 
 
@@ -40,6 +40,24 @@ def with_reference_time(df: DataFrame, reference: DataFrame) -> DataFrame:
     return df.join(times, condition, "left").drop(*names)
 
 
+def with_own_reference_time(records: DataFrame, time: str) -> DataFrame:
+    """`with_reference_time` for stored records whose own column `time` is the reference: it becomes `_ref_ts`.
+
+    A record whose lineage key occurs once has its own time, so only those that share a short hash of it with another are joined with
+    the latest times. `records` is read from files twice.
+    """
+    timed = records.withColumn(REFERENCE, F.col(time).cast("timestamp")).drop(time)
+    short = F.xxhash64(*LINEAGE_KEY)
+    repeated = key_counts(records.select(short.alias("__short")), ["__short"], "__n").filter("__n > 1")
+    again = materialize(repeated.select("__short"))
+    if again.limit(SENT_HASHES + 1).count() > SENT_HASHES:
+        return with_reference_time(timed.drop(REFERENCE), timed.select(*LINEAGE_KEY, REFERENCE))
+    sent = F.broadcast(again)
+    alone = timed.join(sent, short == F.col("__short"), "left_anti")
+    shared = timed.join(sent, short == F.col("__short"), "left_semi")
+    return alone.unionByName(with_reference_time(shared.drop(REFERENCE), shared.select(*LINEAGE_KEY, REFERENCE)))
+
+
 def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"))
 
@@ -50,7 +68,7 @@ def merge_groups(df: DataFrame, keys: list[str], fill: list[str]) -> DataFrame:
     Every `fill` column takes its newest non-NULL value; the other columns come from the newest row. `_conflict` is true
     when the rows at the newest time disagree on a value.
     """
-    return survivors(merge_states(record_states(df, keys, fill), keys), keys)
+    return survivors(merge_records(df, keys, fill), keys)
 
 
 def id_number(id_column: str, prefix: str) -> Column:
@@ -85,7 +103,7 @@ def earlier_ids(df: DataFrame, keys: list[str], lineage: DataFrame) -> DataFrame
 
 def merge_entities(
     candidate: DataFrame,
-    reference: DataFrame,
+    reference: DataFrame | None,
     keys: list[str],
     id_column: str,
     prefix: str,
@@ -94,11 +112,15 @@ def merge_entities(
 ) -> MergeResult:
     """Merge candidate rows that agree on all match keys; conflicts and rows without full keys are set aside.
 
-    The merged groups are written to scratch once, because ids, conflicts and lineage all start from them.
+    The merged groups are written to scratch once, because ids, conflicts and lineage all start from them. Without a `reference` the
+    candidate rows carry their time as `_ref_ts`; they should be stored then, since they are read for the groups and for the lineage.
     """
+    timed = matchable(candidate, keys)
+    timed = timed if reference is None else with_reference_time(timed, reference)
+    candidate = candidate.drop(REFERENCE) if reference is None else candidate
     fill = [c for c in candidate.columns if not c.startswith("_") and c not in keys]
     usable = matchable(candidate, keys)
-    groups = materialize(merge_groups(with_reference_time(usable, reference), keys, fill))
+    groups = materialize(merge_groups(timed, keys, fill))
     in_conflict = groups.filter("_conflict").select(*keys)
     merged = groups.filter(~F.col("_conflict")).drop("_conflict", "_group_size")
     if earlier_lineage is not None:

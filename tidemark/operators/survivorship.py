@@ -46,6 +46,51 @@ def record_states(records: DataFrame, keys: list[str], fill: list[str], also: li
     )
 
 
+def merge_records(records: DataFrame, keys: list[str], fill: list[str], also: list[str] = ()) -> DataFrame:
+    """`merge_states(record_states(...))` in one aggregate over the records as they are.
+
+    The least value at the newest time is a minimum too, as times can be negated. So records are exchanged once, combined before that,
+    and what is sorted for it are the plain columns, not the wide states. `_ref_ts` is a timestamp.
+    """
+    rest = [c for c in records.columns if c not in (*keys, *fill, REFERENCE, *TIE_BREAK)]
+    known, tie = F.col(REFERENCE).isNotNull(), [F.col(c) for c in TIE_BREAK]
+    newest = F.struct(known.alias("known"), F.col(REFERENCE).alias("at"))
+    micros = F.unix_micros(F.col(REFERENCE).cast("timestamp"))
+    row = F.struct(newest.alias("newest"), F.struct(*tie, *[F.col(c) for c in rest]).alias("row"))
+
+    def top(c: str) -> Column:
+        dated = F.struct(newest.alias("newest"), *tie, F.col(c).alias("value"))
+        return F.max(F.when(F.col(c).isNotNull(), dated))
+
+    def low(c: str) -> Column:
+        return F.min(F.struct((~known).alias("unknown"), (-micros).alias("age"), F.col(c).isNull().alias("empty"), F.col(c).alias("value")))
+
+    def high(c: str) -> Column:
+        return F.max(F.struct(newest.alias("newest"), F.col(c).isNotNull().alias("filled"), F.col(c).alias("value")))
+
+    merged = records.groupBy(*keys, *also).agg(
+        F.count(F.lit(1)).alias("_group_size"),
+        F.max(row).alias("__row"),
+        *[top(c).alias(f"__top_{c}") for c in fill],
+        *[low(c).alias(f"__low_{c}") for c in fill],
+        *[high(c).alias(f"__high_{c}") for c in fill],
+    )
+
+    def values(name: str) -> Column:
+        return F.struct(*[F.col(f"__{name}_{c}.value").alias(c) for c in fill])
+
+    return merged.select(
+        *keys,
+        *also,
+        "_group_size",
+        F.col("__row.newest").alias("_newest"),
+        F.col("__row.row").alias("_row"),
+        F.struct(*[F.col(f"__top_{c}").alias(c) for c in fill]).alias("_top"),
+        values("low").alias("_low"),
+        values("high").alias("_high"),
+    )
+
+
 def merge_states(states: DataFrame, keys: list[str]) -> DataFrame:
     """One state per key. First per key and time, then per key, both with map-side combining: group size does not matter."""
     fill = states.schema["_top"].dataType.names

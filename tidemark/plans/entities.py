@@ -15,7 +15,7 @@ from tidemark.functions.columns import any_of
 from tidemark.operators import entity
 from tidemark.operators.keys import rows_with_keys
 from tidemark.operators.model import LINEAGE_KEY
-from tidemark.operators.survivorship import merge_states, record_states, survivors
+from tidemark.operators.survivorship import merge_records, merge_states, survivors
 from tidemark.plans.layout import Layout
 from tidemark.session import materialize
 from tidemark.sources import tables
@@ -67,8 +67,7 @@ class EntityStore:
         usable = entity.matchable(fresh, keys)
         timed = entity.with_reference_time(usable.drop(self.id_column), reference)
         parts = [F.col(c).alias(p) for c, p in zip(PARTITION, STATE_PARTITION)]
-        single = record_states(timed.select("*", *parts), keys, fill, STATE_PARTITION)
-        fresh_states = materialize(merge_states(single, [*keys, *STATE_PARTITION]))
+        fresh_states = materialize(merge_records(timed.select("*", *parts), keys, fill, STATE_PARTITION))
 
         states = self._table(self.states, fresh_states, STATE_PARTITION)
         replaced = self._of_batches(states, STATE_PARTITION, batches).select(*keys)

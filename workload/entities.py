@@ -30,9 +30,17 @@ def usable(spark, sf_dir) -> DataFrame:
     return e.matchable(candidate(spark, sf_dir), KEYS)
 
 
+def timed(spark, sf_dir) -> DataFrame:
+    """The candidates with their reference time. The view is joined together once, as several steps read it."""
+    return e.with_own_reference_time(materialize(records(spark, sf_dir)), "ref_day")
+
+
+def groups_of(rows: DataFrame) -> DataFrame:
+    return e.merge_groups(e.matchable(rows, KEYS), KEYS, FILL)
+
+
 def groups(spark, sf_dir) -> DataFrame:
-    timed = e.with_reference_time(usable(spark, sf_dir), reference(spark, sf_dir))
-    return e.merge_groups(timed, KEYS, FILL)
+    return groups_of(timed(spark, sf_dir))
 
 
 def ent_latest_non_null(spark, sf_dir):
@@ -44,14 +52,15 @@ def ent_conflicts(spark, sf_dir):
 
 
 def ent_unmatched(spark, sf_dir):
-    rows = candidate(spark, sf_dir)
-    in_conflict = groups(spark, sf_dir).filter("_conflict").select(*KEYS)
+    rows = timed(spark, sf_dir)
+    in_conflict = groups_of(rows).filter("_conflict").select(*KEYS)
+    rows = rows.drop(e.REFERENCE)
     conflicting = rows_with_keys(e.matchable(rows, KEYS), KEYS, in_conflict)
     return e.unmatchable(rows, KEYS).unionByName(conflicting).drop("CUST_ID", "_source_table")
 
 
 def merged(spark, sf_dir) -> e.MergeResult:
-    return e.merge_entities(candidate(spark, sf_dir), reference(spark, sf_dir), KEYS, "CUST_ID", "CUST", "CUSTOMER")
+    return e.merge_entities(timed(spark, sf_dir), None, KEYS, "CUST_ID", "CUST", "CUSTOMER")
 
 
 def ent_merged(spark, sf_dir):
@@ -64,10 +73,9 @@ def ent_crosswalk(spark, sf_dir):
 
 def ent_id_reuse(spark, sf_dir):
     """Merge once, then again as if ids had been reset: every entity gets its id back through the lineage."""
-    first = merged(spark, sf_dir)
-    lineage = materialize(first.lineage)
-    rows, times = candidate(spark, sf_dir), reference(spark, sf_dir)
-    again = e.merge_entities(rows, times, KEYS, "CUST_ID", "CUST", "CUSTOMER", lineage)
+    rows = timed(spark, sf_dir)
+    lineage = materialize(e.merge_entities(rows, None, KEYS, "CUST_ID", "CUST", "CUSTOMER").lineage)
+    again = e.merge_entities(rows, None, KEYS, "CUST_ID", "CUST", "CUSTOMER", lineage)
     return again.merged.select(*KEYS, "CUST_ID")
 
 

@@ -47,15 +47,15 @@ def store(rows: DataFrame, table: str, partition_by: list[str] = ()) -> None:
 
 
 def timed(spark, sf_dir) -> DataFrame:
-    return e.with_reference_time(we.usable(spark, sf_dir), we.reference(spark, sf_dir)).drop("CUST_ID")
+    return e.matchable(we.timed(spark, sf_dir), we.KEYS).drop("CUST_ID")
 
 
 def ent_merge_by_batch(spark, sf_dir):
     """The states of three batches, merged in the order of delivery, which is not that of time."""
-    rows, fill = materialize(timed(spark, sf_dir)), we.FILL[1:]
+    rows, fill = timed(spark, sf_dir), we.FILL[1:]
     state = None
     for batch in BATCHES:
-        fresh = s.merge_states(s.record_states(rows.filter(F.col("_source_batch_id") == batch), we.KEYS, fill), we.KEYS)
+        fresh = s.merge_records(rows.filter(F.col("_source_batch_id") == batch), we.KEYS, fill)
         state = materialize(fresh if state is None else s.merge_all([state, fresh], we.KEYS))
     return s.survivors(state, we.KEYS).filter("NOT _conflict").drop("_conflict")
 
@@ -63,7 +63,9 @@ def ent_merge_by_batch(spark, sf_dir):
 def merged_store(spark, sf_dir) -> EntityStore:
     layout = scratch_layout(spark)
     kept = EntityStore(spark, layout, "CUSTOMER", we.KEYS, "CUST_ID", "CUST")
-    rows, reference = materialize(we.candidate(spark, sf_dir)), materialize(we.reference(spark, sf_dir))
+    records = materialize(we.records(spark, sf_dir))
+    rows = records.drop("ref_day")
+    reference = records.select(*e.LINEAGE_KEY, F.col("ref_day").cast("timestamp").alias(e.REFERENCE))
     for batch in BATCHES:
         systems = ["inbound", "outbound"] if batch == "2026-09-14" else ["inbound"]
         for system in systems:
