@@ -56,3 +56,18 @@ def test_equal_tables_exchange_digests_only(spark, monkeypatch):
     changed = rows.withColumn("v", F.when(F.col("id") == 77, "other").otherwise(F.col("v")))
     assert diff.row_difference_by_digest(rows, changed, ["id", "v"]).count() == 2
     assert compared == [0, 2]
+
+
+def test_rows_are_filtered_where_they_lie(spark):
+    """Where many rows differ all over a large table, the others are not joined with the list of differing ones."""
+    rows = spark.range(5_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    changed = rows.withColumn("v", F.when(F.col("id") % 3 == 0, "other").otherwise(F.col("v")))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = diff.row_difference_by_digest(rows, changed, ["id", "v"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 2 * 1667
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan

@@ -9,6 +9,8 @@ from tidemark.functions.columns import any_of
 from tidemark.session import materialize, metadata_frame
 
 SLICE_BITS = 16
+FILTER_BITS = 28  # of the filter for hashes that differ: 32 MB at most
+MAP_BITS = 15  # of a bitmap of `bitmap_construct_agg`
 VOLATILE_COLUMNS = ("_mapping_run_id", "_mapped_at")
 
 
@@ -45,24 +47,39 @@ def _hash_of(df: DataFrame, columns: list[str], salt: int) -> Column:
     return F.xxhash64(*parts)
 
 
-def _unequal(rows: DataFrame, slices: list[str]) -> DataFrame:
-    """Slices whose digests of both sides differ. A digest is the count and the sums of two hashes, in halves that
+def _unequal(rows: DataFrame, slices: list[str], hashes: tuple[str, ...] = ("__h", "__g")) -> DataFrame:
+    """Slices whose digests of both sides differ. A digest is the count and the sums of the hashes, in halves that
     cannot overflow; it does not depend on the order of rows, and copies count."""
     sums = [F.sum("__sign").alias("__n")]
-    for name in ("__h", "__g"):
+    for name in hashes:
         low, high = F.col(name).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(name, 32)
         sums += [F.sum(F.col("__sign") * low).alias(f"{name}_low"), F.sum(F.col("__sign") * high).alias(f"{name}_high")]
     digests = rows.groupBy(*slices).agg(*sums)
     names = [c for c in digests.columns if c not in slices]
-    return materialize(digests.filter(any_of([F.col(c) != 0 for c in names])).select(*slices))
+    return digests.filter(any_of([F.col(c) != 0 for c in names])).select(*slices)
+
+
+def _place(rows: DataFrame) -> DataFrame:
+    """Adds `__map` and `__bit`, the place of the hash `__h` in the filter."""
+    at = F.shiftrightunsigned("__h", 64 - FILTER_BITS)
+    bit = at.bitwiseAND(F.lit((1 << MAP_BITS) - 1)).cast("int")
+    return rows.withColumns({"__map": F.shiftright(at, MAP_BITS).cast("int"), "__bit": bit})
+
+
+def _with_hash_like(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Rows whose `__h` is among the hashes, and by chance some others: a filter of bitmaps is sent to the rows, which stay in place."""
+    bitmaps = materialize(_place(hashes).groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+    byte = F.expr("CAST(conv(hex(substring(__bits, __bit DIV 8 + 1, 1)), 16, 10) AS INT)")
+    met = _place(rows).join(F.broadcast(bitmaps), "__map")  # at most 2 ** (FILTER_BITS - MAP_BITS) bitmaps of 4 KB
+    return met.filter(F.call_function("shiftright", byte, F.expr("__bit % 8")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
 
 
 def row_difference_by_digest(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
     """What `row_difference` gives, without moving rows that both sides have.
 
-    Rows are dealt by hash into 65,536 slices, and only a digest per slice is exchanged. Slices that differ are dealt into as
-    many again, and only the rows of differing small slices are compared. Of equal tables nothing but
-    digests moves; the rows are read once for that, and at most three times. Two different bags have equal digests with a chance
+    Rows are dealt by hash into 65,536 slices, and only a digest per slice is exchanged. Of slices that differ a digest per hash is
+    exchanged, and only rows whose hash differs are compared, with those that a filter of fixed size lets through by chance, and
+    which cancel. Of equal tables nothing but digests moves; the rows are read once for that, and at most three times. Two different bags have equal digests with a chance
     of about one in 2^128.
     """
 
@@ -72,16 +89,10 @@ def row_difference_by_digest(old: DataFrame, new: DataFrame, columns: list[str])
 
     bits = (1 << SLICE_BITS) - 1
     rows = signed(old, 1).unionByName(signed(new, -1))
-    rows = rows.withColumns(
-        {
-            "__slice": F.col("__h").bitwiseAND(F.lit(bits)),
-            "__part": F.shiftright("__h", SLICE_BITS).bitwiseAND(F.lit(bits)),
-        }
-    )
-    slices = _unequal(rows, ["__slice"])
+    rows = rows.withColumn("__slice", F.col("__h").bitwiseAND(F.lit(bits)))
+    slices = materialize(_unequal(rows, ["__slice"]))
     some = rows.join(F.broadcast(slices), "__slice", "left_semi")  # at most 2 ** SLICE_BITS rows
-    parts = _unequal(some, ["__slice", "__part"])
-    few = some.join(parts, ["__slice", "__part"], "left_semi")
+    few = _with_hash_like(some, _unequal(some, ["__h"], ("__g",)))
     return row_difference(few.filter("__sign = 1"), few.filter("__sign = -1"), columns)
 
 
