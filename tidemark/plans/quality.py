@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions import fixed_values as fixed
 from tidemark.operators import quality as q
 from tidemark.operators import snapshot
-from tidemark.operators.keys import with_unique_id
+from tidemark.operators.keys import unfolded_with_unique_id
 from tidemark.operators.rules import (
     DEFINITION_COLUMNS,
     RULE_COLUMNS,
@@ -22,7 +22,7 @@ from tidemark.operators.rules import (
     rules_from,
 )
 from tidemark.plans.layout import Layout
-from tidemark.session import metadata_rows
+from tidemark.session import materialize, metadata_rows
 from tidemark.sources import files, tables
 
 
@@ -88,10 +88,38 @@ def lineage_columns(source: str, table: str, key: str | None, batch: str, run_id
     }
 
 
-def detail_with_ids(detail: DataFrame, run_id: str) -> DataFrame:
-    """Adds `dq_detail_id`, one per rule and row (`__row`, the hash of the unmasked row, which goes)."""
+def find_once(rows: DataFrame, rules: list[Rule], codes: q.CodeTables, record_key: str | None, row_hash: bool = False):
+    """Rows that break a rule, stored with their violations in `__found`, and the judged rules: one evaluation for both.
+
+    The counts are observed in the job that writes the rows. Should a repeated stage have counted rows twice, it stops.
+    """
+    spark, observation = rows.sparkSession, Observation("found")
+    repeated = q.repeated_keys(rows, rules)
+    marked = q.with_outcomes(rows, rules, codes, repeated={k: v.drop("__rows") for k, v in repeated.items()})
+    hashes = {"__row": q.row_identity(rows.columns)} if row_hash else {}
+    found = {"source_record_key": q.key_text(rows, record_key), **hashes, "__found": q.violation_entries(rules, codes)}
+    marked = marked.withColumns(found)
+    seen = F.count_if(F.size("__found") > 0).alias("seen")
+    counted = marked.observe(observation, *q.observed_counts(len(rules)), seen)
+    stored = materialize(counted.filter(F.size("__found") > 0).select(*found))
+    observed = observation.get
+    if stored.count() != observed["seen"]:
+        raise RuntimeError("rows written and rows counted differ: run again")
+    judged = q.judge(q.counts_from(spark, observed, rules, repeated), rules)
+    return stored, spark.createDataFrame([tuple(r.values()) for r in metadata_rows(judged)], judged.schema)
+
+
+def detail_with_ids(stored: DataFrame, judged: DataFrame, run_id: str) -> DataFrame:
+    """Details of stored rows with `__found` and `__row`, the hash of the unmasked row.
+
+    Adds `dq_detail_id`, one per rule and row.
+    """
+
+    def unfold(rows: DataFrame) -> DataFrame:
+        return q.violation_detail(q.unfold_violations(rows, "__found", ["__row"]), judged)
+
     identity = F.concat_ws("#", F.lit(run_id), "rule_id", "__row")
-    return with_unique_id(detail, "dq_detail_id", identity).drop("__row")
+    return unfolded_with_unique_id(stored, "__row", unfold, "dq_detail_id", identity).drop("__row")
 
 
 def samples_as_json(samples: DataFrame) -> DataFrame:
@@ -135,7 +163,7 @@ def write_evaluated(evaluated: DataFrame, candidate_table: str, n_rules: int) ->
         F.current_timestamp().alias(CANDIDATE_STAMP),
         F.when(silent, CLEAN).otherwise(SEEN).alias(ROUTE),
     )
-    rows.write.partitionBy(ROUTE).parquet(folder)
+    tables.write_by_route(rows, ROUTE, folder)
     for route in (CLEAN, SEEN):  # a route without rows is an empty folder
         spark.createDataFrame([], rows.drop(ROUTE).schema).write.mode("append").parquet(f"{folder}/{ROUTE}={route}")
     observed = observation.get
@@ -185,19 +213,17 @@ def run_quality(
     judged = spark.createDataFrame([tuple(r.values()) for r in metadata_rows(judged)], judged.schema)
 
     seen = spark.read.schema(stored_schema(evaluated)).parquet(f"{folder}/{ROUTE}={SEEN}")
-    found = q.unfold_violations(seen, "__found", ["__row"])
-    detail = detail_with_ids(q.violation_detail(found, judged), run_id).withColumns(
+    detail = detail_with_ids(seen, judged, run_id).withColumns(
         {
             "dq_run_id": F.lit(run_id),
             "source_system": F.lit(source),
             "source_table": F.lit(table),
-            "source_batch_id": F.lit(batch),
             "created_at": stamp,
             "updated_at": stamp,
         }
     )
     detail_table = layout.table("meta", "dq_cleansing_detail")
-    tables.append(detail, detail_table, ["source_batch_id"])
+    tables.append_batch(detail, detail_table, {"source_batch_id": batch})
     written = spark.table(detail_table).filter((F.col("source_batch_id") == batch) & (F.col("dq_run_id") == run_id))
 
     results = judged.join(q.detail_counts(written), "rule_id", "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import SparkConf
@@ -52,6 +53,20 @@ def local_session(name: str, cpus: int | str = 8, memory: str = "16g") -> SparkS
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for some statements; what was set before comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name below the shared checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)

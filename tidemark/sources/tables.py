@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import rows_with_keys
-from tidemark.session import materialize, scratch_dir
+from tidemark.session import materialize, scratch_dir, setting
 
 KEY_BUCKET = "_key_bucket"
 
@@ -103,6 +103,16 @@ def partition_spec(batch: dict) -> str:
     return ", ".join(f"`{c}`={shown(v)}" for c, v in batch.items())
 
 
+def append_batch(df: DataFrame, table: str, batch: dict[str, str]) -> None:
+    """Append rows of one batch, named by its partition values. They stay where they are: nothing is shuffled or sorted."""
+    spark = df.sparkSession
+    named = df.withColumns({c: F.lit(v) for c, v in batch.items()})
+    create_empty(named, table, list(batch))
+    rows = align(named, table).drop(*batch)
+    columns = ", ".join(f"`{c}`" for c in rows.columns)
+    spark.sql(f"INSERT INTO {table} PARTITION ({partition_spec(batch)}) ({columns}) SELECT {columns} FROM {{rows}}", rows=rows)
+
+
 def replace_batch(df: DataFrame, table: str, batch: dict[str, str]) -> int:
     """Replace one batch, named by its partition values. An empty frame clears the batch. Returns its row count."""
     spark = df.sparkSession
@@ -148,6 +158,12 @@ def attach_batch(spark: SparkSession, table: str, batch: dict, folder: str) -> N
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def write_by_route(rows: DataFrame, route: str, folder: str) -> None:
+    """Files laid out by a column of few values. A task keeps a file open for each, so its rows are not sorted by it."""
+    with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "4"):
+        rows.write.partitionBy(route).parquet(folder)
+
+
 def split_write(df: DataFrame, route: Column, targets: dict[str, tuple[str, list[str]]], batch: dict) -> dict[str, int]:
     """Write a frame once and make it one batch of several tables; returns the rows of each.
 
@@ -162,7 +178,7 @@ def split_write(df: DataFrame, route: Column, targets: dict[str, tuple[str, list
         named = named.withColumns({c: F.col(c).cast(shaped.schema[c].dataType) for c in columns if c not in parts})
     folder = parts_folder(spark, next(iter(targets.values()))[0])
     rows = named.drop(*parts).withColumn("_route", route)
-    rows.write.partitionBy("_route").parquet(folder)
+    write_by_route(rows, "_route", folder)
     written = spark.read.schema(rows.schema).parquet(folder)
     counts = {r["_route"]: r["count"] for r in written.groupBy("_route").count().collect()}
     for name, (table, _) in targets.items():

@@ -10,7 +10,7 @@ from tidemark.functions import fixed_values as fixed
 from tidemark.functions.columns import joined_or_null
 from tidemark.operators import quality as q
 from tidemark.operators.rules import Rule
-from tidemark.plans.quality import detail_with_ids
+from tidemark.plans.quality import detail_with_ids, find_once
 from tidemark.session import metadata_frame, metadata_rows
 from workload import sqltext as t
 from workload.views import cte, load, view
@@ -87,7 +87,8 @@ def dq_samples_masked(spark, sf_dir):
 
 
 def detail(spark, sf_dir) -> DataFrame:
-    return q.violation_detail(found(spark, sf_dir), judged(spark, sf_dir))
+    stored, ruled = find_once(inbound(spark, sf_dir), INBOUND_RULES, code_tables(spark), "consultation_id")
+    return q.violation_detail(q.unfold_violations(stored, "__found"), ruled)
 
 
 def dq_violation_detail(spark, sf_dir):
@@ -102,9 +103,8 @@ def results(spark, sf_dir) -> DataFrame:
     """Results of both sources with the counts from the violation detail."""
     codes, parts = code_tables(spark), []
     for source, rules, key in (("inbound", INBOUND_RULES, "consultation_id"), ("outbound", OUTBOUND_RULES, "CTI_ID")):
-        rows = view(spark, sf_dir, source)
-        ruled = q.judge(q.rule_counts(rows, rules, codes), rules)
-        counts = q.detail_counts(q.violation_detail(q.violations(rows, rules, codes, key), ruled))
+        stored, ruled = find_once(view(spark, sf_dir, source), rules, codes, key)
+        counts = q.detail_counts(q.violation_detail(q.unfold_violations(stored, "__found"), ruled))
         parts.append(ruled.join(counts, "rule_id", "left"))
     return parts[0].unionByName(parts[1])
 
@@ -202,10 +202,9 @@ def cln_recheck(spark, sf_dir):
 
 def dq_detail_ids(spark, sf_dir):
     """Per rule the stored details and their different ids: as many, also for equal rows."""
-    rows = inbound(spark, sf_dir)
-    hashed = q.violations(rows, INBOUND_RULES, code_tables(spark), "consultation_id", "__row")
-    stored = detail_with_ids(q.violation_detail(hashed, judged(spark, sf_dir)), "run")
-    return stored.groupBy("rule_id").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("dq_detail_id").alias("ids"))
+    stored, ruled = find_once(inbound(spark, sf_dir), INBOUND_RULES, code_tables(spark), "consultation_id", row_hash=True)
+    detail = detail_with_ids(stored, ruled, "run")
+    return detail.groupBy("rule_id").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("dq_detail_id").alias("ids"))
 
 
 def dq_order_formats(spark, sf_dir):

@@ -87,8 +87,7 @@ def ent_merge_run(spark, sf_dir):
 def checked_layout(spark, sf_dir) -> Layout:
     """A quality run over all inbound records, landed as one batch."""
     layout = scratch_layout(spark)
-    rows = view(spark, sf_dir, "inbound").withColumn("ingest_date", F.lit(DAY))
-    store(rows, layout.table("bronze", "inbound"), ["ingest_date"])
+    tables.append_batch(view(spark, sf_dir, "inbound"), layout.table("bronze", "inbound"), {"ingest_date": DAY})
     quality.run_quality(spark, layout, "inbound", wq.INBOUND_RULES, wq.code_tables(spark))
     return layout
 
@@ -164,8 +163,7 @@ def val_run(spark, sf_dir):
 def profiled_layout(spark, sf_dir) -> Layout:
     layout = scratch_layout(spark)
     for name in wp.SPECS:
-        rows = view(spark, sf_dir, name).withColumn("ingest_date", F.lit(DAY))
-        store(rows, layout.table("bronze", name), ["ingest_date"])
+        tables.append_batch(view(spark, sf_dir, name), layout.table("bronze", name), {"ingest_date": DAY})
     masters = {"inbound": wp.master(spark)}
     profiling.run_profile(spark, layout, list(wp.SPECS.values()), DAY, masters)
     profiling.run_integrated(spark, layout, DAY)
