@@ -111,7 +111,7 @@ def landed_for_mapping(spark, sf_dir) -> tuple[Layout, MappingRun]:
     layout = scratch_layout(spark)
     for name, key in (("inbound", "consultation_id"), ("outbound", "CTI_ID")):
         rows = wm.with_lineage(view(spark, sf_dir, name), name, key, F.lit(LINEAGE_DAY))
-        store(rows, layout.table("silver_candidate", name), ["_source_batch_id"])
+        tables.append_batch(rows, layout.table("silver_candidate", name), {"_source_batch_id": LINEAGE_DAY})
     return layout, MappingRun(spark, layout, wm.model_frame(spark), wm.rule_frame(spark), wm.code_frame(spark))
 
 
