@@ -53,3 +53,13 @@ def test_any_keys_against_a_dictionary(spark, layout):
     assert len(zones.zone_names(spark, table)) > 4
     nothing = spark.createDataFrame([], "a string, n int, v string")
     assert zones.upsert(nothing, table, ["a", "n"])["touched_zones"] == 0 and content(spark, table, ["a", "n"]) == want
+
+
+def test_the_number_of_zones_does_not_grow_with_the_table(spark, layout, monkeypatch):
+    monkeypatch.setattr(zones, "ZONES", 10)
+    table = layout.table("gold", "bounded")
+    rows = spark.range(2000).select(F.format_string("K-%06d", "id").alias("k"), F.lit("old").alias("v"))
+    assert zones.upsert(rows, table, ["k"], zone_rows=20)["zones"] == 10
+    more = spark.range(1900, 4000).select(F.format_string("K-%06d", "id").alias("k"), F.lit("new").alias("v"))
+    assert zones.upsert(more, table, ["k"], zone_rows=20)["zones"] < 20
+    assert content(spark, table, ["k"]) == {(f"K-{i:06d}",): "old" if i < 1900 else "new" for i in range(4000)}

@@ -5,7 +5,8 @@ which the catalog keeps, is the zone map: it cannot differ from the data, and no
 last zone whose name is not above it; it is found by a binary search over the names. Neighbouring keys share zones, unlike
 with hash buckets. A zone that has grown beyond twice the wanted size is split where it is rewritten anyway, at keys that cut its rows evenly.
 
-Zones are metadata: their number is limited like that of other metadata, and the wanted size is to be chosen accordingly.
+Zones are metadata, and each costs a change of the catalog. So their number does not grow with the table: once it has more rows
+than `ZONES` zones of the wanted size, the size that zones are split at grows with it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from tidemark.sources import tables
 ZONE = "_zone"
 FIRST = "{}"  # a key of NULLs, below which there is none
 ZONE_ROWS = 1_000_000
+ZONES = 500
 
 
 def zone_names(spark: SparkSession, table: str) -> list[str]:
@@ -80,7 +82,9 @@ def upsert(df: DataFrame, table: str, keys: list[str], removed: DataFrame | None
     held = spark.table(table).filter(F.col(ZONE).isin(touched)) if touched else spark.table(table).limit(0)
     kept = rows_with_keys(held, keys, leaving.select(*keys), "left_anti")
     staged = materialize(kept.unionByName(rows))
-    cuts = split_points(staged, keys, zone_rows)
+    apart = spark.table(table).filter(~F.col(ZONE).isin(touched)) if touched else spark.table(table)
+    total = apart.count() + staged.count()  # from the footers of the files
+    cuts = split_points(staged, keys, max(zone_rows, -(-total // ZONES)))
     if cuts:
         staged = staged.withColumn(ZONE, zone_of(staged, keys, [*names, *cuts]))
     tables.replace_batches(staged, table, [ZONE])
