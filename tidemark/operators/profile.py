@@ -208,23 +208,43 @@ def unusual_values(distribution: DataFrame) -> DataFrame:
     return rows.orderBy("column_name", F.desc("count"), "value")
 
 
-def duplicate_key_values(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Repeated keys with their row counts, most frequent first."""
-    return key_counts(df, keys).filter(F.col("count") > 1).orderBy(F.desc("count"), *keys)
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, count) of the keys with more than one row; both duplicate profiles can be made from it."""
+    return key_counts(df, keys).filter(F.col("count") > 1)
 
 
-def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
+def duplicate_key_values(df: DataFrame, keys: list[str], repeated: DataFrame | None = None) -> DataFrame:
+    """Repeated keys with their row counts, most frequent first. `repeated` has the `repeated_keys`, where they are known."""
+    found = repeated_keys(df, keys) if repeated is None else repeated
+    return found.orderBy(F.desc("count"), *keys)
+
+
+def duplicate_summary(df: DataFrame, keys: list[str], repeated: DataFrame | None = None) -> DataFrame:
     """(metric, value) rows about repeated rows and keys.
 
     Rows that are equal as a whole also share their key, so only rows with a repeated key are compared as a whole;
-    the others are distinct by definition and only their narrow keys are shuffled.
+    the others are distinct by definition and only their narrow keys are shuffled. `repeated` has the `repeated_keys`,
+    where they are known: then no key is counted again.
     """
-    counts = key_counts(df, keys, "n")
-    repeated = F.col("n") > 1
-    shared = rows_with_keys(df, keys, counts.filter(repeated).select(*keys))
+    found = repeated_keys(df, keys) if repeated is None else repeated
+    shared = rows_with_keys(df, keys, found.select(*keys))
     whole = shared.distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    totals = _key_totals(counts, keys)
-    return _duplicate_metrics(totals.withColumn("distinct_row_count", F.col("single_keys") + whole), keys)
+    sums = found.agg(
+        F.struct(
+            F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("keys"),
+            F.coalesce(F.max("count"), F.lit(0)).alias("most"),
+        ).alias("s")
+    ).scalar()
+    missing = any_of([F.col(k).isNull() for k in keys])
+    totals = df.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(missing).alias("key_null_count")).withColumn("s", sums)
+    metrics = {
+        "distinct_row_count": F.col("row_count") - F.col("s.rows") + whole,
+        "duplicate_key_value_count": F.col("s.keys"),
+        "duplicate_extra_count": F.col("s.rows") - F.col("s.keys"),
+        "max_duplicate_count": F.col("s.most"),
+    }
+    return _duplicate_metrics(totals.withColumns(metrics), keys)
 
 
 def row_states(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,14 +19,16 @@ KINDS = (
 def profile_frame(
     df: DataFrame, spec: p.TableProfile, batch: str, code_master: DataFrame | None = None, staged: bool = True
 ) -> dict[str, DataFrame]:
-    """All profile results of a frame. The value counts are written once and serve every column metric."""
+    """All profile results of a frame. The value counts and the repeated keys are written once and serve every metric."""
     counts = p.value_counts(df, list(spec.column_roles), spec.columns_with("TEXT"))
-    counts = materialize(counts) if staged else counts
+    repeated = p.repeated_keys(df, spec.key_columns)
+    if staged:
+        counts, repeated = materialize(counts), materialize(repeated)
     out = {
         "summary": p.table_summary(df, spec, batch),
         "column_profile": p.column_profile(counts, spec),
-        "duplicate_summary": p.duplicate_summary(df, spec.key_columns),
-        "duplicate_key_rows": p.duplicate_key_values(df, spec.key_columns),
+        "duplicate_summary": p.duplicate_summary(df, spec.key_columns, repeated),
+        "duplicate_key_rows": p.duplicate_key_values(df, spec.key_columns, repeated),
     }
     if spec.columns_with("CODE"):
         out["categorical_distribution"] = p.categorical_distribution(counts, spec, code_master)
