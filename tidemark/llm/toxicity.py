@@ -60,16 +60,26 @@ def distinct(owner: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys >> SLOT_BITS, keys & ((1 << SLOT_BITS) - 1)
 
 
+def once_each(owner: np.ndarray, slot: np.ndarray, texts: int, place: np.ndarray) -> Iterator[np.ndarray]:
+    """Per text its different slots, in no order. Of equal slots the last one written to `place` stays; nothing is sorted by slot."""
+    order = np.argsort(owner, kind="stable")  # a few sorted runs
+    slot, first = slot[order], np.searchsorted(owner[order], np.arange(texts + 1))
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        own, at = slot[a:b], np.arange(b - a, dtype=place.dtype)
+        place[own] = at
+        yield own[place[own] == at]
+
+
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents by slot, for toxic and other ones, and how many there are of either."""
     counts = {name: np.zeros(1 << SLOT_BITS, np.int64) for name in ("toxic", "other")}
-    documents = np.zeros(2, np.int64)
+    documents, place = np.zeros(2, np.int64), np.empty(1 << SLOT_BITS, np.int32)
     for batch in batches:
         for part in pieces(batch, "text"):
             toxic = part.column("toxic").to_numpy(zero_copy_only=False) > 0
-            owner, slot = distinct(*ngram_slots(part.column("text")))
-            for name, which in (("toxic", toxic), ("other", ~toxic)):
-                counts[name] += np.bincount(slot[which[owner]], minlength=1 << SLOT_BITS)
+            owner, slot = ngram_slots(part.column("text"))
+            for said, slots in zip(toxic, once_each(owner, slot, part.num_rows, place), strict=True):
+                counts["toxic" if said else "other"][slots] += 1
             documents += [int(toxic.sum()), int((~toxic).sum())]
     yield block_batch({**counts, "documents": documents})
 
