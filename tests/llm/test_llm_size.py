@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import toxicity
+from tidemark.llm import ngram_join, toxicity
 from tidemark.llm.counts import filled
 
 
@@ -27,3 +27,31 @@ def test_ngrams_are_counted_without_sorting_them(monkeypatch):
     for name, counts in want.items():
         assert np.array_equal(filled(blocks[name], 1 << toxicity.SLOT_BITS), counts)
     assert filled(blocks["documents"], 2).tolist() == [6, 12]
+
+
+def test_candidates_that_cannot_reach_the_threshold_are_not_compared(spark, monkeypatch):
+    random = np.random.default_rng(3)
+    texts = [" ".join(random.choice(list("ab"), random.integers(12, 30))) for _ in range(150)]
+    texts += [t + " b" for t in texts[:20]] + texts[:5]
+    asked, links = [], ngram_join.Verifier.links
+
+    def recorded(self, pairs):
+        asked.append(pairs.count())
+        return links(self, pairs)
+
+    monkeypatch.setattr(ngram_join.Verifier, "links", recorded)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_groups(docs).collect()}
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+    lowest = list(range(len(texts)))
+    for _ in texts:
+        before = lowest[:]
+        for i, s in enumerate(sets):
+            for j, other in enumerate(sets):
+                if 100 * len(s & other) >= 80 * len(s | other):
+                    lowest[i] = min(lowest[i], lowest[j])
+        if lowest == before:
+            break
+    assert got == dict(enumerate(lowest))
+    assert asked[0] < 200  # 237 pairs share an n-gram with the first class that has it, and have like sizes

@@ -5,12 +5,13 @@
 2. Classes. Documents with equal sets are one class; the class meets the others once, not once per copy.
 3. Candidates. Two sets that reach the threshold share an n-gram among the first n - ceil(t*n) + 1 of each in the global
    order. Only these prefixes are shuffled. N-grams that stand in the prefix of one document only drop out by an
-   aggregate; what is left links each class to the smallest one of its n-gram (a star, not all pairs).
+   aggregate; what is left links each class to the smallest one of its n-gram (a star, not all pairs), if lengths and
+   prefix positions allow the threshold.
 4. Overlaps. The sets of the candidates are cut along the fragments. The overlap of a pair is counted fragment by
    fragment, each on its own, and the partial overlaps are summed per pair. The comparison is in whole numbers.
-5. Components of the verified links. A pair of one n-gram that is not yet in one component is then a candidate too, if
-   lengths and prefix positions allow the threshold, and verified in the same way. So no link between different
-   components is missed, and pairs inside a component are never spelled out.
+5. Components of the verified links. A pair of one n-gram that is not yet in one component is then a candidate too, under
+   the same condition, and verified in the same way. So no link between different components is missed, and pairs inside
+   a component are never spelled out.
 
 Filters of fixed size keep n-grams that only one document has, and sets of documents that no candidate needs, out of the
 shuffles; what they let through by chance falls out in exact joins.
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.counts import COUNTED, bit_filter, block_batch, filled, has_bit, summed_tables
@@ -194,11 +195,19 @@ class Verifier:
         partial = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("part").alias("part"))
         overlap = partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
         union = F.col("na") + F.col("nb") - F.col("both")
-        return materialize(overlap.filter(F.col("both") * 100 >= union * self.percent).select("a", "b"))
+        found = materialize(overlap.filter(F.col("both") * 100 >= union * self.percent).select("a", "b"))
+        needed.destroy()
+        return found
 
 
-def near_sizes(na, nb, percent: int):
-    return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
+def reachable(na: Column, nb: Column, pos_a: Column, pos_b: Column, percent: int) -> Column:
+    """May two sets of these sizes reach the threshold, if the n-gram at these positions is their first common one?
+
+    For a linked pair this holds at the first common n-gram of both sets, which stands in both prefixes: all common ones
+    are at it or behind it, and must be percent/(100 + percent) of both sizes together.
+    """
+    most = 1 + F.least(na - 1 - pos_a, nb - 1 - pos_b)
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (most * (100 + percent) >= (na + nb) * percent)
 
 
 def similar_groups(docs: DataFrame, text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -215,6 +224,7 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = SIZE, percen
 
     sets = texts.mapInArrow(prefix_rows(order, size, percent), SETS)
     sets = materialize(sets.withColumn("row", F.monotonically_increasing_id()))
+    order.destroy()
     filled_sets = sets.filter("n > 0")
     classes = materialize(
         filled_sets.groupBy("d1", "d2").agg(
@@ -224,20 +234,25 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = SIZE, percen
     class_of = materialize(
         filled_sets.select("doc_id", "row", "n", "d1", "d2").join(classes.select("cid", "d1", "d2"), ["d1", "d2"]).select("row", "cid")
     )
-    postings = filled_sets.select("row", F.explode("prefix").alias("gram"))
-    several = postings.groupBy("gram").agg(F.min("row").alias("least"), F.max("row").alias("most"))
-    shared = materialize(several.filter("least <> most").select("gram"))
+    # A prefix has an n-gram once, so counting rows tells whether several documents have it.
+    postings = filled_sets.select(F.explode("prefix").alias("gram"))
+    several = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("documents"))
+    shared = materialize(several.filter("documents > 1").select("gram"))
     passing = spark.sparkContext.broadcast(bit_filter(shared, "gram", FILTER_BITS))
     met = filled_sets.select("row", "n", "prefix").mapInArrow(shared_postings(passing), POSTINGS)
     met = met.join(shared, "gram").join(class_of, "row")
     met = materialize(met.select("gram", "cid", "n", "pos").distinct())
+    passing.destroy()
 
-    centre = met.groupBy("gram").agg(F.min(F.struct("cid", "n")).alias("centre"))
-    star = met.join(centre, "gram").select(
+    centre = met.groupBy("gram").agg(F.min(F.struct("cid", "n", "pos")).alias("centre"))
+    star = met.join(centre, "gram").filter(F.col("cid") != F.col("centre.cid"))
+    star = star.filter(reachable(F.col("centre.n"), F.col("n"), F.col("centre.pos"), F.col("pos"), percent))
+    star = star.select(
         F.col("centre.cid").alias("a"), F.col("cid").alias("b"), F.col("centre.n").alias("na"), F.col("n").alias("nb")
     )
-    star = materialize(star.filter((F.col("a") != F.col("b")) & near_sizes(F.col("na"), F.col("nb"), percent)).distinct())
-    verifier = Verifier(texts, classes, spark.sparkContext.broadcast(fragment_of), size, percent)
+    star = materialize(star.distinct())
+    fragments = spark.sparkContext.broadcast(fragment_of)
+    verifier = Verifier(texts, classes, fragments, size, percent)
     links = verifier.links(star)
 
     labels = components(links)
@@ -248,17 +263,16 @@ def similar_groups(docs: DataFrame, text: str = "text", size: int = SIZE, percen
     left = materialize(marked.join(apart.select("gram"), "gram"))
     x, y = left.alias("x"), left.alias("y")
     na, nb = F.col("x.n"), F.col("y.n")
-    # The n-gram at hand is the first common one of a linked pair in some pair of prefixes: with all that follows it, the
-    # overlap must reach percent/(100 + percent) of both sizes together.
-    reach = 1 + F.least(na - 1 - F.col("x.pos"), nb - 1 - F.col("y.pos"))
     other = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cid") < F.col("y.cid"))
-    other = other & (F.col("x.component") != F.col("y.component")) & near_sizes(na, nb, percent)
-    other = other & (reach * (100 + percent) >= (na + nb) * percent)
+    other = other & (F.col("x.component") != F.col("y.component")) & reachable(na, nb, F.col("x.pos"), F.col("y.pos"), percent)
     rest = x.join(y, other).select(
         F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), na.alias("na"), nb.alias("nb")
     )
     rest = materialize(rest.distinct().join(star.select("a", "b"), ["a", "b"], "left_anti"))
-    final = components(links.union(verifier.links(rest)))
+    more = verifier.links(rest)
+    fragments.destroy()
+    # Without a further link the components stand as they are.
+    final = labels if more.isEmpty() else components(links.union(more))
 
     named = classes.join(final, F.col("cid") == F.col("node"), "left").select(
         "cid", "first_doc", F.coalesce("component", "cid").alias("component")
