@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import ngram_join, toxicity
+from tidemark.llm import ngram_join, recurrent_lm, toxicity
 from tidemark.llm.counts import filled
 
 
@@ -55,3 +55,40 @@ def test_candidates_that_cannot_reach_the_threshold_are_not_compared(spark, monk
             break
     assert got == dict(enumerate(lowest))
     assert asked[0] < 200  # 237 pairs share an n-gram with the first class that has it, and have like sizes
+
+
+def test_broadcasts_of_the_join_go_with_their_step(spark, monkeypatch):
+    made, gone = [], []
+    context, kind = type(spark.sparkContext), type(spark.sparkContext.broadcast(0))
+    broadcast, destroy = context.broadcast, kind.destroy
+
+    def recorded(self, value):
+        shared = broadcast(self, value)
+        if not isinstance(value, bytes):  # Spark sends large functions as bytes
+            made.append(shared)
+        return shared
+
+    monkeypatch.setattr(context, "broadcast", recorded)
+    monkeypatch.setattr(kind, "destroy", lambda self, *how: gone.append(self) or destroy(self, *how))
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('one two three four five six seven eight nine ', id % 20) AS text")
+    assert ngram_join.similar_groups(docs).count() == 60
+    assert len(made) >= 3 and {id(b) for b in made} == {id(b) for b in gone}
+
+
+def test_a_window_of_training_has_many_lanes(monkeypatch):
+    vocabulary = recurrent_lm.Vocabulary(
+        None, np.array([5, 3, 1, 0]), 2, 11, 4, np.zeros(16, np.int64), np.zeros(16, np.int64), None, np.append(np.arange(18), 20), np.append(np.arange(17), [17] * 3)
+    )
+    trained, window = [], recurrent_lm.train_window
+
+    def recorded(w, v, ids, begins, state):
+        trained.append(ids.size)
+        return window(w, v, ids, begins, state)
+
+    monkeypatch.setattr(recurrent_lm, "train_window", recorded)
+    ids = np.random.default_rng(1).integers(0, 20, 16 * 128 * 4)
+    weights = recurrent_lm.initial_weights(vocabulary)
+    squares = {name: np.full(value.shape, 0.1, np.float32) for name, value in weights.items()}
+    recurrent_lm.train_stream(weights, vocabulary, ids, np.zeros(len(ids), bool), squares)
+    assert sum(trained) == len(ids) and len(trained) <= 4
+    assert all(np.isfinite(w).all() for w in weights.values())

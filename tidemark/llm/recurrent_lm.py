@@ -46,7 +46,8 @@ HIDDEN = 32
 CLASSES = 48  # of words with embeddings
 OTHER = 16  # classes of words without
 WINDOW = 16
-TRAIN_LANES = 32
+TRAIN_LANES = 128
+GRADIENT_LANES = 32  # of whose gradients the mean is taken at most; of more lanes the sum is larger
 ROUNDS = 2
 RATE = 0.3
 DISCOUNT = 0.75
@@ -312,7 +313,7 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, begins: np.ndarray, sq
         grads, read, state = train_window(w, v, ids[at : at + WINDOW], begins[at : at + WINDOW], state)
         for name, grad in grads.items():
             rows = read if name == "embed" else slice(None)
-            grad = np.clip(grad / lanes, -1, 1)
+            grad = np.clip(grad / min(lanes, GRADIENT_LANES), -1, 1)
             squares[name][rows] += grad * grad
             w[name][rows] -= RATE * grad / np.sqrt(squares[name][rows])
     if len(rest):  # fewer words than lanes
