@@ -46,7 +46,7 @@ def summed_tables(counted: DataFrame) -> dict[str, dict[int, np.ndarray]]:
     """Per table its blocks by number, from a frame of blocks as the tasks made them."""
     found: dict[str, dict[int, np.ndarray]] = {}
     for row in counted.groupBy("name", "block").applyInArrow(add_blocks, COUNTED).collect():
-        found.setdefault(row.name, {})[row.block] = np.frombuffer(bytes(row.counts), "<i8")
+        found.setdefault(row.name, {})[row.block] = np.frombuffer(row.counts, "<i8")
     return found
 
 
