@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import any_of
+from tidemark.operators.keys import filter_of, flag_like
 from tidemark.session import materialize, metadata_frame
 
 SLICE_BITS = 16
-FILTER_BITS = 28  # of the filter for hashes that differ: 32 MB at most
-MAP_BITS = 15  # of a bitmap of `bitmap_construct_agg`
 VOLATILE_COLUMNS = ("_mapping_run_id", "_mapped_at")
 
 
@@ -59,19 +58,9 @@ def _unequal(rows: DataFrame, slices: list[str], hashes: tuple[str, ...] = ("__h
     return digests.filter(any_of([F.col(c) != 0 for c in names])).select(*slices)
 
 
-def _place(rows: DataFrame) -> DataFrame:
-    """Adds `__map` and `__bit`, the place of the hash `__h` in the filter."""
-    at = F.shiftrightunsigned("__h", 64 - FILTER_BITS)
-    bit = at.bitwiseAND(F.lit((1 << MAP_BITS) - 1)).cast("int")
-    return rows.withColumns({"__map": F.shiftright(at, MAP_BITS).cast("int"), "__bit": bit})
-
-
 def _with_hash_like(rows: DataFrame, hashes: DataFrame) -> DataFrame:
-    """Rows whose `__h` is among the hashes, and by chance some others: a filter of bitmaps is sent to the rows, which stay in place."""
-    bitmaps = materialize(_place(hashes).groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
-    byte = F.expr("CAST(conv(hex(substring(__bits, __bit DIV 8 + 1, 1)), 16, 10) AS INT)")
-    met = _place(rows).join(F.broadcast(bitmaps), "__map")  # at most 2 ** (FILTER_BITS - MAP_BITS) bitmaps of 4 KB
-    return met.filter(F.call_function("shiftright", byte, F.expr("__bit % 8")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+    """Rows whose `__h` is among the hashes, and by chance some others: a filter of fixed size is sent to the rows, which stay in place."""
+    return flag_like(rows, F.col("__h"), filter_of(hashes), "__like").filter("__like").drop("__like")
 
 
 def row_difference_by_digest(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import joined_or_null
 from tidemark.operators import diff
 from tidemark.operators import validation as v
-from tidemark.operators.keys import duplicate_keys
+from tidemark.operators.keys import duplicate_keys, rows_and_values
 from tidemark.operators.model import TargetModel
 from workload.views import cte, load, view
 
@@ -60,7 +60,8 @@ def val_missing_parent(spark, sf_dir):
 
 
 def val_trace(spark, sf_dir):
-    trace = v.migration_trace(checked(spark, sf_dir).frame, "COUNSEL", "CNSL_ID", "run", stored=True)
+    found = checked(spark, sf_dir)
+    trace = v.migration_trace(found.frame, "COUNSEL", "CNSL_ID", "run", stored=True, unique=v.unique_rule(found.rules, "CNSL_ID"))
     return trace.drop("TRC_ID", "LOAD_DTM")
 
 
@@ -68,9 +69,9 @@ def val_trace_ids(spark, sf_dir):
     """Trace rows and their different ids, on records that all come twice."""
     rows = view(spark, sf_dir, "counsel")
     found = {"CUSTOMER": view(spark, sf_dir, "customer_parent")}
-    twice = v.validate(rows.unionAll(rows), "COUNSEL", MODEL, found, ORDER, REPAIR).frame
-    trace = v.migration_trace(twice, "COUNSEL", "CNSL_ID", "run", stored=True)
-    return trace.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.unhex("TRC_ID")).alias("ids"))
+    twice = v.validate(rows.unionAll(rows), "COUNSEL", MODEL, found, ORDER, REPAIR)
+    trace = v.migration_trace(twice.frame, "COUNSEL", "CNSL_ID", "run", stored=True, unique=v.unique_rule(twice.rules, "CNSL_ID"))
+    return rows_and_values(trace, "TRC_ID", "rows", "ids")
 
 
 def versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
