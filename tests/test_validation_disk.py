@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_plans import plan_of
 from tidemark.operators import keys as k
 from tidemark.operators import validation as v
+from tidemark.sources import zones
 from workload import validation as wv
 from workload.views import view
 
@@ -92,3 +93,14 @@ def test_different_values_are_counted_exactly(spark):
     finally:
         k.materialize = write
     assert tuple(found) == (500, 500) and not plan  # nothing is compared as it is
+
+def test_first_rows_of_a_zoned_table_are_not_copied(spark, layout, monkeypatch):
+    written, write = [], zones.materialize
+    monkeypatch.setattr(zones, "materialize", lambda df: (written.append(df.columns), write(df))[1])
+    rows = write(spark.range(300).select(F.format_string("K-%06d", "id").alias("k"), F.lit("old").alias("v")))
+    table = layout.table("gold", "fresh")
+    assert zones.upsert(rows, table, ["k"], rows.limit(1).select(F.lit("gone").alias("k")), 50, stored=True) == {"touched_zones": 1, "zones": 6}
+    assert not written and spark.table(table).count() == 300
+    later = write(spark.range(290, 310).select(F.format_string("K-%06d", "id").alias("k"), F.lit("new").alias("v")))
+    zones.upsert(later, table, ["k"], zone_rows=50, stored=True)
+    assert spark.table(table).filter("v = 'new'").count() == 20 and spark.table(table).count() == 310

@@ -9,7 +9,7 @@ from tidemark.operators import validation as v
 from tidemark.operators.model import TargetModel
 from tidemark.plans.layout import Layout
 from tidemark.plans.quality import new_run_id
-from tidemark.session import materialize
+from tidemark.session import compact, materialize
 from tidemark.sources import tables, zones
 
 # Order rules between columns that the model cannot express.
@@ -35,24 +35,28 @@ def run_validation(
 ) -> dict:
     """Check a mapped table and write it: good rows replace gold rows of the same key, the rest is quarantined.
 
-    The checked rows are written to scratch once and feed all three outputs. Quarantine is replaced for every batch
+    The checked rows are written to scratch once, with what was found, and feed all three outputs. Quarantine is replaced for every batch
     that was processed, also when nothing failed now, and gold rows whose key failed now are removed. Gold tables
     are laid out by ranges of the key with about `zone_rows` rows each, and an upsert rewrites only the ranges that its keys
     fall into.
     """
-    target = target.upper()
-    candidate = spark.table(layout.table("gold_candidate", target))
+    with compact(spark):
+        return _run_validation(spark, layout, model, target.upper(), job_run_id, zone_rows)
+
+
+def _run_validation(spark, layout: Layout, model: TargetModel, target: str, job_run_id: str | None, zone_rows: int) -> dict:
+    candidate, repair = spark.table(layout.table("gold_candidate", target)), PRIMARY_KEY_REPAIRS.get(target)
     checked = v.validate(
         candidate,
         target,
         model,
         parents_in_gold(spark, layout, model),
         BUSINESS_ORDER.get(target, []),
-        PRIMARY_KEY_REPAIRS.get(target),
+        repair,
     )
     run_id = new_run_id("VAL", target.lower())
     runs = {"_validation_run_id": F.lit(run_id), "_job_run_id": F.lit(job_run_id).cast("string")}
-    rows = materialize(checked.frame.withColumns(runs))
+    rows = (checked.frame if repair else materialize(checked.frame)).withColumns(runs)  # with a repair, they are stored already
     names = [c.name for c in model.columns(target)]
     pk = model.require_key(target, "PK")
     for stage in ("gold", "gold_quarantine"):
@@ -60,7 +64,7 @@ def run_validation(
 
     good, bad = v.passed(rows), v.failed(rows)
     gold_table, held_table = layout.table("gold", target), layout.table("gold_quarantine", target)
-    zones.upsert(good.select(*names, *runs), gold_table, [pk], bad.select(pk), zone_rows)
+    zones.upsert(good.select(*names, *runs), gold_table, [pk], bad.select(pk), zone_rows, stored=True)
 
     held = bad.select(*names, *v.TRACE_LINEAGE, "_violations", *runs)
     tables.replace_batches(held, held_table, PARTITION)
@@ -69,7 +73,8 @@ def run_validation(
         tables.drop_batch(spark, held_table, batch.asDict())
 
     trace_table = layout.table("gold", "migration_trace")
-    tables.append(v.migration_trace(rows, target, pk, run_id, stored=True), trace_table)
+    trace = v.migration_trace(rows, target, pk, run_id, stored=True, unique=v.unique_rule(checked.rules, pk))
+    tables.append(trace, trace_table)
     summary = v.reconcile(candidate, rows).first().asDict()
     counts = {r["rule_id"]: r["violations"] for r in v.violations_by_rule(rows).collect()}  # one row per rule
     return {

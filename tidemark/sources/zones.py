@@ -63,32 +63,38 @@ def split_points(rows: DataFrame, keys: list[str], zone_rows: int) -> list[str]:
     return [r["name"] for r in metadata_rows(cuts.select(F.to_json(F.struct(*keys)).alias("name")).distinct())]
 
 
-def upsert(df: DataFrame, table: str, keys: list[str], removed: DataFrame | None = None, zone_rows: int = ZONE_ROWS) -> dict:
+def upsert(
+    df: DataFrame, table: str, keys: list[str], removed: DataFrame | None = None, zone_rows: int = ZONE_ROWS, stored: bool = False
+) -> dict:
     """Rows of the frame take the place of rows with the same key; keys of `removed` disappear as well.
 
-    Only zones that one of these keys falls into are read and written. Returns their number and that of all zones.
+    Only zones that one of these keys falls into are read and written. Returns their number and that of all zones. The frame is read
+    several times, so it is written once unless it is `stored`: read from files. Of a table without zones nothing is replaced.
     """
     spark = df.sparkSession
     tables.create_empty(df.withColumn(ZONE, F.lit(FIRST)), table, [ZONE])
     names = zone_names(spark, table)
     rows = tables.align(df.withColumn(ZONE, F.lit(FIRST)), table).drop(ZONE)
-    rows = materialize(rows.withColumn(ZONE, zone_of(rows, keys, names)))
+    rows = rows.withColumn(ZONE, zone_of(rows, keys, names))
+    rows = rows if stored else materialize(rows)
     leaving = rows.select(*keys, ZONE)
     if removed is not None:
         gone = removed.select(*[F.col(k).cast(rows.schema[k].dataType).alias(k) for k in keys])
         leaving = leaving.unionByName(gone.withColumn(ZONE, zone_of(gone, keys, names)))
-    leaving = materialize(leaving.distinct())
+    if names:
+        leaving = materialize(leaving.distinct())
     touched = [r[ZONE] for r in metadata_rows(leaving.select(ZONE).distinct())]
-    held = spark.table(table).filter(F.col(ZONE).isin(touched)) if touched else spark.table(table).limit(0)
-    kept = rows_with_keys(held, keys, leaving.select(*keys), "left_anti")
-    staged = materialize(kept.unionByName(rows))
+    staged, replaced = rows, set(touched) & set(names)
+    if replaced:
+        held = spark.table(table).filter(F.col(ZONE).isin(touched))
+        staged = materialize(rows_with_keys(held, keys, leaving.select(*keys), "left_anti").unionByName(rows))
     apart = spark.table(table).filter(~F.col(ZONE).isin(touched)) if touched else spark.table(table)
     total = apart.count() + staged.count()  # from the footers of the files
     cuts = split_points(staged, keys, max(zone_rows, -(-total // ZONES)))
     if cuts:
         staged = staged.withColumn(ZONE, zone_of(staged, keys, [*names, *cuts]))
     tables.replace_batches(staged, table, [ZONE])
-    left = {r[ZONE] for r in metadata_rows(staged.select(ZONE).distinct())}
-    for name in sorted(set(touched) & set(names) - left):  # emptied zones fall to the one before
+    left = {r[ZONE] for r in metadata_rows(staged.select(ZONE).distinct())} if replaced else set()
+    for name in sorted(replaced - left):  # emptied zones fall to the one before
         tables.drop_batch(spark, table, {ZONE: name})
     return {"touched_zones": len(touched), "zones": len(zone_names(spark, table))}
