@@ -65,7 +65,8 @@ class EntityStore:
         columns = self.spark.table(self.records).columns
         fill = [c for c in columns if not c.startswith("_") and c not in (*keys, self.id_column)]
         usable = entity.matchable(fresh, keys)
-        timed = entity.with_reference_time(usable.drop(self.id_column), reference)
+        # A record is timed by its lineage key, which names its batch, so the times of other batches are left out.
+        timed = entity.with_reference_time(usable.drop(self.id_column), self._of_batches(reference, PARTITION, batches))
         parts = [F.col(c).alias(p) for c, p in zip(PARTITION, STATE_PARTITION)]
         fresh_states = materialize(merge_records(timed.select("*", *parts), keys, fill, STATE_PARTITION))
 
@@ -87,8 +88,9 @@ class EntityStore:
         risen = materialize(rows_with_keys(rows_with_keys(others, keys, now), keys, was, "left_anti"))
         fallen = materialize(rows_with_keys(rows_with_keys(others, keys, was), keys, now, "left_anti"))
 
-        self._trace(fresh, usable, merged, batches, risen, fallen)
-        self._set_aside(fresh, usable, groups.filter("_conflict").select(*keys), batches, risen, fallen)
+        placed = self._placed(usable, merged, groups.filter("_conflict"))
+        self._trace(placed, merged, batches, risen, fallen)
+        self._set_aside(fresh, placed, batches, risen, fallen)
         tables.upsert(merged, self.entities, keys, touched)
         return {"merged_rows": merged.count(), "touched_keys": touched.count()}
 
@@ -113,8 +115,15 @@ class EntityStore:
         chosen = [F.col(PARTITION[0]).eqNullSafe(F.lit(s)) & F.col(PARTITION[1]).eqNullSafe(F.lit(b)) for s, b in batches]
         return rows_with_keys(records.filter(~any_of(chosen)), self.keys, keys)
 
-    def _trace(self, fresh: DataFrame, usable: DataFrame, merged: DataFrame, batches, risen: DataFrame, fallen: DataFrame) -> None:
-        lineage = materialize(entity.entity_lineage(usable, merged, self.keys, self.id_column, self.target))
+    def _placed(self, usable: DataFrame, merged: DataFrame, in_conflict: DataFrame) -> DataFrame:
+        """Each record with the id of its entity as `__pk`, NULL where its key is in conflict. Records meet the keys once."""
+        ids = merged.select(*self.keys, F.col(self.id_column).alias("__pk"))
+        ids = ids.unionByName(in_conflict.select(*self.keys, F.lit(None).cast("string").alias("__pk")))
+        return materialize(usable.join(ids, self.keys, "inner").select(*usable.columns, "__pk"))
+
+    def _trace(self, placed: DataFrame, merged: DataFrame, batches, risen: DataFrame, fallen: DataFrame) -> None:
+        entries = placed.filter("__pk IS NOT NULL").withColumn("TARGET_ENTITY", F.lit(self.target))
+        lineage = entries.select(*LINEAGE_KEY, "TARGET_ENTITY", F.col("__pk").alias("TARGET_PK"))
         stored = self._table(self.lineage, lineage, PARTITION)
         for system, batch in batches:
             part = dict(zip(PARTITION, (system, batch)))
@@ -123,10 +132,15 @@ class EntityStore:
         gone = self._older(fallen, batches).select(*LINEAGE_KEY)
         tables.upsert(materialize(added.select(*stored.columns)), self.lineage, LINEAGE_KEY, materialize(gone))
 
-    def _set_aside(self, fresh: DataFrame, usable: DataFrame, in_conflict: DataFrame, batches, risen: DataFrame, fallen: DataFrame) -> None:
+    def _set_aside(self, fresh: DataFrame, placed: DataFrame, batches, risen: DataFrame, fallen: DataFrame) -> None:
         """Records without a full key or with a key in conflict are unmatched; those of merged entities no longer are."""
-        aside = entity.unmatchable(fresh, self.keys).unionByName(rows_with_keys(usable, self.keys, in_conflict))
+        aside = entity.unmatchable(fresh, self.keys).unionByName(placed.filter("__pk IS NULL").drop("__pk"))
         rows = aside.unionByName(self._older(fallen, batches))
-        settled = rows_with_keys(usable, self.keys, in_conflict, "left_anti").unionByName(self._older(risen, batches))
-        self._table(self.unmatched, rows, PARTITION)
-        tables.upsert(materialize(rows), self.unmatched, LINEAGE_KEY, materialize(settled.select(*LINEAGE_KEY)))
+        settled = self._older(risen, batches).select(*LINEAGE_KEY)
+        stored = self._table(self.unmatched, rows, PARTITION)
+        # Of the merged records only those matter that a merge before has set aside; mostly there are none.
+        before = materialize(self._of_batches(stored, PARTITION, batches).select(*LINEAGE_KEY).distinct())
+        if not before.isEmpty():
+            merged = placed.filter("__pk IS NOT NULL").select(*LINEAGE_KEY)
+            settled = settled.unionByName(rows_with_keys(before, LINEAGE_KEY, merged))
+        tables.upsert(materialize(rows), self.unmatched, LINEAGE_KEY, materialize(settled))

@@ -294,7 +294,10 @@ def upsert(df: DataFrame, table: str, keys: list[str], removed: DataFrame | None
     if not parts:
         overwrite_staged(rows_with_keys(existing, keys, outgoing, "left_anti").unionByName(rows), table)
         return
-    held = rows_with_keys(existing.select(*parts, *[k for k in keys if k not in parts]), keys, outgoing).select(*parts)
+    near = existing.select(*parts, *[k for k in keys if k not in parts])
+    if set(parts) <= set(keys):  # the keys say where they may be, so rows elsewhere need not meet them
+        near = rows_with_keys(near, parts, materialize(outgoing.select(*parts).distinct()))
+    held = rows_with_keys(near, keys, outgoing).select(*parts)
     touched = materialize(held.unionByName(rows.select(*parts)).distinct())
     affected = rows_with_keys(existing, parts, touched, "left_semi")
     _replace_in_partitions(table, rows_with_keys(affected, keys, outgoing, "left_anti"), rows, touched)
