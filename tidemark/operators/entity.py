@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of
-from tidemark.operators.keys import SENT_HASHES, key_counts, number_rows, rows_with_keys
+from tidemark.operators.keys import SENT_HASHES, join_grouped, key_counts, number_rows, rows_with_keys
 from tidemark.operators.model import LINEAGE_KEY
 from tidemark.operators.survivorship import REFERENCE, merge_records, survivors
 from tidemark.session import materialize
@@ -31,18 +31,8 @@ def unmatchable(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_reference_time(df: DataFrame, reference: DataFrame) -> DataFrame:
-    """Add `_ref_ts` by lineage key. A record that occurs more often in the reference counts once.
-
-    The key is one struct, in which NULLs are equal, behind its hash: the times are exchanged once, for grouping and join, and
-    sorting compares numbers.
-    """
-    kinds = {k: df.schema[k].dataType for k in LINEAGE_KEY}
-    key = F.struct(*[F.col(k).cast(kinds[k]).alias(k) for k in LINEAGE_KEY])
-    hashed = F.xxhash64(*[F.col(k).cast(kinds[k]) for k in LINEAGE_KEY])
-    times = reference.groupBy(hashed.alias("__hash"), key.alias("__key")).agg(F.max(REFERENCE).alias(REFERENCE))
-    rest = [F.col(c) for c in df.columns if c not in LINEAGE_KEY]
-    joined = df.select(hashed.alias("__hash"), key.alias("__key"), *rest).join(times, ["__hash", "__key"], "left")
-    return joined.select(*[F.col(f"__key.{c}").alias(c) if c in LINEAGE_KEY else F.col(c) for c in df.columns], REFERENCE)
+    """Add `_ref_ts` by lineage key. A record that occurs more often in the reference counts once."""
+    return join_grouped(df, LINEAGE_KEY, reference, F.max(REFERENCE).alias(REFERENCE))
 
 
 def with_own_reference_time(records: DataFrame, time: str) -> DataFrame:

@@ -56,6 +56,20 @@ def rows_with_keys(df: DataFrame, keys: list[str], key_set: DataFrame, how: str
     return df.join(renamed, condition, how)
 
 
+def join_grouped(df: DataFrame, keys: list[str], other: DataFrame, found: Column) -> DataFrame:
+    """Left join with the aggregate `found` of the other frame's rows of the same key, in which NULLs are equal.
+
+    The key is one struct behind its hash: the groups are exchanged once, for grouping and join, and sorting compares numbers.
+    """
+    columns = [F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys]
+    hashed, key = F.xxhash64(*columns).alias("__hash"), F.struct(*columns).alias("__key")
+    groups = other.groupBy(hashed, key).agg(found)
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    joined = df.select(hashed, key, *rest).join(groups, ["__hash", "__key"], "left")
+    back = [F.col(f"__key.{c}").alias(c) if c in keys else F.col(c) for c in df.columns]
+    return joined.select(*back, *[c for c in groups.columns if c not in ("__hash", "__key")])
+
+
 def flag_duplicates(df: DataFrame, keys: list[str], flag: str, filled_only: bool = False) -> DataFrame:
     """Boolean column `flag`: does another row share the key."""
     return flag_rows_with_keys(df, keys, duplicate_keys(df, keys, filled_only), flag)

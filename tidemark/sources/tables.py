@@ -10,12 +10,13 @@ before a partitioned write, and large partitions split again, so files follow th
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import rows_with_keys
-from tidemark.session import materialize, scratch_dir, setting
+from tidemark.session import materialize, metadata_rows, scratch_dir, setting
 
 KEY_BUCKET = "_key_bucket"
 
@@ -161,7 +162,7 @@ def attach_batch(spark: SparkSession, table: str, batch: dict, folder: str) -> N
 def write_by_route(rows: DataFrame, route: str, folder: str) -> None:
     """Files laid out by a column of few values. A task keeps a file open for each, so its rows are not sorted by it."""
     with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "4"):
-        rows.write.partitionBy(route).parquet(folder)
+        rows.write.mode("append").partitionBy(route).parquet(folder)
 
 
 def split_write(df: DataFrame, route: Column, targets: dict[str, tuple[str, list[str]]], batch: dict) -> dict[str, int]:
@@ -256,6 +257,55 @@ def replace_where(df: DataFrame, table: str, predicate: Column, within: DataFram
     _replace_in_partitions(table, kept, rows, touched, stored=True)
 
 
+def partition_values(spark: SparkSession, table: str) -> list[dict]:
+    """The partitions of a table, from the catalog; None is the partition of NULL."""
+    rows = metadata_rows(spark.sql(f"SHOW PARTITIONS {table}"))
+    named = [[unquote(part).partition("=") for part in r["partition"].split("/")] for r in rows]
+    return [{name: None if value == "__HIVE_DEFAULT_PARTITION__" else value for name, _, value in parts} for parts in named]
+
+
+def replace_changed(df: DataFrame, table: str, predicate: Column, changed: str, by: list[str]) -> list[tuple[tuple, int]]:
+    """Rows of the frame take the place of those that meet the predicate, in partitions where one of them is marked as `changed`.
+
+    The frame has the new form of every row that meets it, in the same partition. It is evaluated by one job, whose files lie by
+    partition; where a row is changed, they become the partition, with the rows that stay. Nothing is shuffled or staged for
+    that. Returns the values of `by`, the partition columns, and the number of changed rows where there are any.
+    """
+    spark, parts = df.sparkSession, _partitions(df.sparkSession, table)
+    known = partition_values(spark, table) if parts else []
+    if set(parts) != set(by) or any(None in p.values() for p in known):  # no partition whose location could be named
+        df = materialize(df)
+        touched = df.filter(changed).groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+        counts = [(tuple(r[c] for c in by), r["__n"]) for r in metadata_rows(touched)]
+        if counts:
+            replace_where(df.drop(changed), table, predicate, touched.select(*parts) if parts else None)
+        return counts
+    if not known:
+        return []
+    kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    listed = [(*[p[c] for c in parts], i) for i, p in enumerate(known)]
+    routes = spark.createDataFrame(listed, ", ".join([*[f"`{c}` string" for c in parts], "_route int"]))
+    routes = F.broadcast(routes.select(*[F.col(c).cast(kinds[c]).alias(c) for c in parts], "_route"))
+    folder = parts_folder(spark, table)
+    own = [c for c in kinds if c not in parts]
+    rows = df.join(routes, parts).select(*[F.col(c).cast(kinds[c]).alias(c) for c in own], changed, "_route")
+    write_by_route(rows, "_route", folder)
+    written = spark.read.schema(rows.schema).parquet(folder).groupBy("_route")
+    found = {r["_route"]: r for r in metadata_rows(written.agg(F.count_if(changed).alias("n"), F.count(F.lit(1)).alias("rows")))}
+    counts = {i: r["n"] for i, r in found.items() if r["n"]}
+    if not counts:
+        return []
+    there = spark.table(table).join(routes.filter(F.col("_route").isin(list(counts))), parts)
+    sizes = {r["_route"]: r["rows"] for r in metadata_rows(there.groupBy("_route").agg(F.count(F.lit(1)).alias("rows")))}
+    partly = [i for i in counts if sizes[i] > found[i]["rows"]]  # by the footers of the files
+    if partly:
+        staying = there.filter(F.col("_route").isin(partly) & ~F.coalesce(predicate, F.lit(False)))
+        write_by_route(staying.select(*own, "_route"), "_route", folder)
+    for i in counts:
+        attach_batch(spark, table, known[i], f"{folder}/_route={i}")
+    return [(tuple(known[i][c] for c in by), n) for i, n in counts.items()]
+
+
 def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
     """Remove the rows that meet the predicate; partitions without such rows are left alone."""
     existing, parts, meets = spark.table(table), _partitions(spark, table), F.coalesce(predicate, F.lit(False))
